@@ -178,3 +178,81 @@ SELECT observation_time, location, latitude, longitude, temp_celsius, feels_like
 FROM r LEFT JOIN wc ON wc.code = r.code
 """
 SQL["decode_weather_json"] = WEATHER_ROWS_SQL
+
+# ---------------------------------------------------------------------------
+# Event logs and consolidation
+# ---------------------------------------------------------------------------
+
+_EV = """
+ev AS (SELECT event_type AS pipeline_name,
+              'run-' || strftime(ts, '%Y-%m-%d') || '-' || CAST(user_id % 3 AS VARCHAR) AS update_id,
+              ts, CASE WHEN value > 450 THEN 'user_action' ELSE 'flow_progress' END AS et,
+              CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+              value, user_id, event_id, event_type
+       FROM events)"""
+
+_X = """
+x AS (SELECT pipeline_name, update_id, ts, et, 'bronze_' || event_type AS table_name,
+             'valid_value' AS expectation, CAST(floor(value * 10) AS BIGINT) AS p,
+             user_id % 4 AS f
+      FROM ev WHERE k % 17 <> 0 AND k % 23 <> 0
+      UNION ALL
+      SELECT pipeline_name, update_id, ts, et, 'silver_' || event_type, 'plausible_value',
+             event_id % 50, CASE WHEN k % 29 <> 0 THEN k % 7 END
+      FROM ev WHERE k % 17 <> 0 AND k % 23 <> 0)"""
+
+
+def _agg(src: str) -> str:
+    return f"""SELECT pipeline_name, update_id, max(ts) AS run_timestamp,
+       CAST(max(ts) AS DATE) AS run_date, table_name, expectation,
+       CAST(sum(p) AS BIGINT) AS passed_records, CAST(sum(f) AS BIGINT) AS failed_records,
+       CAST((sum(f) * 20000 + (sum(p) + sum(f))) // (2 * nullif(sum(p) + sum(f), 0)) AS DOUBLE)
+         / 100 AS fail_pct
+FROM {src} GROUP BY pipeline_name, update_id, table_name, expectation"""
+
+
+SQL["union_tagged"] = f"""WITH {_EV}
+SELECT pipeline_name, update_id, ts, et AS event_type FROM ev"""
+
+SQL["json_explode"] = f"""WITH {_EV}, {_X}
+SELECT pipeline_name, update_id, ts, table_name, expectation, p AS passed_records,
+       f AS failed_records FROM x"""
+
+SQL["dq_consolidate"] = f"""WITH {_EV}, {_X}
+{_agg("(SELECT * FROM x WHERE et = 'flow_progress')")}"""
+SQL["dq_consolidate_join"] = SQL["dq_consolidate"]
+SQL["consolidate_rerun"] = SQL["dq_consolidate"]
+
+SQL["watermark_max"] = f"""WITH {_EV}, {_X}
+SELECT pipeline_name, max(ts) AS watermark FROM x WHERE et = 'flow_progress'
+GROUP BY pipeline_name"""
+
+_CUT = f"TIMESTAMP '{Q.FIRST_RUN_CUT.isoformat(sep=' ')}'"
+
+SQL["watermark_filter"] = f"""WITH {_EV},
+wm AS (SELECT event_type AS pipeline_name, max(ts) AS watermark FROM events
+       WHERE ts < {_CUT} AND event_type <> 'signup' GROUP BY 1)
+SELECT ev.pipeline_name, update_id, ts FROM ev LEFT JOIN wm USING (pipeline_name)
+WHERE et = 'flow_progress' AND ts > coalesce(watermark, TIMESTAMP '1900-01-01')"""
+
+SQL["merge_upsert"] = f"""WITH {_EV}, {_X},
+h1 AS ({_agg(f"(SELECT * FROM x WHERE et = 'flow_progress' AND ts < {_CUT})")}),
+wm AS (SELECT pipeline_name, max(run_timestamp) AS watermark FROM h1 GROUP BY 1),
+s2 AS ({_agg('''(SELECT x.* FROM x LEFT JOIN wm USING (pipeline_name)
+                 WHERE et = 'flow_progress'
+                   AND ts > coalesce(watermark, TIMESTAMP '1900-01-01'))''')})
+SELECT * FROM h1 WHERE NOT EXISTS (
+  SELECT 1 FROM s2 WHERE s2.pipeline_name = h1.pipeline_name AND s2.update_id = h1.update_id
+    AND s2.table_name = h1.table_name AND s2.expectation = h1.expectation)
+UNION ALL SELECT * FROM s2"""
+
+SQL["fail_pct"] = """
+SELECT user_id, n - f AS passed_records, f AS failed_records,
+       CAST((f * 20000 + n) // (2 * nullif(n, 0)) AS DOUBLE) / 100 AS fail_pct
+FROM (SELECT user_id, count(*) FILTER (WHERE event_type = 'error') AS f, count(*) AS n
+      FROM events GROUP BY user_id)"""
+
+SQL["discover_logs"] = """
+SELECT event_type AS pipeline_name, count(*) AS n_events FROM events GROUP BY 1"""
+
+SQL["event_log_roundtrip"] = _rule_metrics_sql("lineitem", Q.LINEITEM_RULES)

@@ -113,3 +113,52 @@ def weather_payloads(events: DataFrame) -> DataFrame:
                        F.lit(-0.1278).alias("longitude"), hourly.alias("hourly"))
     return events.select(F.to_json(payload).alias("json"),
                          F.col("ts").cast("timestamp").alias("fetched_at"))
+
+
+# The pipelines the benchmark events table is split into (one per event type).
+EVENT_PIPELINES = ("click", "error", "purchase", "signup", "view")
+
+
+def event_log_rows(events: DataFrame) -> DataFrame:
+    """events -> event-log rows (plus ``event_kind`` = the source event type).
+
+    * run (``update_id``) = day of the event and ``user_id % 3``;
+    * ``value > 450`` marks a non-progress event (``user_action``);
+    * ``k % 17 = 0`` (k from ``props``) has progress metrics but no counters,
+      ``k % 23 = 0`` carries truncated (broken) JSON, ``k % 29 = 0`` lacks the
+      second rule's ``failed_records``.
+    """
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    c1 = F.struct(F.concat(F.lit("bronze_"), F.col("event_type")).alias("dataset"),
+                  F.lit("valid_value").alias("name"),
+                  F.floor(F.col("value") * 10).cast("bigint").alias("passed_records"),
+                  (F.col("user_id") % 4).alias("failed_records"))
+    c2 = F.struct(F.concat(F.lit("silver_"), F.col("event_type")).alias("dataset"),
+                  F.lit("plausible_value").alias("name"),
+                  (F.col("event_id") % 50).alias("passed_records"),
+                  F.when(k % 29 != 0, k % 7).alias("failed_records"))
+    good = expectations_details_col(F.array(c1, c2))
+    details = (F.when(k % 17 == 0, F.to_json(F.struct(F.struct(
+                   F.struct(F.col("event_id").alias("num_output_rows")).alias("metrics"))
+                   .alias("flow_progress"))))
+               .when(k % 23 == 0, F.lit('{"flow_progress":{"data_quality":{"expectations":[{'))
+               .otherwise(good))
+    update_id = F.concat(F.lit("run-"), F.date_format("ts", "yyyy-MM-dd"), F.lit("-"),
+                         (F.col("user_id") % 3).cast("string"))
+    return events.select(
+        F.struct(update_id.alias("update_id")).alias("origin"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.when(F.col("value") > 450, "user_action").otherwise("flow_progress").alias("event_type"),
+        details.alias("details"),
+        F.col("event_type").alias("event_kind"))
+
+
+def event_logs(events: DataFrame) -> dict[str, DataFrame]:
+    """One event log per pipeline (event type); each a filtered view of the same table."""
+    rows = event_log_rows(events)
+    return {p: rows.filter(F.col("event_kind") == p).drop("event_kind") for p in EVENT_PIPELINES}
+
+
+def expectations_details_col(counters: Column) -> Column:
+    from lakeward.functions.json_paths import expectations_details
+    return expectations_details(counters)

@@ -203,3 +203,130 @@ QUERIES: dict[str, QueryFn] = {
     "decode_generation_xml": decode_generation_xml,
     "decode_weather_json": decode_weather_json,
 }
+
+
+# ---------------------------------------------------------------------------
+# Event logs and DQ consolidation
+# ---------------------------------------------------------------------------
+
+from lakeward.functions.json_paths import expectations_array, expectations_details  # noqa: E402
+from lakeward.operators import consolidate as C  # noqa: E402
+from lakeward.operators.merge import empty_history, merge_history  # noqa: E402
+from lakeward.sources import event_logs as L  # noqa: E402
+
+FIRST_RUN_CUT = dt.datetime(2024, 1, 15)
+
+
+def _logs(spark, sf_dir):
+    return derived.event_logs(table(spark, sf_dir, "events"))
+
+
+def union_tagged(spark, sf_dir):
+    t = C.tag_logs(_logs(spark, sf_dir))
+    return as_ntz(t.select("pipeline_name", F.col("origin.update_id").alias("update_id"),
+                           F.col("timestamp").alias("ts"), "event_type"))
+
+
+def json_explode(spark, sf_dir):
+    x = C.explode_counters(C.tag_logs(_logs(spark, sf_dir)))
+    return as_ntz(x.select("pipeline_name", "update_id", "ts",
+                           F.col("e.dataset").alias("table_name"),
+                           F.col("e.name").alias("expectation"),
+                           F.col("e.passed_records").alias("passed_records"),
+                           F.col("e.failed_records").alias("failed_records")))
+
+
+def _first_history(spark, logs):
+    return merge_history(empty_history(spark), C.consolidate(logs, empty_history(spark)))
+
+
+def dq_consolidate(spark, sf_dir):
+    logs = _logs(spark, sf_dir)
+    return as_ntz(C.consolidate(logs, empty_history(spark)))
+
+
+def dq_consolidate_join(spark, sf_dir):
+    logs = _logs(spark, sf_dir)
+    return as_ntz(C.consolidate(logs, empty_history(spark), pushdown=False))
+
+
+def watermark_max(spark, sf_dir):
+    hist = _first_history(spark, _logs(spark, sf_dir))
+    return as_ntz(C.watermarks(hist))
+
+
+def watermark_filter(spark, sf_dir):
+    logs = _logs(spark, sf_dir)
+    ev = table(spark, sf_dir, "events")
+    # State of a history written before FIRST_RUN_CUT that never saw the signup pipeline.
+    prior = (ev.filter((F.col("ts") < F.lit(FIRST_RUN_CUT)) & (F.col("event_type") != "signup"))
+             .select(F.col("event_type").alias("pipeline_name"),
+                     F.col("ts").cast("timestamp").alias("run_timestamp")))
+    wm = C.watermarks(prior, sorted(logs))
+    kept = C.after_watermark_join(C.tag_logs(logs), wm)
+    return as_ntz(kept.select("pipeline_name", F.col("origin.update_id").alias("update_id"),
+                              F.col("timestamp").alias("ts")))
+
+
+def merge_upsert(spark, sf_dir):
+    logs = _logs(spark, sf_dir)
+    early = {p: df.filter(F.col("timestamp") < F.lit(FIRST_RUN_CUT)) for p, df in logs.items()}
+    hist1 = merge_history(empty_history(spark), C.consolidate(early, empty_history(spark)))
+    hist1 = hist1.checkpoint()  # the stored history between the two runs
+    hist2 = merge_history(hist1, C.consolidate(logs, hist1))
+    return as_ntz(hist2)
+
+
+def consolidate_rerun(spark, sf_dir):
+    logs = _logs(spark, sf_dir)
+    hist1 = _first_history(spark, logs).checkpoint()
+    hist2 = merge_history(hist1, C.consolidate(logs, hist1))
+    return as_ntz(hist2)
+
+
+def fail_pct(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    g = ev.groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("failed_records"),
+                                  F.count(F.lit(1)).alias("n"))
+    g = g.select("user_id", (F.col("n") - F.col("failed_records")).alias("passed_records"),
+                 "failed_records")
+    return g.withColumn("fail_pct", C.fail_pct(F.col("failed_records"), F.col("passed_records")))
+
+
+def discover_logs(spark, sf_dir):
+    import uuid
+    prefix = f"lw{uuid.uuid4().hex[:8]}_"
+    for p, df in _logs(spark, sf_dir).items():
+        df.createOrReplaceTempView(f"{prefix}{p}{C.EVENT_LOG_SUFFIX}")
+    table(spark, sf_dir, "events").createOrReplaceTempView(f"{prefix}events_raw")
+    found = L.discover_in_catalog(spark, prefix=prefix)
+    logs = L.logs_from_catalog(spark, found, prefix=prefix)
+    return (C.tag_logs(logs).groupBy("pipeline_name")
+            .agg(F.count(F.lit(1)).alias("n_events")))
+
+
+def event_log_roundtrip(spark, sf_dir):
+    m = rule_metrics(table(spark, sf_dir, "lineitem"), LINEITEM_RULES, "lineitem")
+    event = m.agg(F.collect_list(F.struct(
+        F.col("table_name").alias("dataset"), F.col("expectation").alias("name"),
+        "passed_records", "failed_records")).alias("c")) \
+        .select(expectations_details(F.col("c")).alias("details"))
+    back = event.select(F.explode(expectations_array(F.col("details"))).alias("e"))
+    return back.select(F.col("e.dataset").alias("table_name"), F.col("e.name").alias("expectation"),
+                       F.col("e.passed_records").alias("passed_records"),
+                       F.col("e.failed_records").alias("failed_records"))
+
+
+QUERIES.update({
+    "union_tagged": union_tagged,
+    "json_explode": json_explode,
+    "dq_consolidate": dq_consolidate,
+    "dq_consolidate_join": dq_consolidate_join,
+    "watermark_max": watermark_max,
+    "watermark_filter": watermark_filter,
+    "merge_upsert": merge_upsert,
+    "consolidate_rerun": consolidate_rerun,
+    "fail_pct": fail_pct,
+    "discover_logs": discover_logs,
+    "event_log_roundtrip": event_log_roundtrip,
+})
