@@ -1,6 +1,32 @@
-"""Placeholder until the full medallion flagship lands."""
+"""Flagship job: the whole medallion on the benchmark tables.
+
+documents (derived from orders / lineitem / events) -> decode -> landing CSV
+-> bronze stream -> silver -> event logs -> DQ consolidation -> history.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
 from lakeward import queries as Q
+from lakeward.plans.domains import GENERATION, PRICES, WEATHER
+from lakeward.plans.dq_job import read_history, run_consolidation
+from lakeward.plans.pipeline import LakePaths, land, run_pipeline
+from lakeward.session import scratch_path
+
+DOMAIN_ROWS = ((PRICES, Q.price_rows), (GENERATION, Q.generation_rows), (WEATHER, Q.weather_rows))
+
+
+def run_medallion(spark: SparkSession, sf_dir: str, base: str | None = None,
+                  update_id: str = "update-0001") -> LakePaths:
+    paths = LakePaths(base or scratch_path(spark, "medallion"))
+    for spec, rows in DOMAIN_ROWS:
+        land(rows(spark, sf_dir), spec, paths)
+        run_pipeline(spark, spec, paths, update_id=update_id)
+    run_consolidation(spark, paths.monitoring, paths.history)
+    return paths
 
 
-def flagship(spark, sf_dir):
-    return Q.dedup_latest_events(spark, sf_dir)
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = run_medallion(spark, sf_dir)
+    return read_history(spark, paths.history)

@@ -22,6 +22,7 @@ from lakeward.functions.lookups import production_type, weather_condition
 from lakeward.operators.dedup import dedup_latest
 from lakeward.operators.expectations import drop_failing, rule_metrics
 from lakeward.plans import derived
+from lakeward.plans.parallel import spread
 from lakeward.session import ensure_utc
 from lakeward.sources import documents as docs
 
@@ -156,21 +157,21 @@ def parallel_arrays(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def price_rows(spark, sf_dir) -> DataFrame:
-    d = derived.price_documents(table(spark, sf_dir, "orders"))
+    d = derived.price_documents(spread(table(spark, sf_dir, "orders")))
     series = d.select(docs.parse_series_xml(F.col("xml"), docs.PRICE_SERIES_SCHEMA).alias("series"),
                       "fetched_at")
     return docs.decode_prices(series)
 
 
 def generation_rows(spark, sf_dir) -> DataFrame:
-    d = derived.generation_documents(table(spark, sf_dir, "lineitem"))
+    d = derived.generation_documents(spread(table(spark, sf_dir, "lineitem")))
     series = d.select(docs.parse_series_xml(F.col("xml"), docs.GENERATION_SERIES_SCHEMA)
                       .alias("series"), "fetched_at")
     return docs.decode_generation(series)
 
 
 def weather_rows(spark, sf_dir) -> DataFrame:
-    d = derived.weather_payloads(table(spark, sf_dir, "events"))
+    d = derived.weather_payloads(spread(table(spark, sf_dir, "events")))
     payloads = d.select(docs.parse_weather_json(F.col("json")).alias("p"), "fetched_at") \
         .select("p.*", "fetched_at")
     return docs.decode_weather(payloads)

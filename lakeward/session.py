@@ -31,8 +31,18 @@ def build_session(master: str | None = None, app_name: str = "lakeward",
         builder = builder.master(master)
     conf = dict(CORE_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # One JVM: a "distributed" listing job (one task per folder) is pure
+        # overhead; list on the driver. Clusters keep Spark's default so huge
+        # landing folders are still listed in parallel.
+        conf["spark.sql.sources.parallelPartitionDiscovery.threshold"] = "100000"
+        # AQE coalesces to at most defaultParallelism partitions but never below
+        # this size; 1MB would fold a small multi-day landing write into one
+        # serial task where per-file cost dominates.
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "16k"
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
