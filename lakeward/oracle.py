@@ -256,3 +256,60 @@ SQL["discover_logs"] = """
 SELECT event_type AS pipeline_name, count(*) AS n_events FROM events GROUP BY 1"""
 
 SQL["event_log_roundtrip"] = _rule_metrics_sql("lineitem", Q.LINEITEM_RULES)
+
+# ---------------------------------------------------------------------------
+# Medallion
+# ---------------------------------------------------------------------------
+
+from lakeward.plans.domains import GENERATION, PRICES, WEATHER  # noqa: E402
+
+SQL["bronze_stream_ingest"] = f"""
+SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM ({PRICE_ROWS_SQL})"""
+
+
+def _silver_sql(spec, rows_sql: str) -> str:
+    order = ", ".join([f"{spec.order_column} DESC NULLS LAST"]
+                      + [f"{c} DESC NULLS LAST" for c in spec.tiebreak])
+    cols = ", ".join(f"{c} AS ingested_at" if c == spec.order_column else c
+                     for c in spec.column_names)
+    return _dedup_sql(cols, f"({rows_sql})", ", ".join(spec.keys), order)
+
+
+SQL["silver_prices"] = _silver_sql(PRICES, PRICE_ROWS_SQL)
+SQL["silver_generation"] = _silver_sql(GENERATION, GENERATION_ROWS_SQL)
+SQL["silver_weather"] = _silver_sql(WEATHER, WEATHER_ROWS_SQL)
+
+
+def _counts_sql(pipeline: str, tbl: str, rules: dict[str, str], source: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {_q(pipeline)} AS pipeline_name, {_q(tbl)} AS table_name, {_q(n)} AS expectation, "
+        f"count(*) FILTER (WHERE {p}) AS p, count(*) - count(*) FILTER (WHERE {p}) AS f "
+        f"FROM {source}" for n, p in rules.items())
+
+
+def _with_pct(counts: str) -> str:
+    return f"""SELECT pipeline_name, table_name, expectation, p AS passed_records,
+       f AS failed_records,
+       CAST((f * 20000 + (p + f)) // (2 * nullif(p + f, 0)) AS DOUBLE) / 100 AS fail_pct
+FROM ({counts})"""
+
+
+_pdq = []
+for _spec, _rows in ((PRICES, PRICE_ROWS_SQL), (GENERATION, GENERATION_ROWS_SQL),
+                     (WEATHER, WEATHER_ROWS_SQL)):
+    _pdq.append(_counts_sql(_spec.pipeline, _spec.bronze_table, _spec.bronze_rules,
+                            f"(SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM ({_rows}))"))
+    _pdq.append(_counts_sql(_spec.pipeline, _spec.silver_table, _spec.silver_rules,
+                            f"({_silver_sql(_spec, _rows)})"))
+SQL["pipeline_dq"] = _with_pct("\nUNION ALL\n".join(_pdq))
+
+_RESCUE_RULES = {
+    "no_rescued_data": "NOT (o_orderkey % 10 = 0 OR o_orderkey % 11 = 0)",
+    "valid_delivery_start": "o_orderkey % 13 <> 0",
+    "valid_bidding_zone": "o_orderkey % 7 <> 0",
+}
+SQL["bronze_rescue"] = f"""
+SELECT table_name, expectation, p AS passed_records, f AS failed_records FROM (
+{_counts_sql(PRICES.pipeline, PRICES.bronze_table, _RESCUE_RULES, "orders")})"""
+
+SQL["incremental_silver"] = SQL["dedup_latest_events"]

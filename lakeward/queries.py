@@ -331,3 +331,114 @@ QUERIES.update({
     "discover_logs": discover_logs,
     "event_log_roundtrip": event_log_roundtrip,
 })
+
+
+# ---------------------------------------------------------------------------
+# Medallion: landing -> bronze stream -> silver, DQ events
+# ---------------------------------------------------------------------------
+
+from lakeward.operators.dedup import merge_latest  # noqa: E402
+from lakeward.plans.domains import GENERATION, PRICES, WEATHER, DomainSpec  # noqa: E402
+from lakeward.plans.dq_job import read_history, run_consolidation  # noqa: E402
+from lakeward.plans.pipeline import LakePaths, land, read_silver, run_pipeline  # noqa: E402
+from lakeward.session import scratch_path  # noqa: E402
+from lakeward.sources.landing import TIMESTAMP_FORMAT, landing_day, write_landing  # noqa: E402
+from lakeward.streaming.bronze import read_bronze, run_bronze  # noqa: E402
+
+RUN_ID = "update-0001"
+
+
+def _paths(spark, name):
+    return LakePaths(scratch_path(spark, name))
+
+
+def bronze_stream_ingest(spark, sf_dir):
+    paths = _paths(spark, "bronze-ingest")
+    land(price_rows(spark, sf_dir), PRICES, paths)
+    run_bronze(spark, PRICES, paths.landing(PRICES), paths.bronze(PRICES),
+               paths.checkpoint(PRICES), paths.event_log(PRICES), RUN_ID)
+    # A second trigger finds no new files: nothing is read twice.
+    run_bronze(spark, PRICES, paths.landing(PRICES), paths.bronze(PRICES),
+               paths.checkpoint(PRICES), paths.event_log(PRICES), RUN_ID + "-again")
+    return as_ntz(read_bronze(spark, PRICES, paths.bronze(PRICES)))
+
+
+def _silver(spark, sf_dir, spec: DomainSpec, rows_fn):
+    paths = _paths(spark, f"silver-{spec.pipeline}")
+    land(rows_fn(spark, sf_dir), spec, paths)
+    run_pipeline(spark, spec, paths, update_id=RUN_ID)
+    return as_ntz(read_silver(spark, spec, paths))
+
+
+def silver_prices(spark, sf_dir):
+    return _silver(spark, sf_dir, PRICES, price_rows)
+
+
+def silver_generation(spark, sf_dir):
+    return _silver(spark, sf_dir, GENERATION, generation_rows)
+
+
+def silver_weather(spark, sf_dir):
+    return _silver(spark, sf_dir, WEATHER, weather_rows)
+
+
+def _dq_view(history):
+    return history.select("pipeline_name", "table_name", "expectation", "passed_records",
+                          "failed_records", "fail_pct")
+
+
+def bronze_rescue(spark, sf_dir):
+    """Landing CSV with malformed values; counters come back through the event log."""
+    o = spread(table(spark, sf_dir, "orders"))
+    k = F.col("o_orderkey")
+    start = F.col("o_orderdate").cast("timestamp")
+    ts_text = lambda c: F.date_format(c, TIMESTAMP_FORMAT)
+    rows = o.select(
+        F.when(k % 13 != 0, ts_text(start)).alias("delivery_start"),
+        ts_text(start + F.expr("INTERVAL 1 HOUR")).alias("delivery_end"),
+        F.when(k % 10 == 0, F.lit("n/a"))
+        .otherwise((F.col("o_totalprice") / 1000 - 20).cast("string")).alias("price_gbp_per_mwh"),
+        F.lit("GBP").alias("currency"),
+        F.when(k % 7 != 0, F.lit("10YGB----------A")).alias("bidding_zone"),
+        F.when(k % 11 == 0, F.lit("yesterday")).otherwise(ts_text(start)).alias("fetched_at"),
+        F.to_date(start).alias("_day"))
+    paths = _paths(spark, "bronze-rescue")
+    write_landing(rows, paths.landing(PRICES), PRICES.column_names, F.col("_day"))
+    run_bronze(spark, PRICES, paths.landing(PRICES), paths.bronze(PRICES),
+               paths.checkpoint(PRICES), paths.event_log(PRICES), RUN_ID)
+    run_consolidation(spark, paths.monitoring, paths.history)
+    return _dq_view(read_history(spark, paths.history)).drop("fail_pct", "pipeline_name")
+
+
+def pipeline_dq(spark, sf_dir):
+    paths = _paths(spark, "pipeline-dq")
+    for spec, rows_fn in ((PRICES, price_rows), (GENERATION, generation_rows),
+                          (WEATHER, weather_rows)):
+        land(rows_fn(spark, sf_dir), spec, paths)
+        run_pipeline(spark, spec, paths, update_id=RUN_ID)
+    run_consolidation(spark, paths.monitoring, paths.history)
+    # A second consolidation without new events changes nothing.
+    run_consolidation(spark, paths.monitoring, paths.history)
+    return _dq_view(read_history(spark, paths.history))
+
+
+def incremental_silver(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    keys, order, tie = ["user_id", "event_type"], "ts", ["event_id"]
+    early = F.col("ts") < F.lit(FIRST_RUN_CUT)
+    existing = dedup_latest(ev.filter(early), keys, order, tie).checkpoint()
+    incoming = ev.filter(~early | F.col("ts").isNull())
+    merged = merge_latest(existing, incoming, keys, order, tie)
+    return merged.select("user_id", "event_type", "event_id", "value", "props",
+                         F.col("ts").alias("ingested_at"))
+
+
+QUERIES.update({
+    "bronze_stream_ingest": bronze_stream_ingest,
+    "bronze_rescue": bronze_rescue,
+    "silver_prices": silver_prices,
+    "silver_generation": silver_generation,
+    "silver_weather": silver_weather,
+    "pipeline_dq": pipeline_dq,
+    "incremental_silver": incremental_silver,
+})
