@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Instant forms used by the market documents ("2019-12-31T23:00Z"),
-# with and without seconds.
-INSTANT_FORMATS = ("yyyy-MM-dd'T'HH:mmX", "yyyy-MM-dd'T'HH:mm:ssX")
+# with or without seconds, "Z" or a "+hh:mm" offset.
+INSTANT_FORMATS = ("yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd'T'HH:mm:ssXXX",
+                   "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
 
 
 def parse_instant(text: Column) -> Column:

@@ -1,0 +1,97 @@
+"""Bronze ingest: the manual acceptance test (bad rows landed, re-triggered) automated."""
+
+import datetime as dt
+
+import pytest
+
+from conftest import write_file
+from lakeward.operators.consolidate import consolidate
+from lakeward.operators.merge import empty_history
+from lakeward.plans.dq_job import read_history, run_consolidation
+from lakeward.plans.domains import PRICES, WEATHER
+from lakeward.plans.pipeline import LakePaths, read_silver, run_pipeline
+from lakeward.sources.event_logs import logs_from_folder
+from lakeward.streaming.bronze import read_bronze, run_bronze
+
+HEADER = "delivery_start,delivery_end,price_gbp_per_mwh,currency,bidding_zone,fetched_at\n"
+GOOD = ("2019-12-31 23:00:00+00:00,2020-01-01 00:00:00+00:00,40.5,GBP,10YGB----------A,"
+        "2020-01-02 13:30:00.123456+00:00\n"
+        "2020-01-01 00:00:00+00:00,2020-01-01 01:00:00+00:00,-3.0,GBP,10YGB----------A,"
+        "2020-01-02 13:30:00+00:00\n")
+BAD = ("2020-01-01 01:00:00+00:00,2020-01-01 02:00:00+00:00,abc,GBP,10YGB----------A,"
+       "2020-01-02 13:30:00+00:00\n"                         # text in a DOUBLE column
+       "2020-01-01 02:00:00+00:00,2020-01-01 03:00:00+00:00\n"  # short row
+       "2020-01-01 03:00:00+00:00,2020-01-01 04:00:00+00:00,1.0,GBP,10YGB----------A,"
+       "2020-01-02 13:30:00+00:00,extra\n"                   # long row
+       ",2020-01-01 05:00:00+00:00,7.0,GBP,,2020-01-02 13:30:00+00:00\n")  # NULL key parts
+
+
+def _run(spark, paths, uid):
+    return run_bronze(spark, PRICES, paths.landing(PRICES), paths.bronze(PRICES),
+                      paths.checkpoint(PRICES), paths.event_log(PRICES), uid)
+
+
+def test_bad_rows_are_kept_flagged_and_counted(spark, workdir):
+    paths = LakePaths(workdir)
+    land = paths.landing(PRICES)
+    write_file(f"{land}/ingest_date=2020-01-01/a.csv", HEADER + GOOD)
+    run1 = _run(spark, paths, "u1")
+    assert len(run1.batches) == 1
+    write_file(f"{land}/ingest_date=2020-01-02/b.csv", HEADER + BAD)
+    run2 = _run(spark, paths, "u2")
+    bronze = read_bronze(spark, PRICES, paths.bronze(PRICES))
+    assert bronze.count() == 6                                  # no row lost
+    assert bronze.filter("_rescued_data IS NOT NULL").count() == 3
+    assert bronze.filter("fetched_at = TIMESTAMP '2020-01-02 13:30:00.123456'").count() == 1
+    counters = {c["name"]: (c["passed_records"], c["failed_records"]) for c in run2.counters[0]}
+    assert counters == {"no_rescued_data": (1, 3), "valid_delivery_start": (3, 1),
+                        "valid_bidding_zone": (2, 2)}   # short row lacks the zone too
+    # Re-trigger without new files: nothing is read again.
+    run3 = _run(spark, paths, "u3")
+    assert run3.batches == []
+    assert read_bronze(spark, PRICES, paths.bronze(PRICES)).count() == 6
+    hist = consolidate(logs_from_folder(spark, paths.monitoring), empty_history(spark))
+    got = {(r.update_id, r.expectation): (r.passed_records, r.failed_records) for r in hist.collect()}
+    assert got[("u2", "no_rescued_data")] == (1, 3) and got[("u1", "no_rescued_data")] == (2, 0)
+
+
+def test_permuted_header_fails_loudly(spark, workdir):
+    paths = LakePaths(workdir)
+    write_file(f"{paths.landing(PRICES)}/ingest_date=2020-01-01/a.csv",
+               "currency,delivery_start,delivery_end,price_gbp_per_mwh,bidding_zone,fetched_at\n"
+               "GBP,2019-12-31 23:00:00+00:00,2020-01-01 00:00:00+00:00,1.0,Z,2020-01-02 00:00:00+00:00\n")
+    with pytest.raises(Exception):
+        _run(spark, paths, "u1")
+
+
+def test_relanded_day_latest_fetch_wins(spark, workdir):
+    paths = LakePaths(workdir)
+    land = paths.landing(PRICES)
+    write_file(f"{land}/ingest_date=2020-01-01/a.csv", HEADER + GOOD)
+    run_pipeline(spark, PRICES, paths, update_id="u1")
+    write_file(f"{land}/ingest_date=2020-01-01/a2.csv", HEADER + GOOD.replace("40.5", "41.0").replace(
+        "2020-01-02 13:30:00.123456", "2020-01-03 13:30:00"))
+    run_pipeline(spark, PRICES, paths, update_id="u2")
+    silver = {r.delivery_start: (r.price_gbp_per_mwh, r.ingested_at)
+              for r in read_silver(spark, PRICES, paths).collect()}
+    assert silver[dt.datetime(2019, 12, 31, 23)] == (41.0, dt.datetime(2020, 1, 3, 13, 30))
+    assert len(silver) == 2
+    assert run_consolidation(spark, paths.monitoring, paths.history) > 0
+    hist = read_history(spark, paths.history)
+    assert hist.filter("update_id = 'u2' AND table_name = 'silver_entsoe_day_ahead_prices' "
+                       "AND expectation = 'non_negative_price'").first().failed_records == 1
+    assert run_consolidation(spark, paths.monitoring, paths.history) == 0      # idempotent
+
+
+def test_weather_int_hint_rescues_float_text(spark, workdir):
+    paths = LakePaths(workdir)
+    header = ",".join(WEATHER.column_names) + "\n"
+    row = ("2020-01-01 00:00:00+00:00,london,51.5,-0.13,5.0,3.0,{h},10,2.0,Rain,slight rain,"
+           "2020-01-02 00:00:00+00:00\n")
+    write_file(f"{paths.landing(WEATHER)}/ingest_date=2020-01-01/a.csv",
+               header + row.format(h="85") + row.format(h="85.0").replace("00:00:00+00:00,london",
+                                                                          "01:00:00+00:00,london"))
+    run_bronze(spark, WEATHER, paths.landing(WEATHER), paths.bronze(WEATHER),
+               paths.checkpoint(WEATHER), paths.event_log(WEATHER), "u1")
+    b = read_bronze(spark, WEATHER, paths.bronze(WEATHER))
+    assert b.filter("_rescued_data IS NOT NULL").count() == 1 and b.count() == 2
