@@ -65,20 +65,33 @@ def parse_series_xml(xml_text: Column, schema: str) -> Column:
     return F.from_xml(xml_text, schema)
 
 
+def _explode_present(arr: Column, alias: str) -> Column:
+    """``explode`` for arrays computed from a parsed document.
+
+    Plain ``explode`` makes Catalyst infer ``size(arr) > 0`` and push it below
+    the projection, which evaluates the document parser a second time (and,
+    behind a repartition, in the scan stage). ``explode_outer`` + a filter on the
+    generated column keeps one parse per document; the rows are the same.
+    """
+    return F.explode_outer(arr).alias(alias)
+
+
 def decode_prices(series: DataFrame) -> DataFrame:
     """Price series -> one row per point of the series' FIRST period.
 
     Series without a period yield no rows; missing positions stay missing.
     """
-    s = series.select(
+    s = (series.select(
         F.col("series.`currency_Unit.name`").alias("currency"),
         F.col("series.`in_Domain.mRID`").alias("bidding_zone"),
         "fetched_at",
-        F.get(F.col("series.Period"), 0).alias("p"))
-    pts = s.select("currency", "bidding_zone", "fetched_at",
-                   parse_instant(F.col("p.timeInterval.start")).alias("period_start"),
-                   resolution_minutes(F.col("p.resolution")).alias("step"),
-                   F.explode("p.Point").alias("pt"))
+        _explode_present(F.get(F.col("series.Period"), 0).getField("Point"), "pt"),
+        F.get(F.col("series.Period"), 0).getField("timeInterval").getField("start").alias("start"),
+        F.get(F.col("series.Period"), 0).getField("resolution").alias("resolution"))
+        .filter(F.col("pt").isNotNull()))
+    pts = s.select("currency", "bidding_zone", "fetched_at", "pt",
+                   parse_instant(F.col("start")).alias("period_start"),
+                   resolution_minutes(F.col("resolution")).alias("step"))
     start = slot_start(F.col("period_start"), F.col("pt.position"), F.col("step"))
     return pts.select(
         start.alias("delivery_start"),
@@ -93,11 +106,13 @@ def decode_generation(series: DataFrame) -> DataFrame:
     Consumption series (those carrying an out-domain) are skipped; every period
     of a series is decoded with its own start and resolution.
     """
-    s = (series.filter(F.col("series.`outBiddingZone_Domain.mRID`").isNull())
-         .select(F.col("series.`inBiddingZone_Domain.mRID`").alias("bidding_zone"),
-                 F.col("series.MktPSRType.psrType").alias("production_type_code"),
-                 "fetched_at",
-                 F.explode("series.Period").alias("p")))
+    generation_periods = F.when(F.col("series.`outBiddingZone_Domain.mRID`").isNull(),
+                                F.col("series.Period"))
+    s = (series.select(F.col("series.`inBiddingZone_Domain.mRID`").alias("bidding_zone"),
+                       F.col("series.MktPSRType.psrType").alias("production_type_code"),
+                       "fetched_at",
+                       _explode_present(generation_periods, "p"))
+         .filter(F.col("p").isNotNull()))
     pts = s.select("bidding_zone", "production_type_code", "fetched_at",
                    parse_instant(F.col("p.timeInterval.start")).alias("period_start"),
                    resolution_minutes(F.col("p.resolution")).alias("step"),
@@ -131,8 +146,9 @@ def decode_weather(payloads: DataFrame, location: str | Column = DEFAULT_LOCATIO
     never loses the hour. A payload without ``hourly`` yields no rows.
     """
     loc = F.lit(location) if isinstance(location, str) else location
-    h = payloads.select("latitude", "longitude", "fetched_at", "hourly",
-                        F.posexplode("hourly.time").alias("i", "time"))
+    h = (payloads.select("latitude", "longitude", "fetched_at", "hourly",
+                         F.posexplode_outer("hourly.time").alias("i", "time"))
+         .filter(F.col("i").isNotNull()))
 
     def var(name: str) -> Column:
         return F.get(F.col(f"hourly.{name}"), F.col("i"))
