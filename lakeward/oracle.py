@@ -313,3 +313,23 @@ SELECT table_name, expectation, p AS passed_records, f AS failed_records FROM (
 {_counts_sql(PRICES.pipeline, PRICES.bronze_table, _RESCUE_RULES, "orders")})"""
 
 SQL["incremental_silver"] = SQL["dedup_latest_events"]
+
+_DAY = (Q.AS_OF - __import__("datetime").timedelta(days=Q.INGEST_OFFSET_DAYS)).isoformat()
+SQL["delivery_window"] = f"""
+SELECT event_id, user_id, event_type, ts FROM events
+WHERE ts >= TIMESTAMP '{_DAY}' - INTERVAL 1 HOUR AND ts < TIMESTAMP '{_DAY}' + INTERVAL 23 HOUR"""
+SQL["calendar_window"] = f"""
+SELECT event_id, user_id, event_type, ts FROM events WHERE CAST(ts AS DATE) = DATE '{_DAY}'"""
+
+SQL["silver_drop_invalid"] = f"""
+WITH b AS (
+  SELECT CASE WHEN o_orderkey % 13 <> 0 THEN o_orderdate END AS delivery_start,
+         o_orderdate + INTERVAL 1 HOUR AS delivery_end,
+         CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice / 1000 - 20 END AS price_gbp_per_mwh,
+         'GBP' AS currency,
+         CASE WHEN o_orderkey % 7 <> 0 THEN '10Y' || substr(o_orderpriority, 1, 1) END AS bidding_zone,
+         CASE WHEN o_orderkey % 11 <> 0
+              THEN o_orderdate + to_hours(CAST(o_custkey % 36 AS BIGINT)) END AS fetched_at
+  FROM orders),
+s AS ({_silver_sql(PRICES, "SELECT * FROM b")})
+SELECT * FROM s WHERE {" AND ".join(f"({p})" for p in PRICES.silver_drop_rules.values())}"""

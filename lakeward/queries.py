@@ -389,21 +389,8 @@ def _dq_view(history):
 
 def bronze_rescue(spark, sf_dir):
     """Landing CSV with malformed values; counters come back through the event log."""
-    o = spread(table(spark, sf_dir, "orders"))
-    k = F.col("o_orderkey")
-    start = F.col("o_orderdate").cast("timestamp")
-    ts_text = lambda c: F.date_format(c, TIMESTAMP_FORMAT)
-    rows = o.select(
-        F.when(k % 13 != 0, ts_text(start)).alias("delivery_start"),
-        ts_text(start + F.expr("INTERVAL 1 HOUR")).alias("delivery_end"),
-        F.when(k % 10 == 0, F.lit("n/a"))
-        .otherwise((F.col("o_totalprice") / 1000 - 20).cast("string")).alias("price_gbp_per_mwh"),
-        F.lit("GBP").alias("currency"),
-        F.when(k % 7 != 0, F.lit("10YGB----------A")).alias("bidding_zone"),
-        F.when(k % 11 == 0, F.lit("yesterday")).otherwise(ts_text(start)).alias("fetched_at"),
-        F.to_date(start).alias("_day"))
     paths = _paths(spark, "bronze-rescue")
-    write_landing(rows, paths.landing(PRICES), PRICES.column_names, F.col("_day"))
+    _corrupt_price_landing(spark, sf_dir, paths)
     run_bronze(spark, PRICES, paths.landing(PRICES), paths.bronze(PRICES),
                paths.checkpoint(PRICES), paths.event_log(PRICES), RUN_ID)
     run_consolidation(spark, paths.monitoring, paths.history)
@@ -442,3 +429,63 @@ QUERIES.update({
     "pipeline_dq": pipeline_dq,
     "incremental_silver": incremental_silver,
 })
+
+
+# ---------------------------------------------------------------------------
+# Ingest windows and drop severity
+# ---------------------------------------------------------------------------
+
+from lakeward.functions.days import in_calendar_day, in_delivery_day, ingest_date  # noqa: E402
+
+INGEST_OFFSET_DAYS = 17     # AS_OF - 17 days = 2024-01-15
+
+
+def delivery_window(spark, sf_dir):
+    """The rows a daily market ingest requests: delivery day [D-1 23:00, D 23:00) UTC."""
+    ev = table(spark, sf_dir, "events")
+    day = ingest_date(INGEST_OFFSET_DAYS, AS_OF)
+    return ev.filter(in_delivery_day(F.col("ts").cast("timestamp"), day)) \
+        .select("event_id", "user_id", "event_type", "ts")
+
+
+def calendar_window(spark, sf_dir):
+    """The rows a daily weather ingest requests: the whole UTC calendar day."""
+    ev = table(spark, sf_dir, "events")
+    day = ingest_date(INGEST_OFFSET_DAYS, AS_OF)
+    return ev.filter(in_calendar_day(F.col("ts").cast("timestamp"), day)) \
+        .select("event_id", "user_id", "event_type", "ts")
+
+
+def _corrupt_price_landing(spark, sf_dir, paths):
+    o = spread(table(spark, sf_dir, "orders"))
+    k = F.col("o_orderkey")
+    start = F.col("o_orderdate").cast("timestamp")
+    ts_text = lambda c: F.date_format(c, TIMESTAMP_FORMAT)
+    rows = o.select(
+        F.when(k % 13 != 0, ts_text(start)).alias("delivery_start"),
+        ts_text(start + F.expr("INTERVAL 1 HOUR")).alias("delivery_end"),
+        F.when(k % 10 == 0, F.lit("n/a"))
+        .otherwise((F.col("o_totalprice") / 1000 - 20).cast("string")).alias("price_gbp_per_mwh"),
+        F.lit("GBP").alias("currency"),
+        F.when(k % 7 != 0, F.concat(F.lit("10Y"), F.substring("o_orderpriority", 1, 1)))
+        .alias("bidding_zone"),
+        F.when(k % 11 == 0, F.lit("yesterday"))
+        .otherwise(ts_text(start + F.make_dt_interval(F.lit(0), (F.col("o_custkey") % 36).cast("int"))))
+        .alias("fetched_at"),
+        F.to_date(start).alias("_day"))
+    write_landing(rows, paths.landing(PRICES), PRICES.column_names, F.col("_day"))
+
+
+def silver_drop_invalid(spark, sf_dir):
+    """Silver with the structural rules at drop severity, over a landing with bad rows."""
+    paths = _paths(spark, "silver-drop")
+    _corrupt_price_landing(spark, sf_dir, paths)
+    run_pipeline(spark, PRICES, paths, update_id=RUN_ID, drop_invalid=True)
+    return as_ntz(read_silver(spark, PRICES, paths))
+
+
+QUERIES.update({
+    "delivery_window": delivery_window,
+    "calendar_window": calendar_window,
+    "silver_drop_invalid": silver_drop_invalid,
+})
