@@ -76,11 +76,3 @@ def all_rules_hold(rules: Mapping[str, str]) -> Column:
 def drop_failing(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Drop severity: keep only rows for which every rule is TRUE."""
     return df.filter(all_rules_hold(rules))
-
-
-def flag_failures(df: DataFrame, rules: Mapping[str, str],
-                  column: str = "_failed_expectations") -> DataFrame:
-    """Warn severity with per-row detail: add ``array<string>`` of failed rule names."""
-    names = F.array(*[F.when(~F.coalesce(F.expr(pred), F.lit(False)), F.lit(name))
-                      for name, pred in rules.items()])
-    return df.withColumn(column, F.filter(names, lambda x: x.isNotNull()))

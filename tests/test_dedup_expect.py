@@ -5,8 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakeward.operators.dedup import dedup_latest, merge_latest
-from lakeward.operators.expectations import (drop_failing, flag_failures, merge_rules,
-                                             rule_metrics)
+from lakeward.operators.expectations import drop_failing, merge_rules, rule_metrics
 
 T = dt.datetime(2020, 1, 1)
 SCHEMA = "zone string, start timestamp, price double, fetched_at timestamp"
@@ -65,12 +64,9 @@ def test_rule_metrics_counts_null_as_failed(spark):
     assert m == {"valid_price": (2, 1), "non_negative_price": (1, 2)}
 
 
-def test_drop_and_flag(spark):
+def test_drop_severity(spark):
     df = spark.createDataFrame([("Z", T, 1.0, T), ("Z", T, -1.0, T), ("Z", T, None, T)], SCHEMA)
     assert [r.price for r in drop_failing(df, RULES).collect()] == [1.0]
-    flagged = {r.price: r._failed_expectations for r in flag_failures(df, RULES).collect()}
-    assert flagged == {1.0: [], -1.0: ["non_negative_price"],
-                       None: ["valid_price", "non_negative_price"]}
 
 
 def test_merge_rules_later_wins():
