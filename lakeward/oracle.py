@@ -333,3 +333,4 @@ WITH b AS (
   FROM orders),
 s AS ({_silver_sql(PRICES, "SELECT * FROM b")})
 SELECT * FROM s WHERE {" AND ".join(f"({p})" for p in PRICES.silver_drop_rules.values())}"""
+SQL["silver_incremental"] = SQL["silver_prices"]

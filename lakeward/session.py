@@ -18,6 +18,22 @@ CORE_CONF = {
 }
 
 
+# Single-JVM (local[*]) settings only; clusters keep Spark's defaults.
+# * A "distributed" listing job (one task per folder) is pure overhead in one
+#   JVM; list on the driver. Clusters still list huge landing folders in parallel.
+# * AQE coalesces to at most defaultParallelism partitions but never below
+#   minPartitionSize; the 1MB default folds a small multi-day landing write into
+#   one serial task where per-file cost dominates.
+LOCAL_CONF = {
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+}
+_SPARK_DEFAULTS = {
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1MB",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "lakeward",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict[str, str] | None = None) -> SparkSession:
@@ -35,14 +51,7 @@ def build_session(master: str | None = None, app_name: str = "lakeward",
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
-        # One JVM: a "distributed" listing job (one task per folder) is pure
-        # overhead; list on the driver. Clusters keep Spark's default so huge
-        # landing folders are still listed in parallel.
-        conf["spark.sql.sources.parallelPartitionDiscovery.threshold"] = "100000"
-        # AQE coalesces to at most defaultParallelism partitions but never below
-        # this size; 1MB would fold a small multi-day landing write into one
-        # serial task where per-file cost dominates.
-        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "16k"
+        conf.update(LOCAL_CONF)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -52,9 +61,17 @@ def build_session(master: str | None = None, app_name: str = "lakeward",
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Pin the session clock to UTC (day boundaries and ``date(ts)`` depend on it)."""
+    """Pin the session clock to UTC (day boundaries and ``date(ts)`` depend on it).
+
+    On a ``local[*]`` master, also applies ``LOCAL_CONF`` where the session still
+    has Spark's defaults (sessions built elsewhere, e.g. by a test driver).
+    """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.sparkContext.master.startswith("local"):
+        for key, value in LOCAL_CONF.items():
+            if spark.conf.get(key, _SPARK_DEFAULTS[key]) in (_SPARK_DEFAULTS[key], None):
+                spark.conf.set(key, value)
 
 
 def checkpoint_root(spark: SparkSession) -> str:

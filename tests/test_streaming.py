@@ -95,3 +95,38 @@ def test_weather_int_hint_rescues_float_text(spark, workdir):
                paths.checkpoint(WEATHER), paths.event_log(WEATHER), "u1")
     b = read_bronze(spark, WEATHER, paths.bronze(WEATHER))
     assert b.filter("_rescued_data IS NOT NULL").count() == 1 and b.count() == 2
+
+
+def test_incremental_silver_equals_full_and_tracks_batches(spark, workdir):
+    from lakeward.sources.tables import SnapshotTable
+    paths = LakePaths(workdir)
+    land = paths.landing(PRICES)
+    write_file(f"{land}/ingest_date=2020-01-01/a.csv", HEADER + GOOD)
+    run_pipeline(spark, PRICES, paths, update_id="u1", incremental=True)
+    table = SnapshotTable(spark, paths.silver(PRICES))
+    assert table.current_meta() == "bronze_batch=0"
+    write_file(f"{land}/ingest_date=2020-01-01/b.csv", HEADER + GOOD.replace("40.5", "42.0").replace(
+        "2020-01-02 13:30:00.123456", "2020-01-04 00:00:00") + BAD)
+    run_pipeline(spark, PRICES, paths, update_id="u2", incremental=True)
+    assert table.current_meta() == "bronze_batch=1"
+    inc = sorted(map(tuple, read_silver(spark, PRICES, paths).collect()), key=repr)
+    from lakeward.plans.pipeline import silver_frame
+    full = sorted(map(tuple, silver_frame(read_bronze(spark, PRICES, paths.bronze(PRICES)),
+                                          PRICES).collect()), key=repr)
+    assert inc == full
+    assert (40.5 not in [r[2] for r in inc]) and (42.0 in [r[2] for r in inc])
+
+
+def test_archive_moves_processed_landing_files(spark, workdir):
+    import os
+    paths = LakePaths(workdir)
+    land = paths.landing(PRICES)
+    write_file(f"{land}/ingest_date=2020-01-01/a.csv", HEADER + GOOD)
+    archive = f"{workdir}/archive"
+    run_pipeline(spark, PRICES, paths, update_id="u1", archive_dir=archive)
+    write_file(f"{land}/ingest_date=2020-01-02/b.csv", HEADER + GOOD.replace("2019-12-31 23", "2020-01-01 23"))
+    run_pipeline(spark, PRICES, paths, update_id="u2", archive_dir=archive)
+    local = lambda p: p.replace("file:", "", 1)
+    archived = [f for _, _, fs_ in os.walk(local(archive)) for f in fs_ if f.endswith(".csv")]
+    assert "a.csv" in archived
+    assert read_bronze(spark, PRICES, paths.bronze(PRICES)).count() == 4
