@@ -10,21 +10,32 @@ equal to the oracle's naive timestamps.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeward.functions.days import calendar_date, delivery_date
+from lakeward.functions.days import (calendar_date, delivery_date, in_calendar_day,
+                                     in_delivery_day, ingest_date)
 from lakeward.functions.durations import resolution_minutes, slot_end, slot_start
+from lakeward.functions.json_paths import expectations_array, expectations_details
 from lakeward.functions.lookups import production_type, weather_condition
-from lakeward.operators.dedup import dedup_latest
+from lakeward.operators import consolidate as C
+from lakeward.operators.dedup import dedup_latest, merge_latest
 from lakeward.operators.expectations import drop_failing, rule_metrics
+from lakeward.operators.merge import empty_history, merge_history
 from lakeward.plans import derived
+from lakeward.plans.domains import GENERATION, PRICES, WEATHER, DomainSpec
+from lakeward.plans.dq_job import read_history, run_consolidation
 from lakeward.plans.parallel import spread
-from lakeward.session import ensure_utc
+from lakeward.plans.pipeline import LakePaths, land, read_silver, run_pipeline
+from lakeward.session import ensure_utc, scratch_path
 from lakeward.sources import documents as docs
+from lakeward.sources import event_logs as L
+from lakeward.sources.landing import TIMESTAMP_FORMAT, write_landing
+from lakeward.streaming.bronze import read_bronze, run_bronze
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -210,10 +221,6 @@ QUERIES: dict[str, QueryFn] = {
 # Event logs and DQ consolidation
 # ---------------------------------------------------------------------------
 
-from lakeward.functions.json_paths import expectations_array, expectations_details  # noqa: E402
-from lakeward.operators import consolidate as C  # noqa: E402
-from lakeward.operators.merge import empty_history, merge_history  # noqa: E402
-from lakeward.sources import event_logs as L  # noqa: E402
 
 FIRST_RUN_CUT = dt.datetime(2024, 1, 15)
 
@@ -295,15 +302,17 @@ def fail_pct(spark, sf_dir):
 
 
 def discover_logs(spark, sf_dir):
-    import uuid
     prefix = f"lw{uuid.uuid4().hex[:8]}_"
     for p, df in _logs(spark, sf_dir).items():
         df.createOrReplaceTempView(f"{prefix}{p}{C.EVENT_LOG_SUFFIX}")
     table(spark, sf_dir, "events").createOrReplaceTempView(f"{prefix}events_raw")
     found = L.discover_in_catalog(spark, prefix=prefix)
     logs = L.logs_from_catalog(spark, found, prefix=prefix)
-    return (C.tag_logs(logs).groupBy("pipeline_name")
-            .agg(F.count(F.lit(1)).alias("n_events")))
+    out = (C.tag_logs(logs).groupBy("pipeline_name")
+           .agg(F.count(F.lit(1)).alias("n_events")))
+    for view in [*found, f"{prefix}events_raw"]:   # plans are resolved; views no longer needed
+        spark.catalog.dropTempView(view)
+    return out
 
 
 def event_log_roundtrip(spark, sf_dir):
@@ -337,13 +346,6 @@ QUERIES.update({
 # Medallion: landing -> bronze stream -> silver, DQ events
 # ---------------------------------------------------------------------------
 
-from lakeward.operators.dedup import merge_latest  # noqa: E402
-from lakeward.plans.domains import GENERATION, PRICES, WEATHER, DomainSpec  # noqa: E402
-from lakeward.plans.dq_job import read_history, run_consolidation  # noqa: E402
-from lakeward.plans.pipeline import LakePaths, land, read_silver, run_pipeline  # noqa: E402
-from lakeward.session import scratch_path  # noqa: E402
-from lakeward.sources.landing import TIMESTAMP_FORMAT, landing_day, write_landing  # noqa: E402
-from lakeward.streaming.bronze import read_bronze, run_bronze  # noqa: E402
 
 RUN_ID = "update-0001"
 
@@ -435,7 +437,6 @@ QUERIES.update({
 # Ingest windows and drop severity
 # ---------------------------------------------------------------------------
 
-from lakeward.functions.days import in_calendar_day, in_delivery_day, ingest_date  # noqa: E402
 
 INGEST_OFFSET_DAYS = 17     # AS_OF - 17 days = 2024-01-15
 
