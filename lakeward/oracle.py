@@ -102,7 +102,7 @@ FROM (SELECT CAST(ts AS DATE) AS calendar_date, count(*) AS n_rows FROM events G
 SQL["parallel_arrays"] = """
 SELECT vec_id, label, pos, x, list_reverse(embedding)[pos + 1] AS x_mirror
 FROM (SELECT vec_id, label, embedding,
-             unnest(range(len(embedding))) AS pos, unnest(embedding) AS x
+             CAST(unnest(range(len(embedding))) AS INTEGER) AS pos, unnest(embedding) AS x
       FROM embeddings)
 """
 
@@ -157,7 +157,7 @@ r AS (
   SELECT t0 + to_hours(CAST(i AS BIGINT)) AS observation_time,
          'london' AS location,
          51.5 + (user_id % 10) / 100 AS latitude,
-         -0.1278 AS longitude,
+         CAST(-0.1278 AS DOUBLE) AS longitude,
          CASE i WHEN 0 THEN value / 5 - 30 WHEN 1 THEN value / 5 - 31 END AS temp_celsius,
          CASE WHEN event_type = 'view' THEN NULL
               ELSE CASE i WHEN 0 THEN value / 5 - 33 WHEN 1 THEN value / 5 - 34

@@ -52,6 +52,12 @@ def _key(row):
     return tuple((0, "") if x is None else (1, repr(x)) for x in row)
 
 
+# Spark simpleString -> DuckDB type name, for the schema check.
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
+                 "boolean": "BOOLEAN"}
+
+
 def compare(spark, con, name: str, sf_dir: str, fn, sql: str | None):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -68,6 +74,13 @@ def compare(spark, con, name: str, sf_dir: str, fn, sql: str | None):
     if sorted(scols) != sorted(dcols):
         res.update(ok=False, why=f"columns differ: spark={scols} oracle={dcols}")
         return res
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    dtypes = dict(zip(dcols, (str(t) for t in rel.types)))
+    tdiff = {c: (stypes[c], dtypes[c]) for c in scols if stypes[c] != dtypes[c]}
+    if tdiff:
+        res.update(ok=False, why=f"types differ (spark, oracle): {tdiff}")
+        return res
     order = [dcols.index(c) for c in sorted(scols)]
     sorder = [scols.index(c) for c in sorted(scols)]
     a = sorted((tuple(r[i] for i in sorder) for r in srows), key=_key)
