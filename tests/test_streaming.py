@@ -130,3 +130,17 @@ def test_archive_moves_processed_landing_files(spark, workdir):
     archived = [f for _, _, fs_ in os.walk(local(archive)) for f in fs_ if f.endswith(".csv")]
     assert "a.csv" in archived
     assert read_bronze(spark, PRICES, paths.bronze(PRICES)).count() == 4
+
+
+def test_micro_batch_counters_sum_to_rows(spark, workdir):
+    paths = LakePaths(workdir)
+    land = paths.landing(PRICES)
+    for day in ("2020-01-01", "2020-01-02", "2020-01-03"):
+        write_file(f"{land}/ingest_date={day}/x.csv", HEADER + GOOD + BAD)
+    run = run_bronze(spark, PRICES, land, paths.bronze(PRICES), paths.checkpoint(PRICES),
+                     paths.event_log(PRICES), "u1", max_files_per_trigger=1)
+    assert len(run.batches) == 3
+    rows = read_bronze(spark, PRICES, paths.bronze(PRICES)).count()
+    hist = consolidate(logs_from_folder(spark, paths.monitoring), empty_history(spark))
+    for r in hist.collect():
+        assert r.passed_records + r.failed_records == rows
