@@ -334,3 +334,16 @@ WITH b AS (
 s AS ({_silver_sql(PRICES, "SELECT * FROM b")})
 SELECT * FROM s WHERE {" AND ".join(f"({p})" for p in PRICES.silver_drop_rules.values())}"""
 SQL["silver_incremental"] = SQL["silver_prices"]
+
+
+def _without_fetch(rows_sql: str, columns) -> str:
+    cols = ", ".join("CAST(NULL AS TIMESTAMP) AS fetched_at" if c == "fetched_at" else c
+                     for c in columns)
+    return f"SELECT {cols} FROM ({rows_sql})"
+
+
+from lakeward.sources import documents as _D  # noqa: E402
+
+SQL["scan_price_xml_files"] = _without_fetch(PRICE_ROWS_SQL, _D.PRICE_COLUMNS)
+SQL["scan_generation_xml_files"] = _without_fetch(GENERATION_ROWS_SQL, _D.GENERATION_COLUMNS)
+SQL["scan_weather_json_files"] = _without_fetch(WEATHER_ROWS_SQL, _D.WEATHER_COLUMNS)

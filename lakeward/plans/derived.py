@@ -162,3 +162,26 @@ def event_logs(events: DataFrame) -> dict[str, DataFrame]:
 def expectations_details_col(counters: Column) -> Column:
     from lakeward.functions.json_paths import expectations_details
     return expectations_details(counters)
+
+
+def write_xml_documents(series: DataFrame, column: str, path: str, root: str,
+                        namespace: str | None = None) -> None:
+    """Land ``<TimeSeries>`` text rows as XML documents, one document per file.
+
+    Spark's XML source parses each file as one document, so the series of a
+    partition are wrapped in a single root element (as a fetched market
+    document is). Rows pass through in order; nothing is collected.
+    """
+    import pandas as pd
+
+    open_tag = f'<{root} xmlns="{namespace}">' if namespace else f"<{root}>"
+    close_tag = f"</{root}>"
+
+    def wrap(batches):
+        yield pd.DataFrame({column: [open_tag]})
+        for batch in batches:
+            yield batch[[column]]
+        yield pd.DataFrame({column: [close_tag]})
+
+    (series.select(column).mapInPandas(wrap, f"{column} string")
+     .write.mode("overwrite").text(path))

@@ -513,3 +513,55 @@ def silver_incremental(spark, sf_dir):
 
 
 QUERIES["silver_incremental"] = silver_incremental
+
+
+# ---------------------------------------------------------------------------
+# Landed document files: the file-scan decode path (XML rowTag, JSON Lines)
+# ---------------------------------------------------------------------------
+
+def _no_fetch():
+    # Landed files carry no fetch time here (modification times are not reproducible).
+    return F.lit(None).cast("timestamp")
+
+
+def _land_text(df: DataFrame, column: str, path: str) -> None:
+    """JSON Lines landing: one payload per line."""
+    df.select(column).write.mode("overwrite").text(path)
+
+
+# Document root elements and their default namespaces.
+PRICE_DOCUMENT = ("Publication_MarketDocument",
+                  "urn:iec62325.351:tc57wg16:451-3:publicationdocument:7:3")
+GENERATION_DOCUMENT = ("GL_MarketDocument",
+                       "urn:iec62325.351:tc57wg16:451-6:generationloaddocument:3:0")
+
+
+def scan_price_xml_files(spark, sf_dir):
+    path = scratch_path(spark, "price-xml")
+    derived.write_xml_documents(derived.price_documents(spread(table(spark, sf_dir, "orders"))),
+                                "xml", path, *PRICE_DOCUMENT)
+    series = docs.read_series_xml(spark, path, docs.PRICE_SERIES_SCHEMA, _no_fetch())
+    return as_ntz(docs.decode_prices(series))
+
+
+def scan_generation_xml_files(spark, sf_dir):
+    path = scratch_path(spark, "generation-xml")
+    derived.write_xml_documents(
+        derived.generation_documents(spread(table(spark, sf_dir, "lineitem"))),
+        "xml", path, *GENERATION_DOCUMENT)
+    series = docs.read_series_xml(spark, path, docs.GENERATION_SERIES_SCHEMA, _no_fetch())
+    return as_ntz(docs.decode_generation(series))
+
+
+def scan_weather_json_files(spark, sf_dir):
+    path = scratch_path(spark, "weather-json")
+    _land_text(derived.weather_payloads(spread(table(spark, sf_dir, "events"))), "json", path)
+    payloads = docs.read_weather_json(spark, path, _no_fetch(), multi_line=False)
+    return as_ntz(docs.decode_weather(payloads))
+
+
+QUERIES.update({
+    "scan_price_xml_files": scan_price_xml_files,
+    "scan_generation_xml_files": scan_generation_xml_files,
+    "scan_weather_json_files": scan_weather_json_files,
+})

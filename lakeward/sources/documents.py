@@ -127,10 +127,14 @@ def decode_generation(series: DataFrame) -> DataFrame:
         "bidding_zone", "fetched_at")
 
 
-def read_weather_json(spark: SparkSession, path: str,
-                      fetched_at: Column | None = None) -> DataFrame:
-    """Scan weather payload files (one JSON document per file)."""
-    raw = spark.read.schema(WEATHER_PAYLOAD_SCHEMA).option("multiLine", True).json(path)
+def read_weather_json(spark: SparkSession, path: str, fetched_at: Column | None = None,
+                      multi_line: bool = True) -> DataFrame:
+    """Scan weather payload files.
+
+    ``multi_line=True``: one (pretty-printed) JSON document per file, as fetched.
+    ``False``: JSON Lines, one payload per line (splittable, for bulk landings).
+    """
+    raw = spark.read.schema(WEATHER_PAYLOAD_SCHEMA).option("multiLine", multi_line).json(path)
     return raw.select("latitude", "longitude", "hourly", _fetched_at(fetched_at).alias("fetched_at"))
 
 
