@@ -145,10 +145,12 @@ def consolidate(logs: Mapping[str, DataFrame], history: DataFrame,
         new_events = after_watermark_join(tag_logs(logs), watermarks(history, names))
     exploded = explode_counters(new_events)
     if complete_runs:
+        # Runs with new counters; a semi join keeps every event of those runs
+        # (AQE's skew handling covers a run holding most of the events).
         runs = exploded.select("pipeline_name", "update_id").distinct()
-        every = tag_logs(logs).filter(F.col("event_type") == FLOW_PROGRESS)
-        every = every.join(runs.withColumnRenamed("update_id", "_run"),
-                           (every["pipeline_name"] == runs["pipeline_name"]) &
-                           (every["origin.update_id"] == F.col("_run")), "left_semi")
+        every = (tag_logs(logs).filter(F.col("event_type") == FLOW_PROGRESS)
+                 .withColumn("update_id", F.col("origin.update_id"))
+                 .join(runs, ["pipeline_name", "update_id"], "left_semi")
+                 .drop("update_id"))
         exploded = explode_counters(every)
     return aggregate_runs(exploded)
