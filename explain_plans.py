@@ -27,7 +27,9 @@ NOTES = {
     "merge_upsert": "MERGE: left-anti join of history against source keys (AQE decides "
                     "broadcast from measured size) + union.",
     "decode_generation_xml": "Generation decode: one from_xml per document, explode_outer "
-                             "of periods then points, literal-map lookup; no shuffle.",
+                             "of periods then points, literal-map lookup. The round-robin "
+                             "exchange is the spread() guard (the test file is a single "
+                             "split); on a real lake it is absent.",
     "incremental_silver": "Incremental silver: only keys touched by new rows are re-ranked.",
 }
 
