@@ -301,7 +301,7 @@ for _spec, _rows in ((PRICES, PRICE_ROWS_SQL), (GENERATION, GENERATION_ROWS_SQL)
                             f"(SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM ({_rows}))"))
     _pdq.append(_counts_sql(_spec.pipeline, _spec.silver_table, _spec.silver_rules,
                             f"({_silver_sql(_spec, _rows)})"))
-SQL["pipeline_dq"] = _with_pct("\nUNION ALL\n".join(_pdq))
+SQL["medallion_dq"] = _with_pct("\nUNION ALL\n".join(_pdq))
 
 _RESCUE_RULES = {
     "no_rescued_data": "NOT (o_orderkey % 10 = 0 OR o_orderkey % 11 = 0)",

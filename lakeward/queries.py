@@ -399,8 +399,8 @@ def bronze_rescue(spark, sf_dir):
     return _dq_view(read_history(spark, paths.history)).drop("fail_pct", "pipeline_name")
 
 
-def pipeline_dq(spark, sf_dir):
-    paths = _paths(spark, "pipeline-dq")
+def medallion_dq(spark, sf_dir):
+    paths = _paths(spark, "medallion-dq")
     for spec, rows_fn in ((PRICES, price_rows), (GENERATION, generation_rows),
                           (WEATHER, weather_rows)):
         land(rows_fn(spark, sf_dir), spec, paths)
@@ -428,7 +428,7 @@ QUERIES.update({
     "silver_prices": silver_prices,
     "silver_generation": silver_generation,
     "silver_weather": silver_weather,
-    "pipeline_dq": pipeline_dq,
+    "medallion_dq": medallion_dq,
     "incremental_silver": incremental_silver,
 })
 
