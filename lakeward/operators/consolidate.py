@@ -34,7 +34,7 @@ HISTORY_COLUMNS = ("pipeline_name", "update_id", "run_timestamp", "run_date", "t
 
 
 def pipeline_name_of(table: str, suffix: str = EVENT_LOG_SUFFIX) -> str:
-    """``entsoe_event_log`` -> ``entsoe``."""
+    """``prices_event_log`` -> ``prices``."""
     if not table.endswith(suffix):
         raise ValueError(f"{table!r} does not end with {suffix!r}")
     return table[: -len(suffix)]
