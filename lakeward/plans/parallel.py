@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the input has fewer splits than cores.
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over the cluster only when the input has fewer splits than cores.
 
     Document decoding is CPU-bound; a landing folder of a few large files can
-    produce fewer scan tasks than there are cores. At scale the scan already
-    has many splits and this is a no-op (no extra shuffle). The partition count
-    is read from the physical plan, nothing is executed.
+    produce fewer scan tasks than there are cores. The partition count is read
+    from the physical plan (nothing is executed). When a spread is needed, an
+    un-keyed ``rebalance`` lets AQE choose the partition count from the measured
+    bytes, so a small table is never cut into thousands of tiny tasks on a large
+    cluster. At scale the scan already has many splits and this is a no-op.
     """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(target)
+    return df.hint("rebalance")
