@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeward.functions.json_paths import expectations_details
 from lakeward.functions.timestamps import format_instant
 
 RESOLUTIONS = ("PT15M", "PT30M", "PT60M")
@@ -137,7 +138,7 @@ def event_log_rows(events: DataFrame) -> DataFrame:
                   F.lit("plausible_value").alias("name"),
                   (F.col("event_id") % 50).alias("passed_records"),
                   F.when(k % 29 != 0, k % 7).alias("failed_records"))
-    good = expectations_details_col(F.array(c1, c2))
+    good = expectations_details(F.array(c1, c2))
     details = (F.when(k % 17 == 0, F.to_json(F.struct(F.struct(
                    F.struct(F.col("event_id").alias("num_output_rows")).alias("metrics"))
                    .alias("flow_progress"))))
@@ -159,10 +160,6 @@ def event_logs(events: DataFrame) -> dict[str, DataFrame]:
     return {p: rows.filter(F.col("event_kind") == p).drop("event_kind") for p in EVENT_PIPELINES}
 
 
-def expectations_details_col(counters: Column) -> Column:
-    from lakeward.functions.json_paths import expectations_details
-    return expectations_details(counters)
-
 
 def write_xml_documents(series: DataFrame, column: str, path: str, root: str,
                         namespace: str | None = None) -> None:
