@@ -71,3 +71,16 @@ def test_drop_severity(spark):
 
 def test_merge_rules_later_wins():
     assert merge_rules({"a": "x", "b": "y"}, {"b": "z"}) == {"a": "x", "b": "z"}
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    n = 90_000
+    df = (spark.range(n).repartition(16)
+          .selectExpr("CASE WHEN id % 3 = 0 THEN 'HOT' ELSE CAST(id AS STRING) END AS zone",
+                      "TIMESTAMP '2020-01-01 00:00:00' AS start",
+                      "CAST(id AS DOUBLE) AS price",
+                      "TIMESTAMP '2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS fetched_at"))
+    out = dedup_latest(df, ["zone", "start"])
+    assert out.count() == n - n // 3 + 1                     # every cold key + one hot row
+    hot = out.filter("zone = 'HOT'").first()
+    assert hot.price == float(n - 3)                          # the latest fetch of the hot key
