@@ -136,3 +136,15 @@ def test_weather_json_parallel_arrays(spark, workdir):
         ("Rain", "slight rain"), ("Unknown", "unknown"), ("Unknown", "unknown")]
     assert rows[0].observation_time == dt.datetime(2020, 1, 1) and rows[0].location == "london"
     assert rows[0].latitude == 51.5
+
+
+def test_price_first_period_without_points_gives_no_rows(spark):
+    ts = ("<TimeSeries><currency_Unit.name>GBP</currency_Unit.name><in_Domain.mRID>Z</in_Domain.mRID>"
+          "<Period><timeInterval><start>2020-01-01T00:00Z</start></timeInterval>"
+          "<resolution>PT60M</resolution></Period>"
+          "<Period><timeInterval><start>2020-01-02T00:00Z</start></timeInterval>"
+          "<resolution>PT60M</resolution><Point><position>1</position>"
+          "<price.amount>5</price.amount></Point></Period></TimeSeries>")
+    df = spark.createDataFrame([(ts, FETCHED)], "x string, fetched_at timestamp")
+    series = df.select(D.parse_series_xml(F.col("x"), D.PRICE_SERIES_SCHEMA).alias("series"), "fetched_at")
+    assert D.decode_prices(series).count() == 0

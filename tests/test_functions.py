@@ -74,3 +74,13 @@ def test_lookups_known_unknown_null(spark):
 
 def test_lookup_sizes():
     assert len(PRODUCTION_TYPES) == 21 and len(WEATHER_CODES) == 28
+
+
+def test_calendar_day_window(spark):
+    from lakeward.functions.days import in_calendar_day, ingest_date
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 1, 0, 0),), (dt.datetime(2020, 1, 1, 23, 59, 59),),
+                                (dt.datetime(2020, 1, 2, 0, 0),), (dt.datetime(2019, 12, 31, 23, 0),)],
+                               "ts timestamp")
+    day = ingest_date(1, dt.date(2020, 1, 2))
+    got = [r[0] for r in df.select(in_calendar_day(F.col("ts"), day)).collect()]
+    assert got == [True, True, False, False]
