@@ -154,13 +154,6 @@ def event_log_rows(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("event_kind"))
 
 
-def event_logs(events: DataFrame) -> dict[str, DataFrame]:
-    """One event log per pipeline (event type); each a filtered view of the same table."""
-    rows = event_log_rows(events)
-    return {p: rows.filter(F.col("event_kind") == p).drop("event_kind") for p in EVENT_PIPELINES}
-
-
-
 def write_xml_documents(series: DataFrame, column: str, path: str, root: str,
                         namespace: str | None = None) -> None:
     """Land ``<TimeSeries>`` text rows as XML documents, one document per file.

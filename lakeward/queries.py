@@ -34,6 +34,7 @@ from lakeward.plans.pipeline import LakePaths, land, read_silver, run_pipeline
 from lakeward.session import ensure_utc, scratch_path
 from lakeward.sources import documents as docs
 from lakeward.sources import event_logs as L
+from lakeward.sources import fs
 from lakeward.sources.landing import TIMESTAMP_FORMAT, write_landing
 from lakeward.streaming.bronze import read_bronze, run_bronze
 
@@ -226,7 +227,18 @@ FIRST_RUN_CUT = dt.datetime(2024, 1, 15)
 
 
 def _logs(spark, sf_dir):
-    return derived.event_logs(table(spark, sf_dir, "events"))
+    """Event logs as Parquet folders, one per pipeline.
+
+    The derived log rows are written once, partitioned by pipeline, so each log
+    is its own folder read once (as separate production logs are), and the
+    consolidation's pushed watermark / nested pruning act on real file scans.
+    """
+    root = scratch_path(spark, "event-logs")
+    (derived.event_log_rows(table(spark, sf_dir, "events"))
+     .write.partitionBy("event_kind").parquet(root))
+    folders = {p: f"{root}/event_kind={p}" for p in derived.EVENT_PIPELINES}
+    return {p: L.read_event_log(spark, path) for p, path in folders.items()
+            if fs.exists(spark, path)}
 
 
 def union_tagged(spark, sf_dir):
