@@ -22,3 +22,12 @@ def test_history_created_even_without_logs(spark, workdir):
     hist = read_history(spark, f"{workdir}/monitoring/hist")
     assert hist.schema == HISTORY_SCHEMA and hist.count() == 0
     assert SnapshotTable(spark, f"{workdir}/monitoring/hist").exists()
+
+
+def test_folder_discovery_takes_only_event_logs(spark, workdir):
+    from lakeward.sources.event_logs import discover_in_folder, logs_from_folder
+    mon = f"{workdir}/mon"
+    for name in ("b_event_log", "a_event_log", "dq_expectation_history", "event_log_backup"):
+        spark.range(1).write.parquet(f"{mon}/{name}/part")
+    assert discover_in_folder(spark, mon) == ["a_event_log", "b_event_log"]
+    assert sorted(logs_from_folder(spark, mon)) == ["a", "b"]
