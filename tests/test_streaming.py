@@ -144,3 +144,23 @@ def test_micro_batch_counters_sum_to_rows(spark, workdir):
     hist = consolidate(logs_from_folder(spark, paths.monitoring), empty_history(spark))
     for r in hist.collect():
         assert r.passed_records + r.failed_records == rows
+
+
+def test_replayed_batch_after_crash_is_idempotent(spark, workdir):
+    """A crash between the sink write and the commit log makes Spark replay the batch."""
+    import os
+    paths = LakePaths(workdir)
+    write_file(f"{paths.landing(PRICES)}/ingest_date=2020-01-01/a.csv", HEADER + GOOD + BAD)
+    first = _run(spark, paths, "u1")
+    assert first.batches == [0]
+    rows = read_bronze(spark, PRICES, paths.bronze(PRICES)).count()
+    commits = paths.checkpoint(PRICES).replace("file:", "", 1) + "/commits"
+    for name in ("0", ".0.crc"):                          # batch 0 written, commit never made
+        if os.path.exists(f"{commits}/{name}"):
+            os.remove(f"{commits}/{name}")
+    replay = _run(spark, paths, "u2")
+    assert replay.batches == [0]                          # same batch id, same files
+    assert read_bronze(spark, PRICES, paths.bronze(PRICES)).count() == rows
+    from lakeward.sources.event_logs import read_event_log
+    events = read_event_log(spark, paths.event_log(PRICES)).collect()
+    assert len(events) == 1 and events[0].origin.update_id == "u2"   # replay replaced its event
