@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 from lakeward.llm.bpe import op9_bpe_roundtrip
+from lakeward.llm.quality import op2_quality_rules
+from lakeward.llm.quality_sql import SQL as QUALITY_SQL
 
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op9_bpe_roundtrip": op9_bpe_roundtrip,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_quality_rules": QUALITY_SQL,
+}
