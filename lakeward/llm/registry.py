@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from lakeward.llm.bpe import op9_bpe_roundtrip
+from lakeward.llm import decontam
 from lakeward.llm.quality import op2_quality_rules
 from lakeward.llm.quality_sql import SQL as QUALITY_SQL
+from lakeward.llm.sharding import op6_hash_ring
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op6_hash_ring": op6_hash_ring,
     "op9_bpe_roundtrip": op9_bpe_roundtrip,
+    "op10_spaced_seeds": decontam.op10_spaced_seeds,
 }
 
 SQL: dict[str, str] = {
     "op2_quality_rules": QUALITY_SQL,
+    "op10_spaced_seeds": decontam.SQL,
 }
