@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from lakeward.llm.bpe import op9_bpe_roundtrip
-from lakeward.llm import decontam
+from lakeward.llm import chat, decontam, warc
 from lakeward.llm.quality import op2_quality_rules
 from lakeward.llm.quality_sql import SQL as QUALITY_SQL
 from lakeward.llm.sharding import op6_hash_ring
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_chat_format": chat.op3_chat_format,
+    "op4_warc_chunks": warc.op4_warc_chunks,
     "op6_hash_ring": op6_hash_ring,
     "op9_bpe_roundtrip": op9_bpe_roundtrip,
     "op10_spaced_seeds": decontam.op10_spaced_seeds,
@@ -17,5 +19,7 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op2_quality_rules": QUALITY_SQL,
+    "op3_chat_format": chat.SQL,
+    "op4_warc_chunks": warc.SQL,
     "op10_spaced_seeds": decontam.SQL,
 }
