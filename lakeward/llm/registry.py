@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from lakeward.llm.bpe import op9_bpe_roundtrip
-from lakeward.llm import chat, decontam, warc
+from lakeward.llm import chat, decontam, ngram_join, warc
 from lakeward.llm.quality import op2_quality_rules
 from lakeward.llm.quality_sql import SQL as QUALITY_SQL
 from lakeward.llm.sharding import op6_hash_ring
 
 QUERIES = {
+    "op1_jaccard_join": ngram_join.op1_jaccard_join,
     "op2_quality_rules": op2_quality_rules,
     "op3_chat_format": chat.op3_chat_format,
     "op4_warc_chunks": warc.op4_warc_chunks,
@@ -18,6 +19,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_jaccard_join": ngram_join.SQL,
     "op2_quality_rules": QUALITY_SQL,
     "op3_chat_format": chat.SQL,
     "op4_warc_chunks": warc.SQL,
