@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,11 @@ def words(text: Column) -> Column:
         F.split(trimmed, SPACE_CLASS))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 

@@ -20,13 +20,10 @@ each on its own; other columns, of any name, are kept by ``kept_documents``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from lakeward.llm.common import SPACE_CHARS, cut, read_table, words
+from lakeward.llm.common import SPACE_CHARS, cut, let, read_table, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -41,11 +38,6 @@ CUTOFFS = {
 }
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _repeat_words(ws: Column) -> Column:
     """Words inside 3-word windows that occur at least twice in ``ws``."""
     def count(hashes: Column) -> Column:
@@ -64,14 +56,14 @@ def _repeat_words(ws: Column) -> Column:
                 lambda acc: acc.n)
 
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")
-                      ).otherwise(_let(ordered, covered))
+                      ).otherwise(let(ordered, covered))
 
     def windows(w: Column) -> Column:
         hashes = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(
             F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
-        return F.when(F.size(w) < 3, F.lit(0).cast("long")).otherwise(_let(hashes, count))
+        return F.when(F.size(w) < 3, F.lit(0).cast("long")).otherwise(let(hashes, count))
 
-    return _let(ws, windows)
+    return let(ws, windows)
 
 
 def features(text: Column) -> Column:
@@ -79,7 +71,7 @@ def features(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
     ws = words(t)
     lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "")
-    dup = _let(lines, lambda x: F.struct(
+    dup = let(lines, lambda x: F.struct(
         F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("d")))
     return F.struct(
         F.size(ws).cast("long").alias("n_words"),
