@@ -8,10 +8,14 @@ sets are linked when ``100 * |x & y| >= 75 * |x | y|``.
    sets are one node from here on, so copies cost one row each and no pairs.
 2. Shingles get one global order, rare ones (by the sketch) first. Linked sets
    must share a shingle among the first ``n - ceil(0.75 n) + 1`` of each. Those
-   prefixes are grouped by shingle; nodes that meet there hang on the group's
-   smallest node, and the components of these stars are the cells: a link never
-   leaves a cell. The order only decides which shingles are looked at, so the
-   sketch's collisions cannot lose a link.
+   prefixes are grouped by shingle. Nodes that meet in short groups are paired if
+   their sizes fit and counted: linked sets of sizes n and m share at least
+   ``ceil(3 (n + m) / 7) - ceil(0.75 max(n, m)) + 1`` prefix shingles (common
+   shingles up to the smaller of the two last prefix shingles lie in both prefixes,
+   the others behind that prefix). Nodes of a long group hang on its first node.
+   The components of these pairs and stars are the cells: a link never leaves a
+   cell. The order only decides which shingles are looked at, so the sketch's
+   collisions cannot lose a link.
 3. Only nodes of a cell with company have their texts sent again, once per block.
    Small cells are binned to blocks of about ``BLOCK`` shingles; a larger cell is
    cut by size bands (linked sizes differ by a factor of 4/3 at most, so only
@@ -51,11 +55,12 @@ from lakeward.llm.components import components
 
 SHINGLE = 5
 NUM, DEN = 75, 100            # similarity of at least NUM / DEN
-SKETCH_BITS = 16
+SKETCH_BITS = 18
 SKETCH = 1 << SKETCH_BITS
 SKETCH_PARTS = 64
 BLOCK = 1_500_000             # shingles of a block
 MU = 0.0085                   # DivideSkip's share of a binary probe in the cost of a merge
+PAIR_RUN = 16                 # prefix shingles of up to so many nodes give their pairs
 HEAP_ENTRIES = 4096           # above, the merge of the short lists runs on whole arrays
 CACHE_WORDS = 500_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -127,7 +132,7 @@ def sets_and_sketch(docs: DataFrame) -> DataFrame:
 
 
 def collect_sketch(rows: DataFrame) -> np.ndarray:
-    """The sketch's ``SKETCH`` counters, summed by part: half a megabyte whatever the input."""
+    """The sketch's ``SKETCH`` counters, summed by part: a fixed size whatever the input."""
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for pdf in batches:
@@ -154,6 +159,10 @@ def least_overlap(n: int) -> int:
     return -(-NUM * n // DEN)
 
 
+def prefix_length(n: int) -> int:
+    return n - least_overlap(n) + 1
+
+
 def linked(overlap, n, m):
     return DEN * overlap >= NUM * (n + m - overlap)
 
@@ -163,20 +172,22 @@ def prefixes(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, done = WordHashes(), set()
         for pdf in batches:
-            tokens, nodes = [], []
+            tokens, nodes, sizes = [], [], []
             for text in pdf["text"]:
                 s = shingle_set(text, hashes)
                 node = fingerprint(s)
                 if not len(s) or node in done:
                     continue
                 done.add(node)
-                head = in_order(s, sketch)[:len(s) - least_overlap(len(s)) + 1]
+                head = in_order(s, sketch)[:prefix_length(len(s))]
                 tokens.append(_signed(head))
                 nodes.append(np.full(len(head), node, np.int64))
+                sizes.append(np.full(len(head), len(s), np.int64))
             if tokens:
-                yield pd.DataFrame({"token": np.concatenate(tokens), "node": np.concatenate(nodes)})
+                yield pd.DataFrame({"token": np.concatenate(tokens), "node": np.concatenate(nodes),
+                                    "n": np.concatenate(sizes)})
 
-    return docs.select("text").mapInPandas(run, "token bigint, node bigint")
+    return docs.select("text").mapInPandas(run, "token bigint, node bigint, n bigint")
 
 
 class BlockIndex:
@@ -279,27 +290,104 @@ def search_block(sets: list[np.ndarray], copies: np.ndarray, side: np.ndarray |
     return root, links
 
 
-def prefix_stars(pref: DataFrame) -> DataFrame:
-    """Edges from every node to the smallest node that shares a prefix shingle with it."""
+def prefix_pairs(pref: DataFrame, most: int = PAIR_RUN) -> DataFrame:
+    """Which nodes meet in a prefix shingle: ``a, b, n_a, n_b, shared``.
+
+    A shingle with up to ``most`` nodes gives its pairs of fitting size; of a
+    shingle with more, every node is paired with the first only (``shared`` null),
+    which joins them to one cell without their pairs.
+    """
+    def pairs(node: np.ndarray, n: np.ndarray, first: np.ndarray, count: np.ndarray) -> list[tuple]:
+        out = []
+        for step in range(1, most):  # every row with the row `step` further on in its run
+            run = np.flatnonzero((count > step) & (count <= most))
+            if not len(run):
+                break
+            left = np.repeat(first[run], count[run] - step)
+            ends = np.cumsum(count[run] - step)
+            left = left + np.arange(len(left)) - np.repeat(ends - (count[run] - step), count[run] - step)
+            right = left + step
+            fits = (DEN * np.minimum(n[left], n[right]) >= NUM * np.maximum(n[left], n[right])) & (
+                node[left] != node[right])
+            out.append((node[left][fits], node[right][fits], n[left][fits], n[right][fits]))
+        return out
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last_token, last_hub = None, None
-        for pdf in batches:
-            token, node = pdf["token"].to_numpy(), pdf["node"].to_numpy()
-            if not len(token):
+        held = np.empty((0, 3), np.int64)   # an unfinished run of at most ``most`` + 1 rows
+        hub = None                          # (token, node, n) of an unfinished longer run
+        for pdf in _then_end(batches):
+            rows = held if pdf is None else np.concatenate(
+                [held, pdf[["token", "node", "n"]].to_numpy(np.int64)])
+            if not len(rows):
                 continue
-            new = np.r_[True, token[1:] != token[:-1]]
-            run_start = np.maximum.accumulate(np.where(new, np.arange(len(token)), 0))
-            hub = node[run_start]
-            if last_token is not None and token[0] == last_token:  # a run across batches
-                hub[run_start == 0] = last_hub
-            last_token, last_hub = token[-1], hub[-1]
-            far = hub != node
-            if far.any():
-                edges = np.unique(np.stack([hub[far], node[far]], axis=1), axis=0)
-                yield pd.DataFrame({"hub": edges[:, 0], "node": edges[:, 1]})
+            token = rows[:, 0]
+            first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+            count = np.diff(np.r_[first, len(token)])
+            closed = len(first) if pdf is None else len(first) - 1
+            stop = len(rows) if pdf is None else first[-1]
+            node, n = rows[:, 1], rows[:, 2]
+            stars = []
+            starts, counts = first[:closed], count[:closed]
+            if hub is not None:  # the first run goes on with a run whose start is gone
+                if token[0] == hub[0]:
+                    k = count[0]
+                    stars.append(_star(hub, node[:k], n[:k]))
+                    if closed == 0:
+                        held = np.empty((0, 3), np.int64)
+                        yield _edges([], stars)
+                        continue
+                    starts, counts = starts[1:], counts[1:]
+                hub = None
+            long = counts > most
+            for a, k in zip(starts[long].tolist(), counts[long].tolist()):
+                stars.append(_star((token[a], node[a], n[a]), node[a + 1:a + k], n[a + 1:a + k]))
+            made = pairs(node, n, starts, counts)
+            held = rows[stop:]
+            if len(held) > most:
+                hub = tuple(held[0])
+                stars.append(_star(hub, held[1:, 1], held[1:, 2]))
+                held = np.empty((0, 3), np.int64)
+            yield _edges(made, stars)
 
     dealt = pref.repartition("token").sortWithinPartitions("token", "node")
-    return dealt.mapInPandas(run, "hub bigint, node bigint")
+    return dealt.mapInPandas(run, "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint")
+
+
+def _then_end(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
+    yield from batches
+    yield None
+
+
+def _star(hub: tuple, node: np.ndarray, n: np.ndarray) -> tuple:
+    far = node != hub[1]
+    return (np.full(int(far.sum()), hub[1]), node[far], np.full(int(far.sum()), hub[2]), n[far])
+
+
+def _edges(pairs: list[tuple], stars: list[tuple]) -> pd.DataFrame:
+    columns = ["a", "b", "n_a", "n_b", "shared"]
+    parts = []
+    for some, is_star in ((pairs, False), (stars, True)):
+        flat = [np.concatenate([x[i] for x in some]) for i in range(4)] if some else [np.empty(0, np.int64)] * 4
+        got, times = np.unique(np.stack(flat, axis=1), axis=0, return_counts=True)
+        frame = pd.DataFrame(got, columns=columns[:4])
+        frame["shared"] = pd.array([None] * len(got), "Int64") if is_star else pd.array(times, "Int64")
+        parts.append(frame)
+    return pd.concat(parts, ignore_index=True)
+
+
+def cell_edges(met: DataFrame) -> DataFrame:
+    """Edges between nodes that may be linked: pairs with enough shared prefix shingles, and stars.
+
+    A pair that also meets in a longer run is joined by that run's star, so the
+    shared shingles of all other pairs are counted in full.
+    """
+    n, m = F.col("n_a"), F.col("n_b")
+    larger = F.greatest(n, m)
+    overlap = F.ceil(F.lit(NUM) * (n + m) / (NUM + DEN))
+    needed = F.greatest(F.lit(1), overlap - F.ceil(F.lit(NUM) * larger / DEN) + 1)
+    totals = met.groupBy("a", "b", "n_a", "n_b").agg(
+        F.sum("shared").alias("shared"), F.max(F.col("shared").isNull()).alias("star"))
+    return totals.where(F.col("star") | (F.col("shared") >= needed)).select("a", "b")
 
 
 def block_rows(cells: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -376,7 +464,7 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     members = raw.where("part = -1").select(F.col("doc").cast(id_type).alias("doc_id"), "n", "node")
     nodes = cut(members.where("n > 0").groupBy("node", "n").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "ngram-nodes")
-    cells = components(prefix_stars(prefixes(docs, sketch)), "hub", "node", "ngram-cells")
+    cells = components(cell_edges(prefix_pairs(prefixes(docs, sketch))), "a", "b", "ngram-cells")
     celled = cut(nodes.join(cells.select(F.col("node").alias("c_node"), F.col("component").alias("cell")),
                             F.col("node") == F.col("c_node")).drop("c_node"), "ngram-celled")
     found = cut(block_links(block_rows(celled, block), docs), "ngram-links")
