@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lakeward.llm.bpe import op9_bpe_roundtrip
-from lakeward.llm import chat, decontam, ngram_join, phrases, pii, warc
+from lakeward.llm import chat, decontam, line_dedup, ngram_join, phrases, pii, warc
 from lakeward.llm.quality import op2_quality_rules
 from lakeward.llm.quality_sql import SQL as QUALITY_SQL
 from lakeward.llm.sharding import op6_hash_ring
@@ -13,6 +13,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_chat_format": chat.op3_chat_format,
     "op4_warc_chunks": warc.op4_warc_chunks,
+    "op5_line_similarity": line_dedup.op5_line_similarity,
     "op6_hash_ring": op6_hash_ring,
     "op7_pii_disclosure": pii.op7_pii_disclosure,
     "op8_phrase_automata": phrases.op8_phrase_automata,
@@ -25,6 +26,7 @@ SQL: dict[str, str] = {
     "op2_quality_rules": QUALITY_SQL,
     "op3_chat_format": chat.SQL,
     "op4_warc_chunks": warc.SQL,
+    "op5_line_similarity": line_dedup.SQL,
     "op8_phrase_automata": phrases.SQL,
     "op10_spaced_seeds": decontam.SQL,
 }
