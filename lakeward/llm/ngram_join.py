@@ -486,6 +486,26 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "node")
 
 
+def one_per_component(docs: DataFrame) -> DataFrame:
+    """``docs`` with the document of the smallest id of every component, and no others.
+
+    Documents with an empty set all stay. Rows with equal id and text are one
+    document, of which one row stays.
+    """
+    found = cut(jaccard_components(docs).select("doc_id", "component_id"), "ngram-found")
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("k_id")).distinct()
+    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["k_id"]), "left_semi")
+    repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col("doc_id").alias("r_id"))
+    if repeated.isEmpty():
+        return kept
+    repeated = cut(repeated, "ngram-repeated")
+    same = kept["doc_id"].eqNullSafe(repeated["r_id"])
+    return kept.join(repeated, same, "left_anti").unionByName(
+        kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "n_links")
