@@ -141,20 +141,21 @@ class _Members:
     def more(self) -> bool:
         """Adds at least one byte to the buffer; False at the end of the range."""
         while True:
-            if self.inflate.eof:
-                self.raw, self.inflate = self.inflate.unused_data + self.raw, zlib.decompressobj(31)
-            if not self.raw:
-                if self.left <= 0:
-                    return False
+            if self.inflate.eof:  # the next member begins behind the end of this one
+                self.raw, self.inflate = self.inflate.unused_data, zlib.decompressobj(31)
+            if not self.raw and self.left > 0:
                 self.raw = self.stream.read(min(self.piece, self.left))
                 if not self.raw:
                     raise ValueError("archive is shorter than its manifest says")
                 self.left -= len(self.raw)
+            drained = not self.raw
             got = self.inflate.decompress(self.raw, self.piece)
-            self.raw = self.inflate.unconsumed_tail
+            self.raw = b"" if self.inflate.eof else self.inflate.unconsumed_tail
             if got:
                 self.buffer += got
                 return True
+            if drained and not self.inflate.eof:
+                return False
 
     def until(self, mark: bytes) -> bytes | None:
         """Everything up to and including ``mark``; None at the end of the range."""
