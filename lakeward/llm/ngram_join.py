@@ -233,7 +233,8 @@ class BlockIndex:
         found, count = self._merge(start[short], length[short], need - n_long)
         if len(found) and len(long):
             count = count + self._probe(found, start[long], length[long], np.sort(token[long]))
-        return found, count
+        enough = count >= need
+        return found[enough], count[enough]
 
     def _merge(self, start: np.ndarray, length: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         """Members that occur in at least ``least`` of the short lists."""
