@@ -112,8 +112,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a benchmark overlap, with the columns of ``docs``."""
     bad = verdicts(docs, benchmark).select(F.col("doc_id").alias("bad_id"),
                                            F.col("text_hash").alias("bad_hash"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id"))
-                     & (F.xxhash64(docs["text"]) == F.col("bad_hash")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"])
+                     & (F.xxhash64(docs["text"]) == bad["bad_hash"]), "left_anti")
 
 
 def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,7 @@ the query and kept by ``without_repeats``.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import ahocorasick
@@ -196,17 +197,20 @@ def _numbered(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated words taken out of ``text`` (kept words joined by a space)."""
     found = marks(_numbered(docs)).withColumnRenamed("doc", "m_doc")
-    joined = docs.join(found, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("m_doc"), "left").drop("m_doc")
+    number = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID))
+    marked = next(c for c in (f"starts{k}" for k in itertools.count()) if c not in docs.columns)
+    joined = docs.join(found, number == found["m_doc"], "left").select(
+        *[docs[f"`{c}`"] for c in docs.columns], found["starts"].alias(marked))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = []
-            for text, starts in zip(pdf["text"], pdf["starts"]):
+            for text, starts in zip(pdf["text"], pdf[marked]):
                 if starts is not None and text is not None:
                     words, keep = _kept(text, starts)
                     text = b" ".join(w for w, k in zip(words, keep) if k).decode()
                 texts.append(text)
-            yield pdf.drop(columns="starts").assign(text=texts)
+            yield pdf.drop(columns=marked).assign(text=texts)
 
     return joined.mapInPandas(run, docs.schema)
 
