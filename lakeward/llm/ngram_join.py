@@ -55,12 +55,12 @@ from lakeward.llm.components import components
 
 SHINGLE = 5
 NUM, DEN = 75, 100            # similarity of at least NUM / DEN
-SKETCH_BITS = 18
+SKETCH_BITS = 20              # raise it with the corpus: noise is the root of shingles per counter
 SKETCH = 1 << SKETCH_BITS
 SKETCH_PARTS = 64
-BLOCK = 1_500_000             # shingles of a block
+BLOCK = 1_000_000             # shingles of a block
 MU = 0.0085                   # DivideSkip's share of a binary probe in the cost of a merge
-PAIR_RUN = 16                 # prefix shingles of up to so many nodes give their pairs
+PAIR_RUN = 64                 # prefix shingles of up to so many nodes give their pairs
 HEAP_ENTRIES = 4096           # above, the merge of the short lists runs on whole arrays
 CACHE_WORDS = 500_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -112,7 +112,7 @@ def bucket(shingles: np.ndarray) -> np.ndarray:
 def sets_and_sketch(docs: DataFrame) -> DataFrame:
     """Rows of documents (``part`` -1) and of the task's sketch (``part`` 0 and up)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, counts, seen = WordHashes(), np.zeros(SKETCH, np.int64), False
+        hashes, counts, seen = WordHashes(), np.zeros(SKETCH, np.int32), False
         for pdf in batches:
             sizes, prints = [], []
             for text in pdf["text"]:
@@ -137,7 +137,7 @@ def collect_sketch(rows: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for pdf in batches:
             for part, raw in zip(pdf["part"], pdf["counts"]):
-                got = np.frombuffer(raw, np.int64)
+                got = np.frombuffer(raw, np.int32).astype(np.int64)
                 sums[part] = sums[part] + got if part in sums else got
         if sums:
             yield pd.DataFrame({"part": list(sums), "counts": [s.tobytes() for s in sums.values()]})
@@ -146,12 +146,12 @@ def collect_sketch(rows: DataFrame) -> np.ndarray:
     parts = rows.where("part >= 0").select("part", "counts").repartition(SKETCH_PARTS, "part")
     for r in parts.mapInPandas(add, "part int, counts binary").collect():
         total[r["part"]] = np.frombuffer(bytes(r["counts"]), np.int64)
-    return total.reshape(-1)
+    return np.minimum(total.reshape(-1), np.iinfo(np.int32).max).astype(np.int32)
 
 
 def in_order(s: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     """Shingles by the global order: rarest sketch counter first, then by hash."""
-    return s[np.lexsort((s, sketch[bucket(s)]))]
+    return s[np.argsort(sketch[bucket(s)], kind="stable")]  # s is sorted by hash
 
 
 def least_overlap(n: int) -> int:
