@@ -12,9 +12,9 @@ starts in a document with a smaller id.
    documents become one row with their smallest id before they are dealt.
 3. Segments are dealt by gram to shards. A shard confirms the windows that occur in
    segments of more than one document, compiles them into an Aho-Corasick automaton
-   (pyahocorasick, over word numbers) and streams its segments through it: every
+   (pyahocorasick, over word numbers as two characters) and streams its segments through it: every
    occurrence gets the smallest id of its window. A shard with very many segments
-   works through several automata, each of at most ``AUTOMATON_WINDOWS`` windows.
+   works through several automata, each of at most ``AUTOMATON_PHRASES`` phrases.
 4. Occurrences owned by a smaller id mark their words; marks meet their document
    again, which is written without them.
 
@@ -44,8 +44,8 @@ from lakeward.llm.common import cut, read_table
 from lakeward.llm.ngram_join import WordHashes
 
 WINDOW = 13
-GRAM = 8
-AUTOMATON_WINDOWS = 100_000
+GRAM = 6
+AUTOMATON_PHRASES = 50_000
 SHARD_WORDS = 2_000_000       # words of the segments of one shard, about
 NO_ID = np.iinfo(np.int64).max
 _MIX = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(GRAM)], dtype=np.uint64)
@@ -94,11 +94,32 @@ def gram_rows(docs: DataFrame) -> DataFrame:
 
 
 def recurring(grams: DataFrame) -> DataFrame:
-    """``doc, grams``: per document its grams that other documents have too."""
-    dealt = grams.repartition("gram")
-    shared = dealt.groupBy("gram").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi")
-    return (dealt.join(shared.select(F.col("gram").alias("s_gram")), F.col("gram") == F.col("s_gram"))
-            .groupBy("doc").agg(F.collect_list("gram").alias("grams")))  # at most the document's own
+    """``doc, grams``: per document its grams that other documents have too.
+
+    Rows are dealt by gram and sorted, so a task streams the documents of a gram and
+    remembers one row of it.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.empty((0, 2), np.int64)   # the only document so far of the last gram
+        known = None                        # the last gram, once it has two documents
+        for pdf in batches:
+            rows = np.concatenate([held, pdf[["gram", "doc"]].to_numpy(np.int64)])
+            if not len(rows):
+                continue
+            gram, doc = rows[:, 0], rows[:, 1]
+            first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+            count = np.diff(np.r_[first, len(gram)])
+            several = doc[first + count - 1] != doc[first]
+            if known is not None and gram[0] == known:
+                several[0] = True
+            known = gram[-1] if several[-1] else None
+            held = np.empty((0, 2), np.int64) if several[-1] else rows[first[-1]:first[-1] + 1]
+            take = np.repeat(several, count)
+            yield pd.DataFrame({"gram": gram[take], "doc": doc[take]})
+
+    dealt = grams.repartition("gram").sortWithinPartitions("gram", "doc")
+    shared = dealt.mapInPandas(run, "gram bigint, doc bigint")
+    return shared.groupBy("doc").agg(F.collect_list("gram").alias("grams"))  # the document's own
 
 
 def segment_rows(docs: DataFrame, shared: DataFrame) -> DataFrame:
@@ -129,29 +150,65 @@ def find_owners(segments: list[str], lo: np.ndarray, hi: np.ndarray) -> list[np.
 
     ``lo`` and ``hi`` are the smallest and largest ids of the documents with the segment.
     """
-    number: dict[str, int] = {}
-    coded = [[number.setdefault(w, len(number)) for w in s.split(" ")] for s in segments]
+    coded = _two_symbols(segments)
     # Confirm: windows by their words, with the smallest and largest id they occur in.
-    least: dict[tuple, int] = {}
-    most: dict[tuple, int] = {}
-    for codes, a, b in zip(coded, lo.tolist(), hi.tolist()):
-        for i in range(len(codes) - WINDOW + 1):
-            w = tuple(codes[i:i + WINDOW])
-            least[w] = min(least.get(w, a), a)
-            most[w] = max(most.get(w, b), b)
-    patterns = [w for w, a in least.items() if a < most[w]]
-    owners = [np.full(len(c) - WINDOW + 1, NO_ID, np.int64) for c in coded]
-    for k in range(0, len(patterns), AUTOMATON_WINDOWS):
-        machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for w in patterns[k:k + AUTOMATON_WINDOWS]:
-            machine.add_word(w, least[w])
+    least: dict[str, int] = {}
+    most: dict[str, int] = {}
+    shared: set[str] = set()  # windows of several segments
+    size = 2 * WINDOW
+    for code, a, b in zip(coded, lo.tolist(), hi.tolist()):
+        for i in range(0, len(code) - size + 2, 2):
+            w = code[i:i + size]
+            if w in least:
+                shared.add(w)
+                least[w] = min(least[w], a)
+                most[w] = max(most[w], b)
+            else:
+                least[w], most[w] = a, b
+    # Patterns: windows of several segments by themselves; neighbouring windows that
+    # only one segment has, which recurs as a whole, as one phrase.
+    patterns = [(w, least[w], 1) for w in shared if least[w] < most[w]]
+    for code, a, b in zip(coded, lo.tolist(), hi.tolist()):
+        if a < b:
+            begin = 0
+            for i in range(0, len(code) - size + 4, 2):
+                if i > len(code) - size or code[i:i + size] in shared:
+                    if i > begin:
+                        patterns.append((code[begin:i - 2 + size], a, (i - begin) // 2))
+                    begin = i + 2
+    owners = [np.full(max(len(c) // 2 - WINDOW + 1, 0), NO_ID, np.int64) for c in coded]
+    for k in range(0, len(patterns), AUTOMATON_PHRASES):
+        machine = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+        for phrase, owner, windows in patterns[k:k + AUTOMATON_PHRASES]:
+            machine.add_word(phrase, (owner, windows))
         machine.make_automaton()
-        for codes, found in zip(coded, owners):
-            for end, owner in machine.iter(tuple(codes)):
-                found[end - WINDOW + 1] = owner
+        for code, found in zip(coded, owners):
+            for end, (owner, windows) in machine.iter(code):
+                last = (end + 1) // 2 - WINDOW
+                found[last - windows + 1:last + 1] = owner
     return owners
 
 
+def _two_symbols(segments: list[str]) -> list[str]:
+    """Segments with every word as two characters of its number.
+
+    The automaton searches a state's successors one by one, so states need few of
+    them; the two characters come from different ranges, so no match is shifted.
+    """
+    number: dict[str, str] = {}
+    out = []
+    for s in segments:
+        code = []
+        for w in s.split(" "):
+            c = number.get(w)
+            if c is None:
+                k = len(number)
+                c = number[w] = chr(0x200 + k // 256) + chr(0x20 + k % 256)
+            code.append(c)
+        out.append("".join(code))
+    return out
+
+
 def owned_segments(distinct: DataFrame) -> DataFrame:
     """``seg_key, owners``: the owner of each window of a distinct segment, by shard."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:

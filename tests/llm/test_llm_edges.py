@@ -336,7 +336,7 @@ def test_small_automata_find_the_same(monkeypatch):
     segments = [" ".join(words[k:k + 18]) for k in range(12)] + [sentence(rng, 18)]
     lo, hi = np.arange(13), np.arange(13)
     whole = phrases.find_owners(segments, lo, hi)
-    monkeypatch.setattr(phrases, "AUTOMATON_WINDOWS", 3)
+    monkeypatch.setattr(phrases, "AUTOMATON_PHRASES", 3)
     for a, b in zip(whole, phrases.find_owners(segments, lo, hi)):
         assert a.tolist() == b.tolist()
     assert (whole[-1] == phrases.NO_ID).all() and whole[5][0] == 0
