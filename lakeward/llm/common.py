@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,4 +40,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     schema = df.schema
     df.write.parquet(path)
+    # The finished job's shuffle files go as soon as nothing refers to them, rather
+    # than when the driver next happens to collect its garbage.
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(schema).parquet(path)

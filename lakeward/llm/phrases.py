@@ -3,10 +3,12 @@
 A window is ``WINDOW`` consecutive words. A word goes when some window over it also
 starts in a document with a smaller id.
 
-1. Every window has a representative gram: the ``GRAM``-word gram with the smallest
+1. Documents with the same text are one text with its smallest id; the others lose
+   every word under a window, and only the first goes through the rest.
+   Every window has a representative gram: the ``GRAM``-word gram with the smallest
    hash among its ``WINDOW - GRAM + 1`` grams (a minimizer), so equal windows have
-   equal grams. Grams that occur in one document only are dropped after one
-   pre-aggregated count; no window with such a gram can recur.
+   equal grams. Grams that occur in one text only are dropped; no window with such a
+   gram can recur in another text.
 2. Runs of windows with the same recurring gram are cut out as segments (their
    words, at most ``2 * WINDOW - GRAM`` of them). Equal segments of different
    documents become one row with their smallest id before they are dealt.
@@ -31,7 +33,6 @@ the query and kept by ``without_repeats``.
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import ahocorasick
@@ -60,7 +61,7 @@ def gram_hashes(words: list[bytes], hashes: WordHashes) -> np.ndarray:
     total = np.zeros(count, dtype=np.uint64)
     for k in range(GRAM):
         total += w[k:k + count] * _MIX[k]
-        total = (total ^ (total >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
+    total = (total ^ (total >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
     return total ^ (total >> np.uint64(32))
 
 
@@ -69,7 +70,11 @@ def representatives(grams: np.ndarray) -> np.ndarray:
     span = WINDOW - GRAM + 1
     if len(grams) < span:
         return np.empty(0, np.uint64)
-    return np.lib.stride_tricks.sliding_window_view(grams, span).min(axis=1)
+    low, width = grams, 1  # low[i]: smallest of the `width` hashes from i on
+    while width < span:
+        step = min(width, span - width)
+        low, width = np.minimum(low[:-step], low[step:]), width + step
+    return low
 
 
 def _window_grams(text: str | None, hashes: WordHashes) -> tuple[list[bytes], np.ndarray]:
@@ -78,57 +83,60 @@ def _window_grams(text: str | None, hashes: WordHashes) -> tuple[list[bytes], np
 
 
 def gram_rows(docs: DataFrame) -> DataFrame:
-    """``gram, doc``: the distinct representative grams of every document."""
+    """``gram, text_key``: the distinct representative grams of every text, once per task."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        hashes, done = WordHashes(), set()
         for pdf in batches:
-            grams, ids = [], []
-            for doc, text in zip(pdf["doc"], pdf["text"]):
-                own = np.unique(_window_grams(text, hashes)[1])
-                grams.append(own)
-                ids.append(np.full(len(own), doc, np.int64))
-            yield pd.DataFrame({"gram": np.concatenate(grams), "doc": np.concatenate(ids)} if grams
-                               else {"gram": [], "doc": []})
+            grams, keys = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for key, text in zip(pdf["text_key"], pdf["text"]):
+                if key not in done:
+                    done.add(key)
+                    grams.append(np.unique(_window_grams(text, hashes)[1]))
+                    keys.append(np.full(len(grams[-1]), key, np.int64))
+            yield pd.DataFrame({"gram": np.concatenate(grams), "text_key": np.concatenate(keys)})
 
-    return docs.select("doc", "text").mapInPandas(run, "gram bigint, doc bigint")
+    return docs.select("text_key", "text").mapInPandas(run, "gram bigint, text_key bigint")
 
 
 def recurring(grams: DataFrame) -> DataFrame:
-    """``doc, grams``: per document its grams that other documents have too.
+    """``text_key, grams``: per text its grams that other texts have too.
 
-    Rows are dealt by gram and sorted, so a task streams the documents of a gram and
+    Rows are dealt by gram and sorted, so a task streams the texts of a gram and
     remembers one row of it.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = np.empty((0, 2), np.int64)   # the only document so far of the last gram
-        known = None                        # the last gram, once it has two documents
+        held = np.empty((0, 2), np.int64)   # the only text so far of the last gram
+        known = None                        # the last gram, once it has two texts
         for pdf in batches:
-            rows = np.concatenate([held, pdf[["gram", "doc"]].to_numpy(np.int64)])
+            rows = np.concatenate([held, pdf[["gram", "text_key"]].to_numpy(np.int64)])
             if not len(rows):
                 continue
-            gram, doc = rows[:, 0], rows[:, 1]
+            gram, key = rows[:, 0], rows[:, 1]
             first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
             count = np.diff(np.r_[first, len(gram)])
-            several = doc[first + count - 1] != doc[first]
+            several = key[first + count - 1] != key[first]
             if known is not None and gram[0] == known:
                 several[0] = True
             known = gram[-1] if several[-1] else None
             held = np.empty((0, 2), np.int64) if several[-1] else rows[first[-1]:first[-1] + 1]
             take = np.repeat(several, count)
-            yield pd.DataFrame({"gram": gram[take], "doc": doc[take]})
+            yield pd.DataFrame({"gram": gram[take], "text_key": key[take]})
 
-    dealt = grams.repartition("gram").sortWithinPartitions("gram", "doc")
-    shared = dealt.mapInPandas(run, "gram bigint, doc bigint")
-    return shared.groupBy("doc").agg(F.collect_list("gram").alias("grams"))  # the document's own
+    dealt = grams.repartition("gram").sortWithinPartitions("gram", "text_key")
+    shared = dealt.mapInPandas(run, "gram bigint, text_key bigint")
+    return shared.groupBy("text_key").agg(F.collect_list("gram").alias("grams"))  # the text's own
 
 
 def segment_rows(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """``gram, segment, doc, start``: runs of windows with the same recurring gram."""
+    """``gram, segment, doc, text_key, start``: runs of windows with the same recurring gram.
+
+    ``shared`` names the text's first document, the only one that is cut.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for pdf in batches:
             out = []
-            for doc, text, grams in zip(pdf["doc"], pdf["text"], pdf["grams"]):
+            for doc, key, text, grams in zip(pdf["doc"], pdf["text_key"], pdf["text"], pdf["grams"]):
                 words, own = _window_grams(text, hashes)
                 hit = np.isin(own, np.asarray(grams, np.int64))
                 edge = np.flatnonzero(np.r_[True, (own[1:] != own[:-1])]) if len(own) else np.empty(0, np.int64)
@@ -137,12 +145,13 @@ def segment_rows(docs: DataFrame, shared: DataFrame) -> DataFrame:
                     # A run longer than a gram can stay smallest is cut, so segments are bounded.
                     for c in range(a, b, WINDOW - GRAM + 1) if hit[a] else ():
                         d = min(c + WINDOW - GRAM + 1, b)
-                        out.append((own[a], b" ".join(words[c:d + WINDOW - 1]).decode(), doc, c))
-            yield pd.DataFrame(out, columns=["gram", "segment", "doc", "start"])
+                        out.append((own[a], b" ".join(words[c:d + WINDOW - 1]).decode(), doc, key, c))
+            yield pd.DataFrame(out, columns=["gram", "segment", "doc", "text_key", "start"])
 
-    joined = docs.join(shared.select(F.col("doc").alias("s_doc"), "grams"), F.col("doc") == F.col("s_doc"))
-    return joined.select("doc", "text", "grams").mapInPandas(
-        run, "gram bigint, segment string, doc bigint, start int")
+    named = shared.select(F.col("first").alias("s_doc"), F.col("text_key").alias("s_key"), "grams")
+    joined = docs.join(named, (F.col("doc") == F.col("s_doc")) & (F.col("text_key") == F.col("s_key")))
+    return joined.select("doc", "text_key", "text", "grams").mapInPandas(
+        run, "gram bigint, segment string, doc bigint, text_key bigint, start int")
 
 
 def find_owners(segments: list[str], lo: np.ndarray, hi: np.ndarray) -> list[np.ndarray]:
@@ -210,35 +219,49 @@ def _two_symbols(segments: list[str]) -> list[str]:
 
 
 def owned_segments(distinct: DataFrame) -> DataFrame:
-    """``seg_key, owners``: the owner of each window of a distinct segment, by shard."""
+    """``o_gram, o_seg, owners``: the owner of each window of a distinct segment, by shard."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         owners = find_owners(pdf["segment"].tolist(), pdf["lo"].to_numpy(np.int64), pdf["hi"].to_numpy(np.int64))
         some = [k for k, o in enumerate(owners) if (o != NO_ID).any()]
-        return pd.DataFrame({"seg_key": pdf["seg_key"].iloc[some].to_numpy(),
+        return pd.DataFrame({"o_gram": pdf["gram"].to_numpy()[some], "o_seg": pdf["seg"].to_numpy()[some],
                              "owners": [owners[k] for k in some]})
 
-    return distinct.groupBy("shard").applyInPandas(run, "seg_key string, owners array<bigint>")
+    return distinct.groupBy("shard").applyInPandas(run, "o_gram bigint, o_seg bigint, owners array<bigint>")
 
 
 def marks(docs: DataFrame) -> DataFrame:
-    """``doc, starts``: first words of the windows that a smaller id has too."""
-    shared = recurring(gram_rows(docs))
-    segments = cut(segment_rows(docs, shared).withColumn("seg_key", F.md5("segment")), "phrases-segments")
-    distinct = segments.groupBy("seg_key").agg(
-        F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.min("gram").alias("gram"),
-        F.min("segment").alias("segment"))
+    """``m_doc, m_key, whole, starts``: what goes of each document that loses words.
+
+    ``starts`` are the first words of windows that a smaller id has too. A document
+    whose whole text has a smaller id (``whole``) loses every word under a window.
+    """
+    ids = cut(docs.select("doc", "text_key").distinct(), "phrases-ids")
+    firsts = ids.groupBy(F.col("text_key").alias("f_key")).agg(F.min("doc").alias("first"))
+    shared = cut(recurring(gram_rows(docs)), "phrases-grams")
+    shared = shared.join(firsts, F.col("text_key") == F.col("f_key"))
+    segments = cut(segment_rows(docs, shared).withColumn("seg", F.xxhash64("segment")), "phrases-segments")
+    distinct = segments.groupBy("gram", "seg").agg(
+        F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.min("segment").alias("segment"))
     words = segments.select(F.sum(F.length("segment") / 6)).first()[0] or 0
     shards = max(1, int(words / SHARD_WORDS) + 1)
-    owned = owned_segments(distinct.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards))))
-    hits = (segments.select("seg_key", "doc", "start")
-            .join(owned.withColumnRenamed("seg_key", "o_key"), F.col("seg_key") == F.col("o_key"))
-            .select("doc", F.explode(F.transform("owners", lambda o, i: F.when(
+    owned = cut(owned_segments(distinct.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards)))),
+                "phrases-owned")
+    hits = (segments.select("gram", "seg", "doc", "text_key", "start")
+            .join(owned, (F.col("gram") == F.col("o_gram")) & (F.col("seg") == F.col("o_seg")))
+            .select("doc", "text_key", F.explode(F.transform("owners", lambda o, i: F.when(
                 o < F.col("doc"), F.col("start") + i))).alias("at")).where("at IS NOT NULL"))
-    return hits.groupBy("doc").agg(F.collect_set("at").alias("starts"))
+    parts = hits.groupBy(F.col("doc").alias("m_doc"), F.col("text_key").alias("m_key")).agg(
+        F.collect_set("at").alias("starts"))
+    copies = ids.join(firsts, (F.col("text_key") == F.col("f_key")) & (F.col("doc") > F.col("first"))).select(
+        F.col("doc").alias("m_doc"), F.col("text_key").alias("m_key"))
+    return parts.select("m_doc", "m_key", F.lit(False).alias("whole"), "starts").unionByName(
+        copies.select("m_doc", "m_key", F.lit(True).alias("whole"), F.array().cast("array<int>").alias("starts")))
 
 
-def _kept(text: str | None, starts) -> tuple[list[bytes], np.ndarray]:
+def _kept(text: str | None, whole: bool | None, starts) -> tuple[list[bytes], np.ndarray]:
     words = (text or "").encode().split()
+    if whole:
+        return words, np.full(len(words), len(words) < WINDOW)
     gone = np.zeros(len(words) + 1, np.int64)
     if starts is not None and len(starts):
         at = np.asarray(starts, np.int64)
@@ -248,42 +271,44 @@ def _kept(text: str | None, starts) -> tuple[list[bytes], np.ndarray]:
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
+                       F.xxhash64(text).alias("text_key"), "text")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated words taken out of ``text`` (kept words joined by a space)."""
-    found = marks(_numbered(docs)).withColumnRenamed("doc", "m_doc")
+    found = marks(_numbered(docs))
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
     number = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID))
-    marked = next(c for c in (f"starts{k}" for k in itertools.count()) if c not in docs.columns)
-    joined = docs.join(found, number == found["m_doc"], "left").select(
-        *[docs[f"`{c}`"] for c in docs.columns], found["starts"].alias(marked))
+    joined = docs.join(found, (number == found["m_doc"]) & (
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found["m_key"]), "left").select(
+        row.alias("row"), docs["text"].alias("text"), found["whole"].alias("whole"), found["starts"].alias("starts"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = []
-            for text, starts in zip(pdf["text"], pdf[marked]):
-                if starts is not None and text is not None:
-                    words, keep = _kept(text, starts)
-                    text = b" ".join(w for w, k in zip(words, keep) if k).decode()
-                texts.append(text)
-            yield pdf.drop(columns=marked).assign(text=texts)
+    @F.pandas_udf("string")
+    def rest(text: pd.Series, whole: pd.Series, starts: pd.Series) -> pd.Series:
+        out = []
+        for t, w, s in zip(text, whole, starts):
+            if t is not None and (s is not None or w):
+                words, keep = _kept(t, bool(w), s)
+                t = b" ".join(x for x, k in zip(words, keep) if k).decode()
+            out.append(t)
+        return pd.Series(out, dtype=object)
 
-    return joined.mapInPandas(run, docs.schema)
+    return joined.withColumn("row", F.col("row").withField("text", rest("text", "whole", "starts"))).select("row.*")
 
 
 def repeat_digests(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every document."""
     rows = _numbered(docs)
-    found = marks(rows).withColumnRenamed("doc", "m_doc")
-    joined = rows.join(found, F.col("doc") == F.col("m_doc"), "left").select(
-        F.col("doc_id").cast("string").alias("id"), "text", "starts")
+    joined = rows.join(marks(rows), (F.col("doc") == F.col("m_doc")) & (F.col("text_key") == F.col("m_key")),
+                       "left").select(F.col("doc_id").cast("string").alias("id"), "text", "whole", "starts")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for doc, text, starts in zip(pdf["id"], pdf["text"], pdf["starts"]):
-                words, keep = _kept(text, starts)
+            for doc, text, whole, starts in zip(pdf["id"], pdf["text"], pdf["whole"], pdf["starts"]):
+                words, keep = _kept(text, whole is not None and bool(whole), starts)
                 kept = b" ".join(w for w, k in zip(words, keep) if k)
                 out.append((doc, len(words), int((~keep).sum()), hashlib.sha256(kept).hexdigest()))
             yield pd.DataFrame(out, columns=["id", "n_words", "n_removed", "kept_sha256"])
