@@ -14,7 +14,6 @@ Semantics (per pipeline):
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping
 from functools import reduce
 
@@ -26,13 +25,18 @@ from lakeward.functions.json_paths import expectations_array
 # Fixed values of the event-log contract.
 EVENT_LOG_SUFFIX = "_event_log"
 FLOW_PROGRESS = "flow_progress"
-DEFAULT_WATERMARK = dt.datetime(1900, 1, 1)
+DEFAULT_WATERMARK_MICROS = -2_208_988_800_000_000  # 1900-01-01T00:00Z
 LOG_COLUMNS = ("origin", "timestamp", "details", "event_type")
 HISTORY_KEYS = ("pipeline_name", "update_id", "table_name", "expectation")
 HISTORY_COLUMNS = ("pipeline_name", "update_id", "run_timestamp", "run_date", "table_name",
                    "expectation", "passed_records", "failed_records", "fail_pct")
 
 
+def instant(micros: int) -> Column:
+    """Literal TIMESTAMP of microseconds since the epoch."""
+    return F.timestamp_micros(F.lit(micros))
+
+
 def pipeline_name_of(table: str, suffix: str = EVENT_LOG_SUFFIX) -> str:
     """``prices_event_log`` -> ``prices``."""
     if not table.endswith(suffix):
@@ -53,14 +57,12 @@ def tag_logs(logs: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def watermarks(history: DataFrame, pipelines: list[str] | None = None) -> DataFrame:
-    """``(pipeline_name, watermark)``: latest consolidated run per pipeline.
+def watermarks(history: DataFrame, pipelines: list[str]) -> DataFrame:
+    """``(pipeline_name, watermark)``: latest consolidated run of the given pipelines.
 
-    With ``pipelines`` given the result has at most ``len(pipelines)`` rows, a
-    size bound that makes broadcasting it safe.
+    At most ``len(pipelines)`` rows, a size bound that makes broadcasting it safe.
     """
-    if pipelines is not None:
-        history = history.filter(F.col("pipeline_name").isin(pipelines))
+    history = history.filter(F.col("pipeline_name").isin(pipelines))
     return history.groupBy("pipeline_name").agg(F.max("run_timestamp").alias("watermark"))
 
 
@@ -68,23 +70,25 @@ def after_watermark_join(tagged: DataFrame, wm: DataFrame) -> DataFrame:
     """Relational form: LEFT JOIN the (bounded, broadcast) watermark table, keep newer events."""
     joined = tagged.join(F.broadcast(wm), "pipeline_name", "left")
     return (joined.filter((F.col("event_type") == FLOW_PROGRESS) &
-                          (F.col("timestamp") > F.coalesce(F.col("watermark"),
-                                                           F.lit(DEFAULT_WATERMARK))))
+                          (F.col("timestamp") > F.coalesce(
+                              F.col("watermark"), instant(DEFAULT_WATERMARK_MICROS))))
             .drop("watermark"))
 
 
 def after_watermark_pushdown(logs: Mapping[str, DataFrame],
-                             marks: Mapping[str, dt.datetime | None]) -> DataFrame:
+                             marks: Mapping[str, int | None]) -> DataFrame:
     """Pushdown form: a literal ``timestamp > w`` on every log *before* the union.
 
     The literal reaches each Parquet scan as a pushed filter (row groups older
-    than the watermark are skipped), which the join form cannot do.
+    than the watermark are skipped), which the join form cannot do. Marks are
+    microseconds since the epoch, so no time zone of the driver enters.
     """
     parts = {}
     for name, df in logs.items():
-        w = marks.get(name) or DEFAULT_WATERMARK
+        w = marks.get(name)
+        w = DEFAULT_WATERMARK_MICROS if w is None else w
         parts[name] = df.filter((F.col("event_type") == FLOW_PROGRESS) &
-                                (F.col("timestamp") > F.lit(w)))
+                                (F.col("timestamp") > instant(w)))
     return tag_logs(parts)
 
 
@@ -138,8 +142,9 @@ def consolidate(logs: Mapping[str, DataFrame], history: DataFrame,
     """
     names = sorted(logs)
     if pushdown:
-        marks = {r["pipeline_name"]: r["watermark"]
-                 for r in watermarks(history, names).collect()}
+        micros = F.unix_micros("watermark").alias("micros")
+        marks = {r["pipeline_name"]: r["micros"]
+                 for r in watermarks(history, names).select("pipeline_name", micros).collect()}
         new_events = after_watermark_pushdown(logs, marks)
     else:
         new_events = after_watermark_join(tag_logs(logs), watermarks(history, names))

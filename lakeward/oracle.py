@@ -177,6 +177,18 @@ SELECT observation_time, location, latitude, longitude, temp_celsius, feels_like
        coalesce(wc.descr, 'unknown') AS weather_description, fetched_at
 FROM r LEFT JOIN wc ON wc.code = r.code
 """
+SQL["decode_bad_documents"] = """
+WITH o AS (SELECT CASE WHEN o_orderkey % 17 = 0 OR o_orderkey % 13 = 0 THEN 'malformed record'
+    WHEN o_orderpriority = '5-LOW' THEN 'no period'
+    WHEN o_orderkey % 11 = 0 THEN 'value is no number'
+    WHEN o_orderkey % 19 = 0 THEN 'period without a start' ELSE 'decoded rows' END AS reason FROM orders),
+e AS (SELECT CASE WHEN event_id % 7 <> 0 THEN 'decoded rows' WHEN event_id % 2 = 0 THEN 'API error: limit'
+    ELSE 'malformed record' END AS reason, event_type FROM events)
+SELECT 'price' AS source, reason, CAST(count(*) * CASE reason WHEN 'decoded rows' THEN 2 ELSE 1 END AS BIGINT) AS n
+FROM o WHERE reason <> 'no period' GROUP BY reason
+UNION ALL SELECT 'weather', reason, CAST(count(*) * CASE reason WHEN 'decoded rows' THEN 3 ELSE 1 END AS BIGINT)
+FROM e WHERE reason <> 'decoded rows' OR event_type <> 'error' GROUP BY reason"""
+
 SQL["decode_weather_json"] = WEATHER_ROWS_SQL
 
 # ---------------------------------------------------------------------------
@@ -227,7 +239,7 @@ SQL["watermark_max"] = f"""WITH {_EV}, {_X}
 SELECT pipeline_name, max(ts) AS watermark FROM x WHERE et = 'flow_progress'
 GROUP BY pipeline_name"""
 
-_CUT = f"TIMESTAMP '{Q.FIRST_RUN_CUT.isoformat(sep=' ')}'"
+_CUT = "TIMESTAMP '2024-01-15 00:00:00'"
 
 SQL["watermark_filter"] = f"""WITH {_EV},
 wm AS (SELECT event_type AS pipeline_name, max(ts) AS watermark FROM events

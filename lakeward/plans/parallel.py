@@ -1,4 +1,4 @@
-"""Parallelism guard for CPU-heavy steps on few input splits."""
+"""Parallelism for CPU-heavy steps on inputs of few splits, as the caller's choice."""
 
 from __future__ import annotations
 
@@ -6,16 +6,10 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over the cluster only when the input has fewer splits than cores.
+    """Deal the rows of ``df`` anew in partitions that AQE sizes from measured bytes.
 
-    Document decoding is CPU-bound; a landing folder of a few large files can
-    produce fewer scan tasks than there are cores. The partition count is read
-    from the physical plan (nothing is executed). When a spread is needed, an
-    un-keyed ``rebalance`` lets AQE choose the partition count from the measured
-    bytes, so a small table is never cut into thousands of tiny tasks on a large
-    cluster. At scale the scan already has many splits and this is a no-op.
+    For callers that know their input has few splits (the benchmark tables are one
+    file each) and spread narrow rows before a step that makes documents of them.
+    The plan is the same for every size and master, and nothing runs to decide it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
     return df.hint("rebalance")

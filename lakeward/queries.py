@@ -38,6 +38,11 @@ from lakeward.sources import fs
 from lakeward.sources.landing import TIMESTAMP_FORMAT, write_landing
 from lakeward.streaming.bronze import read_bronze, run_bronze
 
+def utc_literal(text: str):
+    """TIMESTAMP literal of a UTC wall-clock time, whatever zone the driver runs in."""
+    return F.expr(f"TIMESTAMP '{text} UTC'")
+
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -201,7 +206,38 @@ def decode_weather_json(spark, sf_dir):
     return as_ntz(weather_rows(spark, sf_dir))
 
 
+def decode_bad_documents(spark, sf_dir):
+    """Documents of which some are broken: rows decoded and records quarantined by reason."""
+    k = F.col("doc_id")
+    whole = derived.price_documents(spread(table(spark, sf_dir, "orders")))
+    xml = (F.when(k % 17 == 0, F.lit("Service unavailable"))
+           .when(k % 13 == 0, F.expr("left(xml, length(xml) - 20)"))
+           .when(k % 11 == 0, F.replace("xml", F.lit("<price.amount>"), F.lit("<price.amount>n/a ")))
+           .when(k % 19 == 0, F.regexp_replace("xml", "<start>[^<]*</start>", ""))
+           .otherwise(F.col("xml")))
+    series = whole.select(docs.parse_series_xml(xml, docs.PRICE_SERIES_SCHEMA).alias("series"), "fetched_at")
+    events = table(spark, sf_dir, "events")
+    weather = derived.weather_payloads(events.where("event_id % 7 <> 0")).select("json", "fetched_at")
+    errors = events.where("event_id % 7 = 0").select(
+        F.when(F.col("event_id") % 2 == 0, F.lit('{"error": true, "reason": "limit"}'))
+        .otherwise(F.lit('{"latitude": 51.5, "hourly": {"ti')).alias("json"),
+        F.col("ts").cast("timestamp").alias("fetched_at"))
+    payloads = weather.unionByName(errors).select(
+        docs.parse_weather_json(F.col("json")).alias("p"), "fetched_at").select("p.*", "fetched_at")
+
+    def counted(rows: DataFrame, source: str, reason) -> DataFrame:
+        return rows.groupBy(F.lit(source).alias("source"), reason.alias("reason")).agg(
+            F.count(F.lit(1)).alias("n"))
+
+    decoded = F.lit("decoded rows")
+    return (counted(docs.decode_prices(series, on_bad="quarantine"), "price", decoded)
+            .unionByName(counted(docs.quarantined_series(series, docs.PRICE_VALUE), "price", F.col("reason")))
+            .unionByName(counted(docs.decode_weather(payloads, on_bad="quarantine"), "weather", decoded))
+            .unionByName(counted(docs.quarantined_payloads(payloads), "weather", F.col("reason"))))
+
+
 QUERIES: dict[str, QueryFn] = {
+    "decode_bad_documents": decode_bad_documents,
     "dedup_latest_events": dedup_latest_events,
     "dedup_latest_lineitem": dedup_latest_lineitem,
     "dedup_null_keys": dedup_null_keys,
@@ -223,7 +259,7 @@ QUERIES: dict[str, QueryFn] = {
 # ---------------------------------------------------------------------------
 
 
-FIRST_RUN_CUT = dt.datetime(2024, 1, 15)
+FIRST_RUN_CUT = "2024-01-15 00:00:00"
 
 
 def _logs(spark, sf_dir):
@@ -271,15 +307,15 @@ def dq_consolidate_join(spark, sf_dir):
 
 
 def watermark_max(spark, sf_dir):
-    hist = _first_history(spark, _logs(spark, sf_dir))
-    return as_ntz(C.watermarks(hist))
+    logs = _logs(spark, sf_dir)
+    return as_ntz(C.watermarks(_first_history(spark, logs), sorted(logs)))
 
 
 def watermark_filter(spark, sf_dir):
     logs = _logs(spark, sf_dir)
     ev = table(spark, sf_dir, "events")
     # State of a history written before FIRST_RUN_CUT that never saw the signup pipeline.
-    prior = (ev.filter((F.col("ts") < F.lit(FIRST_RUN_CUT)) & (F.col("event_type") != "signup"))
+    prior = (ev.filter((F.col("ts").cast("timestamp") < utc_literal(FIRST_RUN_CUT)) & (F.col("event_type") != "signup"))
              .select(F.col("event_type").alias("pipeline_name"),
                      F.col("ts").cast("timestamp").alias("run_timestamp")))
     wm = C.watermarks(prior, sorted(logs))
@@ -290,11 +326,11 @@ def watermark_filter(spark, sf_dir):
 
 def merge_upsert(spark, sf_dir):
     logs = _logs(spark, sf_dir)
-    early = {p: df.filter(F.col("timestamp") < F.lit(FIRST_RUN_CUT)) for p, df in logs.items()}
+    early = {p: df.filter(F.col("timestamp") < utc_literal(FIRST_RUN_CUT)) for p, df in logs.items()}
     hist1 = merge_history(empty_history(spark), C.consolidate(early, empty_history(spark)))
     hist1 = hist1.checkpoint()  # the stored history between the two runs
-    hist2 = merge_history(hist1, C.consolidate(logs, hist1))
-    return as_ntz(hist2)
+    source = C.consolidate(logs, hist1).checkpoint()  # read by both sides of the merge
+    return as_ntz(merge_history(hist1, source))
 
 
 def consolidate_rerun(spark, sf_dir):
@@ -426,7 +462,7 @@ def medallion_dq(spark, sf_dir):
 def incremental_silver(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     keys, order, tie = ["user_id", "event_type"], "ts", ["event_id"]
-    early = F.col("ts") < F.lit(FIRST_RUN_CUT)
+    early = F.col("ts").cast("timestamp") < utc_literal(FIRST_RUN_CUT)
     existing = dedup_latest(ev.filter(early), keys, order, tie).checkpoint()
     incoming = ev.filter(~early | F.col("ts").isNull())
     merged = merge_latest(existing, incoming, keys, order, tie)
@@ -504,7 +540,7 @@ QUERIES.update({
 })
 
 
-SECOND_FETCH_WAVE = dt.datetime(1998, 6, 1)
+SECOND_FETCH_WAVE = "1998-06-01 00:00:00"
 
 
 def silver_incremental(spark, sf_dir):
@@ -516,7 +552,7 @@ def silver_incremental(spark, sf_dir):
     """
     paths = _paths(spark, "silver-incremental")
     rows = price_rows(spark, sf_dir)
-    early = F.col("fetched_at") < F.lit(SECOND_FETCH_WAVE)
+    early = F.col("fetched_at") < utc_literal(SECOND_FETCH_WAVE)
     land(rows.filter(early), PRICES, paths)
     run_pipeline(spark, PRICES, paths, update_id=RUN_ID)
     land(rows.filter(~early), PRICES, paths)

@@ -18,22 +18,6 @@ CORE_CONF = {
 }
 
 
-# Single-JVM (local[*]) settings only; clusters keep Spark's defaults.
-# * A "distributed" listing job (one task per folder) is pure overhead in one
-#   JVM; list on the driver. Clusters still list huge landing folders in parallel.
-# * AQE coalesces to at most defaultParallelism partitions but never below
-#   minPartitionSize; the 1MB default folds a small multi-day landing write into
-#   one serial task where per-file cost dominates.
-LOCAL_CONF = {
-    "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
-}
-_SPARK_DEFAULTS = {
-    "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1MB",
-}
-
-
 def build_session(master: str | None = None, app_name: str = "lakeward",
                   shuffle_partitions: int | None = None,
                   extra_conf: dict[str, str] | None = None) -> SparkSession:
@@ -50,8 +34,6 @@ def build_session(master: str | None = None, app_name: str = "lakeward",
     conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if master and master.startswith("local"):
-        conf.update(LOCAL_CONF)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -61,24 +43,18 @@ def build_session(master: str | None = None, app_name: str = "lakeward",
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Pin the session clock to UTC (day boundaries and ``date(ts)`` depend on it).
-
-    On a ``local[*]`` master, also applies ``LOCAL_CONF`` where the session still
-    has Spark's defaults (sessions built elsewhere, e.g. by a test driver).
-    """
+    """Pin the session clock to UTC (day boundaries and ``date(ts)`` depend on it)."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    if spark.sparkContext.master.startswith("local"):
-        for key, value in LOCAL_CONF.items():
-            if spark.conf.get(key, _SPARK_DEFAULTS[key]) in (_SPARK_DEFAULTS[key], None):
-                spark.conf.set(key, value)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job scratch space.
 
-    Uses the cluster's ``spark.checkpoint.dir`` when it is configured; only when
-    it is unset (local runs, tests) a fresh temporary folder is registered.
+    Uses the cluster's ``spark.checkpoint.dir`` when it is configured. Only in a
+    single-JVM session (``local[*]``) without it a fresh temporary folder is
+    registered; on any other master a machine-local folder would be a different
+    folder on every node, so the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -87,6 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="lakeward-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

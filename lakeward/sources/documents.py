@@ -5,6 +5,13 @@ sources (``rowTag=TimeSeries`` splits a document into series records), or an
 XML/JSON text column is parsed with ``from_xml`` / ``from_json``. The nested
 structure is flattened with ``explode`` / ``posexplode`` and document-level
 fields ride along on every row. No Python runs per row.
+
+A bad document fails the decode (``on_bad="fail"``, the default): a record that is
+no well-formed XML or JSON, a number that is none, a period without a start, an API
+error payload. ``on_bad="quarantine"`` leaves such records out and
+``quarantined_series`` / ``quarantined_payloads`` return them with the reason, so
+they can be kept and counted. Numbers are read as text and cast one by one, so one
+bad value never empties its neighbours.
 """
 
 from __future__ import annotations
@@ -19,7 +26,7 @@ from lakeward.functions.timestamps import parse_instant, parse_naive_utc
 # Element names of the two market document types. Names containing
 # dots are quoted; the documents' default namespace needs no prefix.
 _PERIOD = ("Period ARRAY<STRUCT<timeInterval: STRUCT<start: STRING>, resolution: STRING, "
-           "Point: ARRAY<STRUCT<position: INT, {value}: DOUBLE>>>>")
+           "Point: ARRAY<STRUCT<position: STRING, {value}: STRING>>>>, _corrupt STRING")
 PRICE_SERIES_SCHEMA = ("`currency_Unit.name` STRING, `in_Domain.mRID` STRING, "
                        + _PERIOD.format(value="`price.amount`"))
 GENERATION_SERIES_SCHEMA = ("`inBiddingZone_Domain.mRID` STRING, "
@@ -29,9 +36,11 @@ GENERATION_SERIES_SCHEMA = ("`inBiddingZone_Domain.mRID` STRING, "
 # Hourly variables of the weather payload (parallel arrays aligned with `time`).
 WEATHER_PAYLOAD_SCHEMA = (
     "latitude DOUBLE, longitude DOUBLE, hourly STRUCT<time: ARRAY<STRING>, "
-    "temperature_2m: ARRAY<DOUBLE>, apparent_temperature: ARRAY<DOUBLE>, "
-    "relative_humidity_2m: ARRAY<INT>, cloud_cover: ARRAY<INT>, "
-    "wind_speed_10m: ARRAY<DOUBLE>, weather_code: ARRAY<INT>>")
+    "temperature_2m: ARRAY<STRING>, apparent_temperature: ARRAY<STRING>, "
+    "relative_humidity_2m: ARRAY<STRING>, cloud_cover: ARRAY<STRING>, "
+    "wind_speed_10m: ARRAY<STRING>, weather_code: ARRAY<STRING>>, "
+    "error BOOLEAN, reason STRING, _corrupt STRING")
+CORRUPT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 DEFAULT_LOCATION = "london"
 
 PRICE_COLUMNS = ("delivery_start", "delivery_end", "price_gbp_per_mwh", "currency",
@@ -54,7 +63,7 @@ def read_series_xml(spark: SparkSession, path: str, schema: str,
 
     Result columns: ``series`` (struct per ``schema``) and ``fetched_at``.
     """
-    raw = (spark.read.format("xml").option("rowTag", "TimeSeries")
+    raw = (spark.read.format("xml").option("rowTag", "TimeSeries").options(**CORRUPT)
            .schema(schema).load(path))
     fields = [F.col(f"`{f}`") for f in raw.columns]
     return raw.select(F.struct(*fields).alias("series"), _fetched_at(fetched_at).alias("fetched_at"))
@@ -62,7 +71,49 @@ def read_series_xml(spark: SparkSession, path: str, schema: str,
 
 def parse_series_xml(xml_text: Column, schema: str) -> Column:
     """One ``<TimeSeries>`` element as text -> struct per ``schema``."""
-    return F.from_xml(xml_text, schema)
+    return F.from_xml(xml_text, schema, CORRUPT)
+
+
+def series_problem(series: Column, value: str) -> Column:
+    """Why a parsed series cannot be decoded (null: it can)."""
+    periods = series["Period"]
+    no_start = F.exists(periods, lambda p: p["timeInterval"]["start"].isNull())
+    bad = F.exists(periods, lambda p: F.exists(p["Point"], lambda x: (
+        x[value].isNotNull() & x[value].try_cast("double").isNull()) | (
+        x["position"].isNotNull() & x["position"].try_cast("int").isNull())))
+    return (F.when(series.isNull() | series["_corrupt"].isNotNull(), "malformed record")
+            .when(F.coalesce(no_start, F.lit(False)), "period without a start")
+            .when(F.coalesce(bad, F.lit(False)), "value is no number"))
+
+
+def payload_problem(payload: DataFrame) -> Column:
+    return (F.when(payload["_corrupt"].isNotNull(), "malformed record")
+            .when(F.coalesce(payload["error"], F.lit(False)), F.concat(
+                F.lit("API error: "), F.coalesce(payload["reason"], F.lit("no reason")))))
+
+
+def _unless_bad(problem: Column, value: Column, on_bad: str) -> Column:
+    """``value`` of a sound record; a bad one raises or (quarantine) gives null."""
+    if on_bad not in ("fail", "quarantine"):
+        raise ValueError(f"on_bad is {on_bad!r}, not 'fail' or 'quarantine'")
+    sound = F.when(problem.isNull(), value)
+    return sound if on_bad == "quarantine" else sound.otherwise(
+        F.raise_error(F.concat(F.lit("Bad document: "), problem)))
+
+
+PRICE_VALUE, GENERATION_VALUE = "price.amount", "quantity"
+
+
+def quarantined_series(series: DataFrame, value: str) -> DataFrame:
+    """``reason, series, fetched_at`` of the records that ``on_bad="quarantine"`` leaves out."""
+    rows = series.select(series_problem(F.col("series"), value).alias("reason"), "series", "fetched_at")
+    return rows.where("reason IS NOT NULL")
+
+
+def quarantined_payloads(payloads: DataFrame) -> DataFrame:
+    """``reason, raw, fetched_at`` of the weather records that cannot be decoded."""
+    return payloads.select(payload_problem(payloads).alias("reason"), F.col("_corrupt").alias("raw"),
+                           "fetched_at").where("reason IS NOT NULL")
 
 
 def _explode_present(arr: Column, alias: str) -> Column:
@@ -76,55 +127,48 @@ def _explode_present(arr: Column, alias: str) -> Column:
     return F.explode_outer(arr).alias(alias)
 
 
-def decode_prices(series: DataFrame) -> DataFrame:
+def _points(periods: DataFrame, carried: list[str], value: str, alias: str) -> DataFrame:
+    """One row per point of ``period``; start and resolution are parsed once per period."""
+    parsed = periods.select(
+        *carried, parse_instant(F.col("period.timeInterval.start")).alias("period_start"),
+        F.when(F.size("period.Point") > 0, resolution_minutes(F.col("period.resolution"))).alias("step"),
+        F.col("period.Point").alias("points"))
+    pts = parsed.select(*carried, "period_start", "step", _explode_present(F.col("points"), "pt")).filter(
+        F.col("pt").isNotNull())
+    start = slot_start(F.col("period_start"), F.col("pt.position").cast("int"), F.col("step"))
+    return pts.select(start.alias("delivery_start"), slot_end(start, F.col("step")).alias("delivery_end"),
+                      F.col(f"pt.`{value}`").cast("double").alias(alias), *carried)
+
+
+def decode_prices(series: DataFrame, on_bad: str = "fail") -> DataFrame:
     """Price series -> one row per point of the series' FIRST period.
 
     Series without a period yield no rows; missing positions stay missing.
     """
-    s = (series.select(
-        F.col("series.`currency_Unit.name`").alias("currency"),
-        F.col("series.`in_Domain.mRID`").alias("bidding_zone"),
-        "fetched_at",
-        _explode_present(F.get(F.col("series.Period"), 0).getField("Point"), "pt"),
-        F.get(F.col("series.Period"), 0).getField("timeInterval").getField("start").alias("start"),
-        F.get(F.col("series.Period"), 0).getField("resolution").alias("resolution"))
-        .filter(F.col("pt").isNotNull()))
-    pts = s.select("currency", "bidding_zone", "fetched_at", "pt",
-                   parse_instant(F.col("start")).alias("period_start"),
-                   resolution_minutes(F.col("resolution")).alias("step"))
-    start = slot_start(F.col("period_start"), F.col("pt.position"), F.col("step"))
-    return pts.select(
-        start.alias("delivery_start"),
-        slot_end(start, F.col("step")).alias("delivery_end"),
-        F.col("pt.`price.amount`").alias("price_gbp_per_mwh"),
-        "currency", "bidding_zone", "fetched_at")
-
-
-def decode_generation(series: DataFrame) -> DataFrame:
+    first = _unless_bad(series_problem(F.col("series"), PRICE_VALUE),
+                        F.get(F.col("series.Period"), 0), on_bad)
+    periods = series.select(F.col("series.`currency_Unit.name`").alias("currency"),
+                            F.col("series.`in_Domain.mRID`").alias("bidding_zone"), "fetched_at",
+                            first.alias("period"))
+    return _points(periods, ["currency", "bidding_zone", "fetched_at"], PRICE_VALUE,
+                   "price_gbp_per_mwh").select(*PRICE_COLUMNS)
+
+
+def decode_generation(series: DataFrame, on_bad: str = "fail") -> DataFrame:
     """Generation series -> one row per period x point x production type.
 
     Consumption series (those carrying an out-domain) are skipped; every period
     of a series is decoded with its own start and resolution.
     """
-    generation_periods = F.when(F.col("series.`outBiddingZone_Domain.mRID`").isNull(),
-                                F.col("series.Period"))
-    s = (series.select(F.col("series.`inBiddingZone_Domain.mRID`").alias("bidding_zone"),
-                       F.col("series.MktPSRType.psrType").alias("production_type_code"),
-                       "fetched_at",
-                       _explode_present(generation_periods, "p"))
-         .filter(F.col("p").isNotNull()))
-    pts = s.select("bidding_zone", "production_type_code", "fetched_at",
-                   parse_instant(F.col("p.timeInterval.start")).alias("period_start"),
-                   resolution_minutes(F.col("p.resolution")).alias("step"),
-                   F.explode("p.Point").alias("pt"))
-    start = slot_start(F.col("period_start"), F.col("pt.position"), F.col("step"))
-    return pts.select(
-        start.alias("delivery_start"),
-        slot_end(start, F.col("step")).alias("delivery_end"),
-        "production_type_code",
-        production_type(F.col("production_type_code")).alias("production_type"),
-        F.col("pt.quantity").alias("quantity_mw"),
-        "bidding_zone", "fetched_at")
+    periods = F.when(F.col("series.`outBiddingZone_Domain.mRID`").isNull(), F.col("series.Period"))
+    s = series.select(F.col("series.`inBiddingZone_Domain.mRID`").alias("bidding_zone"),
+                      F.col("series.MktPSRType.psrType").alias("production_type_code"), "fetched_at",
+                      _explode_present(_unless_bad(series_problem(F.col("series"), GENERATION_VALUE),
+                                                   periods, on_bad), "period"))
+    rows = _points(s.filter(F.col("period").isNotNull()),
+                   ["bidding_zone", "production_type_code", "fetched_at"], GENERATION_VALUE, "quantity_mw")
+    return rows.withColumn("production_type", production_type(F.col("production_type_code"))).select(
+        *GENERATION_COLUMNS)
 
 
 def read_weather_json(spark: SparkSession, path: str, fetched_at: Column | None = None,
@@ -134,38 +178,46 @@ def read_weather_json(spark: SparkSession, path: str, fetched_at: Column | None
     ``multi_line=True``: one (pretty-printed) JSON document per file, as fetched.
     ``False``: JSON Lines, one payload per line (splittable, for bulk landings).
     """
-    raw = spark.read.schema(WEATHER_PAYLOAD_SCHEMA).option("multiLine", multi_line).json(path)
-    return raw.select("latitude", "longitude", "hourly", _fetched_at(fetched_at).alias("fetched_at"))
+    raw = spark.read.schema(WEATHER_PAYLOAD_SCHEMA).options(**CORRUPT).option(
+        "multiLine", multi_line).json(path)
+    return raw.select("*", _fetched_at(fetched_at).alias("fetched_at"))
 
 
 def parse_weather_json(json_text: Column) -> Column:
-    return F.from_json(json_text, WEATHER_PAYLOAD_SCHEMA)
+    return F.from_json(json_text, WEATHER_PAYLOAD_SCHEMA, CORRUPT)
 
 
-def decode_weather(payloads: DataFrame, location: str | Column = DEFAULT_LOCATION) -> DataFrame:
+def decode_weather(payloads: DataFrame, location: str | Column = DEFAULT_LOCATION,
+                   on_bad: str = "fail") -> DataFrame:
     """Weather payloads -> one row per hour.
 
     ``hourly.time`` drives the rows; every other variable is read by index and
     is NULL when its array (or the element) is missing — a missing variable
-    never loses the hour. A payload without ``hourly`` yields no rows.
+    never loses the hour. A payload without ``hourly`` yields no rows. A whole number
+    written as a float (80.0) is an integer; a value that does not fit its column's
+    type is NULL in its own hour only.
     """
     loc = F.lit(location) if isinstance(location, str) else location
     h = (payloads.select("latitude", "longitude", "fetched_at", "hourly",
-                         F.posexplode_outer("hourly.time").alias("i", "time"))
+                         F.posexplode_outer(_unless_bad(payload_problem(payloads), F.col("hourly.time"),
+                                                        on_bad)).alias("i", "time"))
          .filter(F.col("i").isNotNull()))
 
     def var(name: str) -> Column:
-        return F.get(F.col(f"hourly.{name}"), F.col("i"))
+        return F.get(F.col(f"hourly.{name}"), F.col("i")).try_cast("double")
+
+    def whole(name: str) -> Column:
+        return F.when(var(name) == F.floor(var(name)), var(name).cast("int"))
 
-    cond = weather_condition(var("weather_code"))
+    cond = weather_condition(whole("weather_code"))
     return h.select(
         parse_naive_utc(F.col("time")).alias("observation_time"),
         loc.alias("location"),
         "latitude", "longitude",
         var("temperature_2m").alias("temp_celsius"),
         var("apparent_temperature").alias("feels_like_celsius"),
-        var("relative_humidity_2m").alias("humidity_pct"),
-        var("cloud_cover").alias("clouds_pct"),
+        whole("relative_humidity_2m").alias("humidity_pct"),
+        whole("cloud_cover").alias("clouds_pct"),
         var("wind_speed_10m").alias("wind_speed_ms"),
         cond["main"].alias("weather_main"),
         cond["description"].alias("weather_description"),

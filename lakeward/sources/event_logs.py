@@ -30,14 +30,24 @@ EVENT_LOG_SCHEMA = T.StructType([
 
 def discover_in_catalog(spark: SparkSession, database: str | None = None,
                         prefix: str = "", suffix: str = EVENT_LOG_SUFFIX) -> list[str]:
-    """Names of tables/views in ``database`` (default: current) that end with ``suffix``."""
-    names = [t.name for t in spark.catalog.listTables(database)]
-    return sorted(n for n in names if n.startswith(prefix) and n.endswith(suffix))
+    """Tables and views that end with ``suffix``.
+
+    With ``database`` the names are qualified by it and temporary views, which
+    belong to no database, are left out; without it they are those of the current
+    database and the session.
+    """
+    found = [t for t in spark.catalog.listTables(database)
+             if t.name.startswith(prefix) and t.name.endswith(suffix)]
+    if database is None:
+        return sorted(t.name for t in found)
+    quoted = ".".join(f"`{part}`" for part in database.replace("`", "").split("."))
+    return sorted(f"{quoted}.`{t.name}`" for t in found if not t.isTemporary)
 
 
 def logs_from_catalog(spark: SparkSession, tables: Iterable[str], prefix: str = "",
                       suffix: str = EVENT_LOG_SUFFIX) -> dict[str, DataFrame]:
-    return {pipeline_name_of(t[len(prefix):], suffix): spark.table(t) for t in tables}
+    return {pipeline_name_of(t.replace("`", "").rpartition(".")[2][len(prefix):], suffix): spark.table(t)
+            for t in tables}
 
 
 def discover_in_folder(spark: SparkSession, monitoring_dir: str,
@@ -73,6 +83,15 @@ def flow_event(spark: SparkSession, update_id: str, flow_name: str,
                      expectations_details(F.col("c")).alias("details"), "flow_name")
 
 
+def event_update_id(spark: SparkSession, log_dir: str, event_key: str) -> str | None:
+    """The run that an already written event of this key belongs to."""
+    path = f"{log_dir.rstrip('/')}/{event_key}"
+    if not fs.exists(spark, f"{path}/_SUCCESS"):
+        return None
+    row = spark.read.schema(EVENT_LOG_SCHEMA).parquet(path).select("origin.update_id").first()
+    return row["update_id"] if row else None
+
+
 def append_event(event: DataFrame, log_dir: str, event_key: str) -> None:
     """Write ``event`` to ``<log_dir>/<event_key>``; the same key replaces (idempotent replay)."""
     event.coalesce(1).write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/{event_key}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -38,16 +40,35 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a one-line file (write to a temp name, then rename over the target)."""
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a one-line file that must not exist yet; False if another writer has it.
+
+    The text is written under a name of its own and renamed to a name that is never
+    reused, so a reader sees the whole file or none.
+    """
     fs, p = _fs_and_path(spark, path)
     jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
+    if fs.exists(p):
+        return False
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    if fs.exists(p) or not fs.rename(tmp, p):
+        fs.delete(tmp, False)
+        return False
+    return True
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs_and_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isFile())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_and_path(spark, path)
+    fs.delete(p, True)

@@ -163,4 +163,4 @@ def test_replayed_batch_after_crash_is_idempotent(spark, workdir):
     assert read_bronze(spark, PRICES, paths.bronze(PRICES)).count() == rows
     from lakeward.sources.event_logs import read_event_log
     events = read_event_log(spark, paths.event_log(PRICES)).collect()
-    assert len(events) == 1 and events[0].origin.update_id == "u2"   # replay replaced its event
+    assert len(events) == 1 and events[0].origin.update_id == "u1"   # the batch stays with its run
