@@ -8,8 +8,8 @@ rows are produced arithmetically, not by parsing the documents.
 
 from __future__ import annotations
 
-from lakeward.functions.lookups import PRODUCTION_TYPES, WEATHER_CODES
-from lakeward import queries as Q
+from lakeward.oracle_values import (CUSTOMER_RULES, GENERATION, LINEITEM_RULES, ORDERS_RULES, PRICES,
+                                    PRODUCTION_TYPES, WEATHER, WEATHER_CODES)
 
 
 def _q(s: str) -> str:
@@ -57,12 +57,12 @@ SQL["dedup_null_keys"] = _dedup_sql(
     "user_key, event_type", "ts DESC NULLS LAST, event_id DESC NULLS LAST")
 
 SQL["expect_warn"] = "\nUNION ALL\n".join([
-    _rule_metrics_sql("lineitem", Q.LINEITEM_RULES),
-    _rule_metrics_sql("orders", Q.ORDERS_RULES),
-    _rule_metrics_sql("customer", Q.CUSTOMER_RULES)])
+    _rule_metrics_sql("lineitem", LINEITEM_RULES),
+    _rule_metrics_sql("orders", ORDERS_RULES),
+    _rule_metrics_sql("customer", CUSTOMER_RULES)])
 
 SQL["expect_drop"] = ("SELECT * FROM customer WHERE "
-                      + " AND ".join(f"({p})" for p in Q.CUSTOMER_RULES.values()))
+                      + " AND ".join(f"({p})" for p in CUSTOMER_RULES.values()))
 
 SQL["decode_lookup"] = f"""
 WITH {LOOKUP_CTES},
@@ -95,7 +95,7 @@ FROM events GROUP BY 1
 
 SQL["calendar_day"] = f"""
 SELECT calendar_date, n_rows,
-       CAST(date_diff('day', calendar_date, DATE '{Q.AS_OF.isoformat()}') AS INTEGER) AS offset_days
+       CAST(date_diff('day', calendar_date, DATE '2024-02-01') AS INTEGER) AS offset_days
 FROM (SELECT CAST(ts AS DATE) AS calendar_date, count(*) AS n_rows FROM events GROUP BY 1)
 """
 
@@ -267,14 +267,12 @@ FROM (SELECT user_id, count(*) FILTER (WHERE event_type = 'error') AS f, count(*
 SQL["discover_logs"] = """
 SELECT event_type AS pipeline_name, count(*) AS n_events FROM events GROUP BY 1"""
 
-SQL["event_log_roundtrip"] = _rule_metrics_sql("lineitem", Q.LINEITEM_RULES)
+SQL["event_log_roundtrip"] = _rule_metrics_sql("lineitem", LINEITEM_RULES)
 
 # ---------------------------------------------------------------------------
 # Medallion
 # ---------------------------------------------------------------------------
 
-from lakeward.plans.domains import GENERATION, PRICES, WEATHER  # noqa: E402
-
 SQL["bronze_stream_ingest"] = f"""
 SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM ({PRICE_ROWS_SQL})"""
 
@@ -326,7 +324,7 @@ SELECT table_name, expectation, p AS passed_records, f AS failed_records FROM (
 
 SQL["incremental_silver"] = SQL["dedup_latest_events"]
 
-_DAY = (Q.AS_OF - __import__("datetime").timedelta(days=Q.INGEST_OFFSET_DAYS)).isoformat()
+_DAY = "2024-01-15"
 SQL["delivery_window"] = f"""
 SELECT event_id, user_id, event_type, ts FROM events
 WHERE ts >= TIMESTAMP '{_DAY}' - INTERVAL 1 HOUR AND ts < TIMESTAMP '{_DAY}' + INTERVAL 23 HOUR"""
@@ -354,8 +352,6 @@ def _without_fetch(rows_sql: str, columns) -> str:
     return f"SELECT {cols} FROM ({rows_sql})"
 
 
-from lakeward.sources import documents as _D  # noqa: E402
-
-SQL["scan_price_xml_files"] = _without_fetch(PRICE_ROWS_SQL, _D.PRICE_COLUMNS)
-SQL["scan_generation_xml_files"] = _without_fetch(GENERATION_ROWS_SQL, _D.GENERATION_COLUMNS)
-SQL["scan_weather_json_files"] = _without_fetch(WEATHER_ROWS_SQL, _D.WEATHER_COLUMNS)
+SQL["scan_price_xml_files"] = _without_fetch(PRICE_ROWS_SQL, PRICES.column_names)
+SQL["scan_generation_xml_files"] = _without_fetch(GENERATION_ROWS_SQL, GENERATION.column_names)
+SQL["scan_weather_json_files"] = _without_fetch(WEATHER_ROWS_SQL, WEATHER.column_names)

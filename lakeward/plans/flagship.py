@@ -8,6 +8,8 @@ event logs -> DQ consolidation -> history.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeward import queries as Q
@@ -15,7 +17,7 @@ from lakeward.plans import derived
 from lakeward.plans.domains import GENERATION, PRICES, WEATHER
 from lakeward.plans.dq_job import read_history, run_consolidation
 from lakeward.plans.parallel import spread
-from lakeward.plans.pipeline import LakePaths, land, run_pipeline
+from lakeward.plans.pipeline import LakePaths, land, run_domains, run_pipeline
 from lakeward.session import scratch_path
 from lakeward.sources import documents as docs
 
@@ -43,9 +45,13 @@ def fetched_documents(spark: SparkSession, sf_dir: str, raw: str) -> list:
 def run_medallion(spark: SparkSession, sf_dir: str, base: str | None = None,
                   update_id: str = "update-0001") -> LakePaths:
     paths = LakePaths(base or scratch_path(spark, "medallion"))
-    for spec, rows in fetched_documents(spark, sf_dir, f"{paths.base}/raw"):
+
+    def domain(spec, rows):
         land(rows, spec, paths)
         run_pipeline(spark, spec, paths, update_id=update_id)
+
+    run_domains([partial(domain, spec, rows)
+                 for spec, rows in fetched_documents(spark, sf_dir, f"{paths.base}/raw")])
     run_consolidation(spark, paths.monitoring, paths.history)
     return paths
 

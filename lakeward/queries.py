@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from lakeward.plans import derived
 from lakeward.plans.domains import GENERATION, PRICES, WEATHER, DomainSpec
 from lakeward.plans.dq_job import read_history, run_consolidation
 from lakeward.plans.parallel import spread
-from lakeward.plans.pipeline import LakePaths, land, read_silver, run_pipeline
+from lakeward.plans.pipeline import LakePaths, land, read_silver, run_domains, run_pipeline
 from lakeward.session import ensure_utc, scratch_path
 from lakeward.sources import documents as docs
 from lakeward.sources import event_logs as L
@@ -449,10 +450,13 @@ def bronze_rescue(spark, sf_dir):
 
 def medallion_dq(spark, sf_dir):
     paths = _paths(spark, "medallion-dq")
-    for spec, rows_fn in ((PRICES, price_rows), (GENERATION, generation_rows),
-                          (WEATHER, weather_rows)):
+
+    def domain(spec, rows_fn):
         land(rows_fn(spark, sf_dir), spec, paths)
         run_pipeline(spark, spec, paths, update_id=RUN_ID)
+
+    run_domains([partial(domain, PRICES, price_rows), partial(domain, GENERATION, generation_rows),
+                 partial(domain, WEATHER, weather_rows)])
     run_consolidation(spark, paths.monitoring, paths.history)
     # A second consolidation without new events changes nothing.
     run_consolidation(spark, paths.monitoring, paths.history)
