@@ -38,6 +38,7 @@ from lakeward.session import scratch_path
 REVISIT_BYTES = 1000
 CHUNK = 1 << 20           # payload bytes per chunk row
 RANGE_BYTES = 16 << 20    # compressed bytes per range of the manifest
+READ_TASKS = 20_000       # most tasks that read archives; each takes its share of the ranges
 WARC_DATE = "1970-01-01T00:00:00Z"  # the table has no capture time
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 CRLF = b"\r\n"
@@ -233,7 +234,10 @@ def read_chunks(manifest: DataFrame, folder: str, chunk: int = CHUNK,
                     if rows:
                         yield pd.DataFrame(rows, columns=_CHUNK_COLUMNS)
 
-    dealt = manifest.repartition(F.col("file"), F.col("range_start"))
+    # A number of partitions of its own: the manifest is a few rows, which adaptive
+    # execution would otherwise hand to one task with all archives behind them.
+    tasks = max(1, min(manifest.count(), READ_TASKS))
+    dealt = manifest.repartition(tasks, F.col("file"), F.col("range_start"))
     return dealt.mapInPandas(
         run, "file string, range_start bigint, record_no bigint, chunk_no bigint, uri string, "
              "target string, record_type string, refers_uri string, data binary, "
