@@ -48,7 +48,7 @@ def run_medallion(spark: SparkSession, sf_dir: str, base: str | None = None,
 
     def domain(spec, rows):
         land(rows, spec, paths)
-        run_pipeline(spark, spec, paths, update_id=update_id)
+        run_pipeline(spark, spec, paths, update_id=update_id, bucket=Q.BACKFILL)
 
     run_domains([partial(domain, spec, rows)
                  for spec, rows in fetched_documents(spark, sf_dir, f"{paths.base}/raw")])

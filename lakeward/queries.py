@@ -397,6 +397,7 @@ QUERIES.update({
 
 
 RUN_ID = "update-0001"
+BACKFILL = "month"  # the derived rows span years: silver in monthly folders
 
 
 def _paths(spark, name):
@@ -417,7 +418,7 @@ def bronze_stream_ingest(spark, sf_dir):
 def _silver(spark, sf_dir, spec: DomainSpec, rows_fn):
     paths = _paths(spark, f"silver-{spec.pipeline}")
     land(rows_fn(spark, sf_dir), spec, paths)
-    run_pipeline(spark, spec, paths, update_id=RUN_ID)
+    run_pipeline(spark, spec, paths, update_id=RUN_ID, bucket=BACKFILL)
     return as_ntz(read_silver(spark, spec, paths))
 
 
@@ -453,7 +454,7 @@ def medallion_dq(spark, sf_dir):
 
     def domain(spec, rows_fn):
         land(rows_fn(spark, sf_dir), spec, paths)
-        run_pipeline(spark, spec, paths, update_id=RUN_ID)
+        run_pipeline(spark, spec, paths, update_id=RUN_ID, bucket=BACKFILL)
 
     run_domains([partial(domain, PRICES, price_rows), partial(domain, GENERATION, generation_rows),
                  partial(domain, WEATHER, weather_rows)])
@@ -533,7 +534,7 @@ def silver_drop_invalid(spark, sf_dir):
     """Silver with the structural rules at drop severity, over a landing with bad rows."""
     paths = _paths(spark, "silver-drop")
     _corrupt_price_landing(spark, sf_dir, paths)
-    run_pipeline(spark, PRICES, paths, update_id=RUN_ID, drop_invalid=True)
+    run_pipeline(spark, PRICES, paths, update_id=RUN_ID, drop_invalid=True, bucket=BACKFILL)
     return as_ntz(read_silver(spark, PRICES, paths))
 
 
@@ -558,9 +559,9 @@ def silver_incremental(spark, sf_dir):
     rows = price_rows(spark, sf_dir)
     early = F.col("fetched_at") < utc_literal(SECOND_FETCH_WAVE)
     land(rows.filter(early), PRICES, paths)
-    run_pipeline(spark, PRICES, paths, update_id=RUN_ID)
+    run_pipeline(spark, PRICES, paths, update_id=RUN_ID, bucket=BACKFILL)
     land(rows.filter(~early), PRICES, paths)
-    run_pipeline(spark, PRICES, paths, update_id=RUN_ID + "-2", incremental=True)
+    run_pipeline(spark, PRICES, paths, update_id=RUN_ID + "-2", incremental=True, bucket=BACKFILL)
     return as_ntz(read_silver(spark, PRICES, paths))
 
 

@@ -11,7 +11,10 @@ if str(ROOT) not in sys.path:
 @pytest.fixture(scope="session")
 def spark():
     from lakeward.session import build_session, checkpoint_root
-    s = build_session("local[4]", app_name="lakeward-tests", shuffle_partitions=4)
+    # One JVM and tiny tables: list folders on the driver, keep small partitions apart.
+    s = build_session("local[4]", app_name="lakeward-tests", shuffle_partitions=4, extra_conf={
+        "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"})
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_root(s)
     yield s

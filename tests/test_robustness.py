@@ -17,7 +17,7 @@ from lakeward.session import checkpoint_root
 from lakeward.sources import documents as D
 from lakeward.sources import event_logs as L
 from lakeward.sources import fs
-from lakeward.sources.tables import SnapshotTable
+from lakeward.sources.tables import BucketTable, SnapshotTable
 from lakeward.streaming.bronze import read_bronze, run_bronze
 
 HEADER = ",".join(PRICES.column_names)
@@ -70,6 +70,59 @@ def test_first_run_without_any_file(spark, tmp_path):
     assert read_silver(spark, PRICES, paths).count() == 1
 
 
+@pytest.mark.parametrize("drop_invalid", [False, True])
+def test_update_rewrites_only_the_days_it_touches(spark, tmp_path, drop_invalid):
+    paths = LakePaths(str(tmp_path))
+    for k in (1, 2, 3):
+        land_row(paths, f"f{k}", k)
+    run_pipeline(spark, PRICES, paths, update_id="u1", incremental=True, drop_invalid=drop_invalid)
+    table = BucketTable(spark, paths.silver(PRICES))
+    before = table.folders()
+    bytes_of = lambda p: {f.name: f.read_bytes() for f in (tmp_path / "silver" / PRICES.silver_table / p).iterdir()}
+    old = {b: bytes_of(p) for b, p in before.items()}
+    path = f"{paths.landing(PRICES)}/2024-01-02/again.csv"
+    write_file(path, f"{HEADER}\n2024-01-02 00:00:00,2024-01-02 01:00:00,9.5,GBP,10Y,2024-01-05 13:30:00\n")
+    read = []
+    plain = BucketTable.read
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(BucketTable, "read", lambda self, schema=None, buckets=None: (
+            read.append(buckets), plain(self, schema, buckets))[1])
+        run_pipeline(spark, PRICES, paths, update_id="u2", incremental=True, drop_invalid=drop_invalid)
+    after = table.folders()
+    assert sorted(after) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert [b for b in after if after[b] != before[b]] == ["2024-01-02"]
+    assert all(bytes_of(after[b]) == old[b] for b in ("2024-01-01", "2024-01-03"))
+    assert read == ([] if drop_invalid else [{"2024-01-02"}])
+    got = sorted((r.delivery_start.day, r.price_gbp_per_mwh) for r in read_silver(spark, PRICES, paths).collect())
+    assert got == [(1, 1.5), (2, 9.5), (3, 3.5)]
+    run_pipeline(spark, PRICES, paths, update_id="u3", incremental=True, drop_invalid=drop_invalid)
+    assert table.folders() == after  # nothing new: nothing written
+
+
+def test_crash_before_the_silver_commit_keeps_silver(spark, tmp_path, monkeypatch):
+    paths = LakePaths(str(tmp_path))
+    land_row(paths, "f1", 1)
+    run_pipeline(spark, PRICES, paths, update_id="u1", incremental=True)
+    land_row(paths, "f2", 2)
+    with monkeypatch.context() as m:
+        m.setattr(fs, "create_text", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError):
+            run_pipeline(spark, PRICES, paths, update_id="u2", incremental=True)
+    assert read_silver(spark, PRICES, paths).count() == 1
+    run_pipeline(spark, PRICES, paths, update_id="u3", incremental=True)
+    assert read_silver(spark, PRICES, paths).count() == 2
+
+
+def test_expired_snapshots_spare_live_buckets(spark, workdir):
+    t = BucketTable(spark, f"{workdir}/t")
+    rows = lambda *xs: spark.createDataFrame([(d, x) for d, x in xs], "d string, x int")
+    t.commit_buckets(rows(("a", 1), ("b", 2)), F.col("d"), "x", keep_snapshots=1, keep_seconds=0)
+    for x in (3, 4, 5):
+        t.commit_buckets(rows(("b", x)), F.col("d"), "x", touched={"b"}, keep_snapshots=1, keep_seconds=0)
+    assert sorted(map(tuple, t.read("d string, x int").collect())) == [("a", 1), ("b", 5)]
+    assert len([n for n in fs.list_dirs(spark, t.root) if n.startswith("snap-")]) == 2
+
+
 def test_crash_between_snapshot_and_commit_keeps_the_table(spark, workdir, monkeypatch):
     t = SnapshotTable(spark, f"{workdir}/t")
     t.commit(spark.range(3).toDF("x"))

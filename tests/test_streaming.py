@@ -98,17 +98,17 @@ def test_weather_int_hint_rescues_float_text(spark, workdir):
 
 
 def test_incremental_silver_equals_full_and_tracks_batches(spark, workdir):
-    from lakeward.sources.tables import SnapshotTable
+    from lakeward.sources.tables import BucketTable
     paths = LakePaths(workdir)
     land = paths.landing(PRICES)
     write_file(f"{land}/ingest_date=2020-01-01/a.csv", HEADER + GOOD)
     run_pipeline(spark, PRICES, paths, update_id="u1", incremental=True)
-    table = SnapshotTable(spark, paths.silver(PRICES))
-    assert table.current_meta() == "bronze_batch=0"
+    table = BucketTable(spark, paths.silver(PRICES))
+    assert table.current_meta() == "bronze_batch=0,bucket=day,drop=False"
     write_file(f"{land}/ingest_date=2020-01-01/b.csv", HEADER + GOOD.replace("40.5", "42.0").replace(
         "2020-01-02 13:30:00.123456", "2020-01-04 00:00:00") + BAD)
     run_pipeline(spark, PRICES, paths, update_id="u2", incremental=True)
-    assert table.current_meta() == "bronze_batch=1"
+    assert table.current_meta() == "bronze_batch=1,bucket=day,drop=False"
     inc = sorted(map(tuple, read_silver(spark, PRICES, paths).collect()), key=repr)
     from lakeward.plans.pipeline import silver_frame
     full = sorted(map(tuple, silver_frame(read_bronze(spark, PRICES, paths.bronze(PRICES)),
