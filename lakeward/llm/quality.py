@@ -28,6 +28,7 @@ from lakeward.llm.common import SPACE_CHARS, cut, let, read_table, words
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 ALPHA_TOTAL = 0.02  # share of a stratum's good documents that all rules together may reject
+BROADCAST_STRATA = 10_000
 DELTA = 0.05        # chance that any stratum or rule breaks that bound
 # Candidate cutoffs of each rule, loosest first when read from the right.
 CUTOFFS = {
@@ -164,13 +165,15 @@ def judge_features(feats: DataFrame, labels: DataFrame) -> DataFrame:
     The features are written once, so the text is scanned a single time.
     """
     feats = cut(feats.withColumn("stratum", F.coalesce(F.col("lang"), F.lit(""))), "quality")
-    cuts = thresholds(holdout_counts(feats.select("doc_id", "stratum", "f"), labels))
+    cuts = cut(thresholds(holdout_counts(feats.select("doc_id", "stratum", "f"), labels)), "quality-cuts")
+    cuts = cuts.withColumnRenamed("stratum", "c_stratum")
+    if cuts.count() <= BROADCAST_STRATA:  # else a shuffle join, which moves the documents
+        cuts = F.broadcast(cuts)
     f = F.col("f")
     passes = F.lit(True)
     for rule, score in scores(f).items():
         passes = passes & F.coalesce(score <= F.col(f"cut_{rule}"), F.lit(True))
-    return (feats.join(cuts.withColumnRenamed("stratum", "c_stratum"),
-                       F.col("stratum") == F.col("c_stratum"), "left")
+    return (feats.join(cuts, F.col("stratum") == F.col("c_stratum"), "left")
             .select(*feats.columns, base_failed(f).alias("base_failed"),
                     (~base_failed(f) & passes).alias("kept"),
                     *[F.col(f"cut_{r}") for r in CUTOFFS]))
