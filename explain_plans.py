@@ -26,10 +26,10 @@ NOTES = {
                            "bounded by the number of pipelines.",
     "merge_upsert": "MERGE: left-anti join of history against source keys (AQE decides "
                     "broadcast from measured size) + union.",
-    "decode_generation_xml": "Generation decode: one from_xml per document, explode_outer "
-                             "of periods then points, literal-map lookup. The round-robin "
-                             "exchange is the spread() guard (the test file is a single "
-                             "split); on a real lake it is absent.",
+    "decode_generation_xml": "Generation decode: one from_xml per document, periods exploded, "
+                             "instant and resolution parsed once per period, then points "
+                             "exploded; literal-map lookup. The exchange is the rebalance hint "
+                             "that the query puts on its one-file table.",
     "incremental_silver": "Incremental silver: only keys touched by new rows are re-ranked.",
 }
 
