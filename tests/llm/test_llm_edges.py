@@ -245,6 +245,28 @@ def test_line_dedup_edges(spark, rows):
     assert line_dedup.drop_later_lines(docs.limit(0)).count() == 0
 
 
+def test_no_copy_lives_on_in_its_short_lines(spark):
+    """Every line with a word takes part: equal short sets, and sets of four in sets of five."""
+    rng = random.Random(8)
+    texts = ["\n".join([sentence(rng, 12), "Tion was.", sentence(rng, 9), f"Es {k}.", "Oued for."]) for k in range(9)]
+    texts += texts[:6] + ["a b c d e", "d c b a", "a b c", "c b a c", "", None, " \n ", "Es 0.\n\nnew"]
+    docs = make_docs(spark, [(k, t, "en") for k, t in enumerate(texts)])
+    got = {r.doc_id: r.text for r in line_dedup.drop_later_lines(docs).collect()}
+    want, earlier = {}, []
+    for k, text in enumerate(texts):
+        kept = []
+        for line in (text or "").split("\n"):
+            s = set(brute.words(line))
+            if not s or not any(18 * len(s & e) >= 8 * (len(s) + len(e)) for e in earlier):
+                kept.append(line)
+            earlier += [s] if s else []
+        left = "\n".join(kept)
+        if left == (text or "") or left.strip():
+            want[k] = text if left == (text or "") else left
+    assert got == want
+    assert not set(range(9, 15)) & set(got) and 16 not in got and 18 not in got and got[22] == "\nnew"
+
+
 def test_sharding_edges(spark, rows):
     docs = make_docs(spark, rows)
     placed = sharding.shard_documents(docs).collect()

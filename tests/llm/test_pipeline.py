@@ -50,3 +50,15 @@ def test_stages_keep_clashing_columns(spark, extra):
     docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn(extra, F.lit("mine"))
     out = corpus_pipeline.STAGES[0][1](spark, docs, SF)
     assert out.columns == docs.columns and {r[extra] for r in out.select(extra).distinct().collect()} == {"mine"}
+
+
+def test_no_exact_copy_leaves_the_pipeline(spark):
+    from pyspark.sql import functions as F
+    con = duck(SF)
+    keep = brute.kept_by_rules(con, "documents")
+    rows = [r for r in con.sql("SELECT doc_id, text FROM documents ORDER BY doc_id").fetchall() if keep[r[0]]]
+    firsts = {}
+    copies = [i for i, t in rows if firsts.setdefault(t, i) != i and t.strip()]
+    assert len(copies) >= 6
+    left = corpus_pipeline.run(spark, SF).where(F.col("doc_id").isin(copies))
+    assert left.count() == 0
