@@ -17,6 +17,9 @@ starts in a document with a smaller id.
    (pyahocorasick, over word numbers as two characters) and streams its segments through it: every
    occurrence gets the smallest id of its window. A shard with very many segments
    works through several automata, each of at most ``AUTOMATON_PHRASES`` phrases.
+   A gram with more than ``SHARD_WORDS`` words of segments is dealt further: its
+   windows, each with its smallest and largest id per task, meet by hash of the whole
+   window, and no task holds the gram.
 4. Occurrences owned by a smaller id mark their words; marks meet their document
    again, which is written without them.
 
@@ -224,11 +227,46 @@ def owned_segments(distinct: DataFrame) -> DataFrame:
         owners = find_owners(pdf["segment"].tolist(), pdf["lo"].to_numpy(np.int64), pdf["hi"].to_numpy(np.int64))
         some = [k for k, o in enumerate(owners) if (o != NO_ID).any()]
         return pd.DataFrame({"o_gram": pdf["gram"].to_numpy()[some], "o_seg": pdf["seg"].to_numpy()[some],
-                             "owners": [owners[k] for k in some]})
+                             "owners": pd.Series([owners[k] for k in some], dtype=object)})
 
     return distinct.groupBy("shard").applyInPandas(run, "o_gram bigint, o_seg bigint, owners array<bigint>")
 
 
+def owned_windows(heavy: DataFrame) -> DataFrame:
+    """``o_gram, o_seg, owners`` of the distinct segments of heavy grams.
+
+    Equal windows meet by their words (``window``), aggregated in each task before they
+    are dealt; only the owners of a segment come back together.
+    """
+    words = F.split("segment", " ")
+    windows = heavy.select("gram", "seg", "lo", "hi", F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.size(words) - WINDOW),
+        lambda i: F.array_join(F.slice(words, i + 1, F.lit(WINDOW)), " "))).alias("place", "window"))
+    shared = windows.groupBy(F.col("window").alias("w_window")).agg(
+        F.min("lo").alias("owner"), F.max("hi").alias("most")).where("owner < most")
+    met = windows.select("gram", "seg", "place", "window").join(shared, F.col("window") == F.col("w_window"))
+    sizes = heavy.select(F.col("gram").alias("z_gram"), F.col("seg").alias("z_seg"),
+                         (F.size(words) - WINDOW).alias("last"))
+    held = met.groupBy("gram", "seg").agg(F.map_from_entries(F.collect_list(F.struct("place", "owner"))).alias("at"))
+    return held.join(sizes, (F.col("gram") == F.col("z_gram")) & (F.col("seg") == F.col("z_seg"))).select(
+        F.col("gram").alias("o_gram"), F.col("seg").alias("o_seg"),
+        F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.coalesce(
+            F.col("at")[i], F.lit(NO_ID))).alias("owners"))
+
+
+def segment_owners(segments: DataFrame, distinct: DataFrame, shards: int) -> DataFrame:
+    """``o_gram, o_seg, owners`` of every distinct segment: light grams by shard, heavy ones by window."""
+    # Counted with equal segments apart: partial sums per gram move, no segment does.
+    sizes = segments.groupBy(F.col("gram").alias("h_gram")).agg(F.sum(F.length("segment") / 6).alias("words"))
+    heavy = cut(sizes.where(F.col("words") > SHARD_WORDS).select("h_gram"), "phrases-heavy")
+    dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards)))
+    if heavy.isEmpty():
+        return owned_segments(dealt)
+    same = F.col("gram") == F.col("h_gram")
+    return owned_segments(dealt.join(heavy, same, "left_anti")).unionByName(
+        owned_windows(distinct.join(heavy, same, "left_semi")))
+
+
 def marks(docs: DataFrame) -> DataFrame:
     """``m_doc, m_key, whole, starts``: what goes of each document that loses words.
 
@@ -244,8 +282,7 @@ def marks(docs: DataFrame) -> DataFrame:
         F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.min("segment").alias("segment"))
     words = segments.select(F.sum(F.length("segment") / 6)).first()[0] or 0
     shards = max(1, int(words / SHARD_WORDS) + 1)
-    owned = cut(owned_segments(distinct.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards)))),
-                "phrases-owned")
+    owned = cut(segment_owners(segments, distinct, shards), "phrases-owned")
     hits = (segments.select("gram", "seg", "doc", "text_key", "start")
             .join(owned, (F.col("gram") == F.col("o_gram")) & (F.col("seg") == F.col("o_seg")))
             .select("doc", "text_key", F.explode(F.transform("owners", lambda o, i: F.when(

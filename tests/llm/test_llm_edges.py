@@ -351,6 +351,26 @@ def test_phrases_edges(spark, rows):
     assert with_null.count() == len(rows)
 
 
+def test_heavy_grams_are_dealt_by_window(spark, monkeypatch):
+    """No shard gets more words of one gram than ``SHARD_WORDS``, and the result is the same."""
+    rng = random.Random(6)
+    phrase = sentence(rng, 6)
+    tails = [sentence(rng, 9) for _ in range(4)]
+    every = [(k, f"{sentence(rng, 8)} {phrase} {rng.choice(tails)} {sentence(rng, 3)}", "en") for k in range(40)]
+    every += [(50 + k, f"{tails[k % 4]} {sentence(rng, 20)} {tails[k % 4]}", "en") for k in range(4)]
+    every += [(60, every[0][1] + " " + every[1][1], "en")]
+    docs = make_docs(spark, every)
+    asked = []
+    find = phrases.owned_segments
+    monkeypatch.setattr(phrases, "SHARD_WORDS", 100)
+    monkeypatch.setattr(phrases, "owned_segments", lambda d: find(asked.append(d) or d))
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in phrases.repeat_digests(docs).collect())
+    assert got == sorted((i, n, gone, hashlib.sha256(" ".join(kept).encode()).hexdigest()) for (i, _, _), (n, gone, kept)
+                         in zip(every, brute.repeats([(i, t) for i, t, _ in every])))
+    most = asked[0].groupBy("gram").agg(F.sum(F.length("segment") / 6).alias("words")).agg(F.max("words")).first()[0]
+    assert (most or 0) <= 100 and sum(r[2] for r in got) > 100
+
+
 def test_small_automata_find_the_same(monkeypatch):
     import numpy as np
     rng = random.Random(4)
