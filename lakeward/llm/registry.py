@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from lakeward.llm.bpe import op9_bpe_roundtrip
-from lakeward.llm import chat, decontam, line_dedup, ngram_join, phrases, pii, warc
+from lakeward.llm import (chat, collocations, decontam, line_dedup, metric_tree, ngram_join, phrases, pii, runs,
+                          warc)
 from lakeward.llm.quality import op2_quality_rules
 from lakeward.llm.quality_sql import SQL as QUALITY_SQL
 from lakeward.llm.sharding import op6_hash_ring
@@ -19,6 +20,9 @@ QUERIES = {
     "op8_phrase_automata": phrases.op8_phrase_automata,
     "op9_bpe_roundtrip": op9_bpe_roundtrip,
     "op10_spaced_seeds": decontam.op10_spaced_seeds,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_periodic_runs": runs.op12_periodic_runs,
+    "op13_metric_tree": metric_tree.op13_metric_tree,
 }
 
 SQL: dict[str, str] = {
@@ -29,4 +33,6 @@ SQL: dict[str, str] = {
     "op5_line_similarity": line_dedup.SQL,
     "op8_phrase_automata": phrases.SQL,
     "op10_spaced_seeds": decontam.SQL,
+    "op11_collocations": collocations.SQL,
+    "op13_metric_tree": metric_tree.SQL,
 }

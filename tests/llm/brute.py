@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import duckdb
@@ -165,6 +167,87 @@ def term_spans(texts, context=50):
     return [sorted({(a, b) for e, w, a, b in near[t or ""] if (e, w) in told}) for t in texts]
 
 
+def runs(w, least=12):
+    """Every run ``start, length, period`` of a word list, by the definition."""
+    found = {}
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            start = i
+            while i + q < len(w) and w[i] == w[i + q]:
+                i += 1
+            if i + q - start >= max(least, 2 * q) and i > start:
+                found.setdefault((start, i + q - start), q)
+            i += 1
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def without_runs(w, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return [x for i, x in enumerate(w) if i not in gone]
+
+
+def run_columns(doc_id, text):
+    """The columns of the periodic run query behind doc_id."""
+    w = words(text)
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10 == 0 and w:
+        g = h // 10
+        a = g % len(w)
+        p = 1 + (len(w) - a) // (3 + g % 8)
+        w = [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+    found = runs(w)
+    s, n, q = min(found, key=lambda r: (-r[1], r[0], r[2])) if found else (None,) * 3
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return (len(found), s, n, q, 1000 * n // q if found else None,
+            sha("".join(f"{a},{b},{c}\n" for a, b, c in found)), sha(" ".join(without_runs(w, found))))
+
+
+def collocations(rows, support=30, top=2000, most=4):
+    """[(lang, text)] to sorted rows ``lang, rank, phrase, a, l, r, n, score``."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = (text or "").translate({c: c + 32 for c in range(65, 91)})
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in range(1, most + 1):
+                f[lang].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, c in f.items():
+        cand = {g: a for g, a in c.items() if len(g) > 1 and a >= support}
+        longer = Counter()
+        for g, a in cand.items():
+            for m in range(2, len(g)):
+                for i in range(len(g) - m + 1):
+                    longer[g[i:i + m]] = max(longer[g[i:i + m]], a)
+        best = []
+        for g, a in cand.items():
+            if 100 * longer[g] < 80 * a:
+                s, _, lo, hi = min((2000000 * a // (c[g[:k]] + c[g[k:]]), k, c[g[:k]], c[g[k:]]) for k in range(1, len(g)))
+                best.append((-s, -a, " ".join(g).encode(), lo, hi))
+        for rank, (s, a, p, lo, hi) in enumerate(sorted(best)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, lo, hi, n[lang], -s))
+    return sorted(out)
+
+
+def top_scores(rows, top=5, every=50):
+    """[(id, vector)] to sorted ``query_id, rank, vec_id, score``."""
+    sound = {}
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            ints = [math.floor(256 * x) for x in v]
+            sound[i] = min(sound.get(i, ints), ints)
+    out = []
+    for q in sound:
+        if q % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(sound[q], v)), i) for i, v in sound.items()
+                            if i != q and len(v) == len(sound[q]))
+            out += [(q, k, i, -s) for k, (s, i) in enumerate(scored[:top], 1)]
+    return sorted(out)
+
+
 def kept_by_rules(con, relation):
     from lakeward.llm.quality_sql import judged_sql
     return {r[0]: r[1] for r in con.sql(

@@ -30,7 +30,7 @@ def test_against_sql(spark, con, name):
 
 
 def test_every_operator_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in registry.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in registry.QUERIES} == set(range(1, 14))
 
 
 def test_shards_are_balanced_and_gapless(spark, docs):
@@ -71,3 +71,10 @@ def test_bpe_against_the_tokenizers_library(spark, docs):
         assert rows[doc_id].n_tokens == len(ids)
         assert rows[doc_id].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert rows[doc_id].decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
+
+
+def test_periodic_runs_against_brute_force(spark, docs):
+    rows = {r.doc_id: r for r in registry.QUERIES["op12_periodic_runs"](spark, SF).collect()}
+    assert len(rows) == len(docs) and sum(r.n_runs > 0 for r in rows.values()) >= 10
+    for doc_id, text in docs:
+        assert tuple(rows[doc_id])[1:] == brute.run_columns(doc_id, text), doc_id
