@@ -46,7 +46,7 @@ from lakeward.llm.common import cut, read_table
 
 SUPPORT = 30
 MAX_WORDS = 4
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 FILTER_BITS = 26
 SCALE = 2_000_000
 ABSORB_PCT = 80
