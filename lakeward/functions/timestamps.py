@@ -11,12 +11,14 @@ INSTANT_FORMATS = ("yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd'T'HH:mm:ssXXX",
                    "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
 
 
-def parse_instant(text: Column) -> Column:
-    """ISO instant with a zone designator (``Z`` or an offset) -> TIMESTAMP.
+def try_instant(text: Column) -> Column:
+    """ISO instant with a zone designator (``Z`` or an offset) -> TIMESTAMP, or NULL."""
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in INSTANT_FORMATS])
+
 
-    Text that matches none of the forms fails the query, as a bad document should.
-    """
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in INSTANT_FORMATS])
+def parse_instant(text: Column) -> Column:
+    """:func:`try_instant`, but text that matches none of the forms fails the query, as a bad document should."""
+    parsed = try_instant(text)
     return (F.when(text.isNull(), F.lit(None).cast("timestamp"))
             .when(parsed.isNotNull(), parsed)
             .otherwise(F.raise_error(F.concat(F.lit("Unparseable instant: "), text)))

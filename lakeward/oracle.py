@@ -355,3 +355,32 @@ def _without_fetch(rows_sql: str, columns) -> str:
 SQL["scan_price_xml_files"] = _without_fetch(PRICE_ROWS_SQL, PRICES.column_names)
 SQL["scan_generation_xml_files"] = _without_fetch(GENERATION_ROWS_SQL, GENERATION.column_names)
 SQL["scan_weather_json_files"] = _without_fetch(WEATHER_ROWS_SQL, WEATHER.column_names)
+
+_NULLS = "CAST(NULL AS TIMESTAMP) AS delivery_start, CAST(NULL AS TIMESTAMP) AS delivery_end, CAST(NULL AS DOUBLE) AS price_gbp_per_mwh"
+SQL["decode_namespaces"] = f"""
+WITH o AS (SELECT *, CASE WHEN o_orderstatus = 'P' THEN 'EUR' ELSE 'GBP' END AS currency,
+                  '10Y' || substr(o_orderpriority, 1, 1) || '-ZONE' AS bidding_zone,
+                  o_orderdate + to_hours(CAST(o_custkey % 36 AS BIGINT)) AS fetched_at FROM orders),
+d AS (SELECT * FROM o WHERE o_orderpriority IS DISTINCT FROM '5-LOW' AND o_orderkey % 6 IN (0, 1, 2))
+SELECT 'decoded' AS reason, CAST(NULL AS VARCHAR) AS document_id, o_orderdate AS delivery_start,
+       o_orderdate + INTERVAL 60 MINUTE AS delivery_end, o_totalprice / 1000 - 20 AS price_gbp_per_mwh,
+       currency, bidding_zone, fetched_at FROM d
+UNION ALL
+SELECT 'decoded', NULL, o_orderdate + to_minutes(CAST((o_orderkey % 3 + 1) * 60 AS BIGINT)),
+       o_orderdate + to_minutes(CAST((o_orderkey % 3 + 2) * 60 AS BIGINT)), o_totalprice / 800 - 100,
+       currency, bidding_zone, fetched_at FROM d
+UNION ALL
+SELECT CASE o_orderkey % 6 WHEN 3 THEN 'foreign namespace' ELSE 'namespace declared below the root' END,
+       'order-' || CAST(o_orderkey AS VARCHAR), {_NULLS}, NULL, NULL, fetched_at
+FROM o WHERE o_orderkey % 6 IN (3, 5)"""
+
+SQL["decode_judged_parts"] = f"""
+WITH o AS (SELECT *, CASE WHEN o_orderkey % 7 = 0 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'decoded' ELSE 'period without a start' END
+        WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 17 = 0 THEN 'value is no number'
+        WHEN o_orderkey % 19 = 0 THEN 'Unsupported resolution' ELSE 'decoded' END AS reason FROM ({_PRICE_BASE}))
+SELECT 'price' AS source, reason, o_orderdate AS delivery_start, o_totalprice / 1000 - 20 AS value, bidding_zone, fetched_at
+FROM o WHERE reason = 'decoded'
+UNION ALL SELECT 'price', reason, o_orderdate + to_minutes(CAST((o_orderkey % 3 + 1) * 60 AS BIGINT)),
+       o_totalprice / 800 - 100, bidding_zone, fetched_at FROM o WHERE reason = 'decoded'
+UNION ALL SELECT 'price', reason, NULL, NULL, bidding_zone, fetched_at FROM o WHERE reason <> 'decoded'
+UNION ALL SELECT 'generation', 'decoded', delivery_start, quantity_mw, bidding_zone, fetched_at FROM ({GENERATION_ROWS_SQL})"""

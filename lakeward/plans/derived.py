@@ -154,24 +154,34 @@ def event_log_rows(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("event_kind"))
 
 
+SERIES_PER_DOCUMENT = 2000
+
+
+def prefixed(xml: Column, prefix: str) -> Column:
+    """All elements of an XML text under a namespace prefix."""
+    return F.regexp_replace(xml, "<(/?)", f"<$1{prefix}:")
+
+
 def write_xml_documents(series: DataFrame, column: str, path: str, root: str,
-                        namespace: str | None = None) -> None:
+                        namespace: str | None = None, prefix: str = "") -> None:
     """Land ``<TimeSeries>`` text rows as XML documents, one document per file.
 
-    Spark's XML source parses each file as one document, so the series of a
-    partition are wrapped in a single root element (as a fetched market
-    document is). Rows pass through in order; nothing is collected.
+    Up to ``SERIES_PER_DOCUMENT`` series of a task are wrapped in a root element, as a
+    fetched market document is; with ``prefix`` all elements carry it. Nothing is collected.
     """
     import pandas as pd
 
-    open_tag = f'<{root} xmlns="{namespace}">' if namespace else f"<{root}>"
-    close_tag = f"</{root}>"
+    colon = f"{prefix}:" if prefix else ""
+    bind = f' xmlns{":" + prefix if prefix else ""}="{namespace}"' if namespace else ""
+    open_tag, close_tag = f"<{colon}{root}{bind}>", f"</{colon}{root}>"
 
     def wrap(batches):
-        yield pd.DataFrame({column: [open_tag]})
         for batch in batches:
-            yield batch[[column]]
-        yield pd.DataFrame({column: [close_tag]})
-
-    (series.select(column).mapInPandas(wrap, f"{column} string")
-     .write.mode("overwrite").text(path))
+            texts = batch[column].tolist()
+            yield pd.DataFrame({column: [
+                "\n".join([open_tag, *texts[i:i + SERIES_PER_DOCUMENT], close_tag])
+                for i in range(0, len(texts), SERIES_PER_DOCUMENT)]})
+
+    text = prefixed(F.col(column), prefix) if prefix else F.col(column)
+    (series.select(text.alias(column)).mapInPandas(wrap, f"{column} string")
+     .write.mode("overwrite").option("maxRecordsPerFile", 1).text(path))

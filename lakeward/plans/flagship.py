@@ -38,7 +38,7 @@ def fetched_documents(spark: SparkSession, sf_dir: str, raw: str) -> list:
             docs.read_series_xml(spark, prices, docs.PRICE_SERIES_SCHEMA))),
         (GENERATION, docs.decode_generation(
             docs.read_series_xml(spark, generation, docs.GENERATION_SERIES_SCHEMA))),
-        (WEATHER, docs.decode_weather(docs.read_weather_json(spark, weather, multi_line=False))),
+        (WEATHER, docs.decode_weather(docs.read_weather_json(spark, weather, multi_line=False), as_text=True)),
     ]
 
 

@@ -188,11 +188,11 @@ def generation_rows(spark, sf_dir) -> DataFrame:
     return docs.decode_generation(series)
 
 
-def weather_rows(spark, sf_dir) -> DataFrame:
+def weather_rows(spark, sf_dir, as_text: bool = False) -> DataFrame:
     d = derived.weather_payloads(spread(table(spark, sf_dir, "events")))
     payloads = d.select(docs.parse_weather_json(F.col("json")).alias("p"), "fetched_at") \
         .select("p.*", "fetched_at")
-    return docs.decode_weather(payloads)
+    return docs.decode_weather(payloads, as_text=as_text)
 
 
 def decode_price_xml(spark, sf_dir):
@@ -431,7 +431,7 @@ def silver_generation(spark, sf_dir):
 
 
 def silver_weather(spark, sf_dir):
-    return _silver(spark, sf_dir, WEATHER, weather_rows)
+    return _silver(spark, sf_dir, WEATHER, partial(weather_rows, as_text=True))
 
 
 def _dq_view(history):
@@ -457,7 +457,7 @@ def medallion_dq(spark, sf_dir):
         run_pipeline(spark, spec, paths, update_id=RUN_ID, bucket=BACKFILL)
 
     run_domains([partial(domain, PRICES, price_rows), partial(domain, GENERATION, generation_rows),
-                 partial(domain, WEATHER, weather_rows)])
+                 partial(domain, WEATHER, partial(weather_rows, as_text=True))])
     run_consolidation(spark, paths.monitoring, paths.history)
     # A second consolidation without new events changes nothing.
     run_consolidation(spark, paths.monitoring, paths.history)
@@ -582,28 +582,89 @@ def _land_text(df: DataFrame, column: str, path: str) -> None:
     df.select(column).write.mode("overwrite").text(path)
 
 
-# Document root elements and their default namespaces.
-PRICE_DOCUMENT = ("Publication_MarketDocument",
-                  "urn:iec62325.351:tc57wg16:451-3:publicationdocument:7:3")
-GENERATION_DOCUMENT = ("GL_MarketDocument",
-                       "urn:iec62325.351:tc57wg16:451-6:generationloaddocument:3:0")
+# Document root elements and their namespaces.
+PRICE_DOCUMENT = ("Publication_MarketDocument", docs.PRICE_NAMESPACE)
+GENERATION_DOCUMENT = ("GL_MarketDocument", docs.GENERATION_NAMESPACE)
+OTHER_NAMESPACE = "urn:example:other-document:1:0"
+
+
+def _land_spellings(series: DataFrame, path: str, root: str, namespace: str) -> str:
+    """Documents in three spellings: default namespace, a prefix, and a third that is another namespace."""
+    half = F.crc32("xml") % 2
+    derived.write_xml_documents(series.where(half == 0), "xml", f"{path}/default", root, namespace)
+    derived.write_xml_documents(series.where(half == 1), "xml", f"{path}/prefixed", root, namespace, "md")
+    derived.write_xml_documents(series.where(F.crc32("xml") % 10 == 0), "xml", f"{path}/foreign", root, OTHER_NAMESPACE)
+    return f"{path}/*"
 
 
 def scan_price_xml_files(spark, sf_dir):
-    path = scratch_path(spark, "price-xml")
-    derived.write_xml_documents(derived.price_documents(spread(table(spark, sf_dir, "orders"))),
-                                "xml", path, *PRICE_DOCUMENT)
-    series = docs.read_series_xml(spark, path, docs.PRICE_SERIES_SCHEMA, _no_fetch())
-    return as_ntz(docs.decode_prices(series))
+    series = derived.price_documents(spread(table(spark, sf_dir, "orders")))
+    path = _land_spellings(series, scratch_path(spark, "price-xml"), *PRICE_DOCUMENT)
+    return as_ntz(docs.decode_prices(docs.read_series_xml(spark, path, docs.PRICE_SERIES_SCHEMA, _no_fetch())))
 
 
 def scan_generation_xml_files(spark, sf_dir):
-    path = scratch_path(spark, "generation-xml")
-    derived.write_xml_documents(
-        derived.generation_documents(spread(table(spark, sf_dir, "lineitem"))),
-        "xml", path, *GENERATION_DOCUMENT)
-    series = docs.read_series_xml(spark, path, docs.GENERATION_SERIES_SCHEMA, _no_fetch())
-    return as_ntz(docs.decode_generation(series))
+    series = derived.generation_documents(spread(table(spark, sf_dir, "lineitem")))
+    path = _land_spellings(series, scratch_path(spark, "generation-xml"), *GENERATION_DOCUMENT)
+    return as_ntz(docs.decode_generation(
+        docs.read_series_xml(spark, path, docs.GENERATION_SERIES_SCHEMA, _no_fetch())))
+
+
+def decode_namespaces(spark, sf_dir):
+    """One document per order, its namespace spelled in six ways: decoded rows and documents set aside."""
+    k = F.col("doc_id") % 6
+    d = derived.price_documents(spread(table(spark, sf_dir, "orders")))
+    root, ns = PRICE_DOCUMENT
+    name = F.concat(F.lit("<mRID>order-"), F.col("doc_id").cast("string"), F.lit("</mRID>"))
+    md = lambda c: derived.prefixed(c, "md")
+
+    def document(tag: str, declared: str, body) -> object:
+        return F.concat(F.lit(f"<?xml version=\"1.0\"?><!-- <root> -->\n<{tag} {declared}>"), body, F.lit(f"</{tag}>"))
+
+    spelled = (
+        F.when(k == 0, document(root, f'xmlns="{ns}"', F.concat(name, F.col("xml"))))
+        .when(k == 1, document(f"md:{root}", f"xmlns:md='{ns}' xmlns:x=\"{OTHER_NAMESPACE}\"", F.concat(md(name), md(F.col("xml")))))
+        # Two names of one namespace; a series of another one is not ours.
+        .when(k == 2, document(f"md:{root}", f'xmlns:md="{ns}" xmlns="{ns}" xmlns:x="{OTHER_NAMESPACE}"', F.concat(
+            name, F.regexp_replace("xml", "<(/?)(TimeSeries|Point)", "<$1md:$2"), derived.prefixed(F.col("xml"), "x"))))
+        .when(k == 3, document(root, f'xmlns="{OTHER_NAMESPACE}"', F.concat(name, F.col("xml"))))
+        # No default namespace: names without a prefix belong to none.
+        .when(k == 4, document(f"md:{root}", f'xmlns:md="{ns}"', F.concat(md(name), F.col("xml"))))
+        .otherwise(document(root, f'xmlns="{ns}"', F.concat(name, F.replace(
+            F.col("xml"), F.lit("<TimeSeries>"), F.lit(f'<TimeSeries xmlns="{OTHER_NAMESPACE}">'))))))
+    parsed = docs.parse_documents(d.select(spelled.alias("document"), "fetched_at"), docs.PRICE_SERIES_SCHEMA)
+    rows = docs.decode_prices(docs.document_series(parsed), on_bad="quarantine").select(
+        F.lit("decoded").alias("reason"), F.lit(None).cast("string").alias("document_id"), "*")
+    aside = docs.quarantined_documents(parsed).select(
+        "reason", F.regexp_extract("document", "mRID>([^<]*)<", 1).alias("document_id"), "fetched_at")
+    return as_ntz(rows.unionByName(aside, allowMissingColumns=True))
+
+
+def decode_judged_parts(spark, sf_dir):
+    """Only what is decoded is judged: broken second periods and consumption series harm nothing."""
+    k = F.col("doc_id")
+    d = derived.price_documents(spread(table(spark, sf_dir, "orders")))
+    xml = (F.when(k % 7 == 0, F.regexp_replace("xml", "(?s)^(.*)<start>[^<]*</start>", "$1"))
+           .when(k % 11 == 0, F.replace(F.col("xml"), F.lit("</price.amount>"), F.lit("d</price.amount>")))
+           .when(k % 13 == 0, F.regexp_replace("xml", "<price.amount>[^<]*</price.amount>", ""))
+           .when(k % 17 == 0, F.regexp_replace("xml", "<position>[^<]*</position>", ""))
+           .when(k % 19 == 0, F.replace(F.col("xml"), F.lit("PT60M"), F.lit("P1H")))
+           .otherwise(F.col("xml")))
+    prices = d.select(docs.parse_series_xml(xml, docs.PRICE_SERIES_SCHEMA).alias("series"), "fetched_at")
+    rows = docs.decode_prices(prices, on_bad="quarantine").select(
+        F.lit("price").alias("source"), F.lit("decoded").alias("reason"), "delivery_start",
+        F.col("price_gbp_per_mwh").alias("value"), "bidding_zone", "fetched_at")
+    aside = docs.quarantined_series(prices, docs.PRICE_VALUE).select(
+        F.lit("price").alias("source"), "reason", F.lit(None).cast("timestamp").alias("delivery_start"),
+        F.lit(None).cast("double").alias("value"), F.col("series.`in_Domain.mRID`").alias("bidding_zone"), "fetched_at")
+    g = derived.generation_documents(spread(table(spark, sf_dir, "lineitem")))
+    bad = F.when(F.contains("xml", F.lit("<outBiddingZone")), F.replace(
+        F.col("xml"), F.lit("</quantity>"), F.lit(" MW</quantity>"))).otherwise(F.col("xml"))
+    generation = docs.decode_generation(g.select(docs.parse_series_xml(
+        bad, docs.GENERATION_SERIES_SCHEMA).alias("series"), "fetched_at")).select(
+        F.lit("generation").alias("source"), F.lit("decoded").alias("reason"), "delivery_start",
+        F.col("quantity_mw").alias("value"), "bidding_zone", "fetched_at")
+    return as_ntz(rows.unionByName(aside).unionByName(generation))
 
 
 def scan_weather_json_files(spark, sf_dir):
@@ -617,4 +678,6 @@ QUERIES.update({
     "scan_price_xml_files": scan_price_xml_files,
     "scan_generation_xml_files": scan_generation_xml_files,
     "scan_weather_json_files": scan_weather_json_files,
+    "decode_namespaces": decode_namespaces,
+    "decode_judged_parts": decode_judged_parts,
 })

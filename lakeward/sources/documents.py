@@ -1,30 +1,42 @@
 """Decode landed market (XML) and weather (JSON) documents into tidy rows.
 
-The decode runs on the executors: files are scanned by Spark's XML / JSON
-sources (``rowTag=TimeSeries`` splits a document into series records), or an
-XML/JSON text column is parsed with ``from_xml`` / ``from_json``. The nested
-structure is flattened with ``explode`` / ``posexplode`` and document-level
-fields ride along on every row. No Python runs per row.
-
-A bad document fails the decode (``on_bad="fail"``, the default): a record that is
-no well-formed XML or JSON, a number that is none, a period without a start, an API
-error payload. ``on_bad="quarantine"`` leaves such records out and
-``quarantined_series`` / ``quarantined_payloads`` return them with the reason, so
-they can be kept and counted. Numbers are read as text and cast one by one, so one
-bad value never empties its neighbours.
+The decode runs on the executors: landed XML files are read as one row per document,
+weather files by the JSON source, and an XML/JSON text column is parsed with
+``from_xml`` / ``from_json``. The nested structure is flattened with ``explode`` /
+``posexplode`` and document-level fields ride along on every row. No Python runs per row.
+
+Market documents are matched by namespace, not by spelling (``lakeward.sources.namespaces``):
+elements of the document type's namespace count whatever their prefix, all others do
+not exist for the decode. A document whose root lies in another namespace has no rows and
+is listed by ``quarantined_documents``.
+
+A bad record fails the decode (``on_bad="fail"``, the default): a document that is
+no well-formed XML or JSON or declares namespaces below its root, a number or position that
+is missing or none, a period without a start or a known resolution, an API error
+payload. Only what is decoded is judged: the first period of a price series, all periods
+of a generation series, nothing of a consumption series. ``on_bad="quarantine"`` leaves
+bad records out and ``quarantined_documents`` / ``quarantined_series`` /
+``quarantined_payloads`` return them with the reason, so they can be kept and counted.
+Numbers are read as text and cast one by one, so one bad value never empties its
+neighbours.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeward.functions.durations import resolution_minutes, slot_end, slot_start
+from lakeward.functions.durations import (RESOLUTION_PATTERN, resolution_minutes, slot_end,
+                                          slot_start)
 from lakeward.functions.lookups import production_type, weather_condition
-from lakeward.functions.timestamps import parse_instant, parse_naive_utc
+from lakeward.functions.timestamps import parse_instant, parse_naive_utc, try_instant
+from lakeward.sources.namespaces import in_namespace, root_problem, root_tag
 
-# Element names of the two market document types. Names containing
-# dots are quoted; the documents' default namespace needs no prefix.
+# Namespaces and element names of the two market document types. Names
+# containing dots are quoted.
+PRICE_NAMESPACE = "urn:iec62325.351:tc57wg16:451-3:publicationdocument:7:3"
+GENERATION_NAMESPACE = "urn:iec62325.351:tc57wg16:451-6:generationloaddocument:3:0"
 _PERIOD = ("Period ARRAY<STRUCT<timeInterval: STRUCT<start: STRING>, resolution: STRING, "
            "Point: ARRAY<STRUCT<position: STRING, {value}: STRING>>>>, _corrupt STRING")
 PRICE_SERIES_SCHEMA = ("`currency_Unit.name` STRING, `in_Domain.mRID` STRING, "
@@ -33,9 +45,10 @@ GENERATION_SERIES_SCHEMA = ("`inBiddingZone_Domain.mRID` STRING, "
                             "`outBiddingZone_Domain.mRID` STRING, "
                             "MktPSRType STRUCT<psrType: STRING>, "
                             + _PERIOD.format(value="quantity"))
+NAMESPACES = {PRICE_SERIES_SCHEMA: PRICE_NAMESPACE, GENERATION_SERIES_SCHEMA: GENERATION_NAMESPACE}
 # Hourly variables of the weather payload (parallel arrays aligned with `time`).
 WEATHER_PAYLOAD_SCHEMA = (
-    "latitude DOUBLE, longitude DOUBLE, hourly STRUCT<time: ARRAY<STRING>, "
+    "latitude STRING, longitude STRING, hourly STRUCT<time: ARRAY<STRING>, "
     "temperature_2m: ARRAY<STRING>, apparent_temperature: ARRAY<STRING>, "
     "relative_humidity_2m: ARRAY<STRING>, cloud_cover: ARRAY<STRING>, "
     "wind_speed_10m: ARRAY<STRING>, weather_code: ARRAY<STRING>>, "
@@ -57,16 +70,65 @@ def _fetched_at(fetched_at: Column | None) -> Column:
     return fetched_at if fetched_at is not None else F.col("_metadata.file_modification_time")
 
 
-def read_series_xml(spark: SparkSession, path: str, schema: str,
-                    fetched_at: Column | None = None) -> DataFrame:
-    """Scan XML documents under ``path``: one record per ``TimeSeries`` element.
+def read_documents(spark: SparkSession, path: str, fetched_at: Column | None = None) -> DataFrame:
+    """Landed XML files as fetched: ``document`` (the whole text), ``path`` and ``fetched_at``.
 
-    Result columns: ``series`` (struct per ``schema``) and ``fetched_at``.
+    A document is one API response, so a row is as bounded as the response was.
     """
-    raw = (spark.read.format("xml").option("rowTag", "TimeSeries").options(**CORRUPT)
-           .schema(schema).load(path))
-    fields = [F.col(f"`{f}`") for f in raw.columns]
-    return raw.select(F.struct(*fields).alias("series"), _fetched_at(fetched_at).alias("fetched_at"))
+    raw = spark.read.text(path, wholetext=True)
+    return raw.select(F.col("value").alias("document"), F.col("_metadata.file_path").alias("path"),
+                      _fetched_at(fetched_at).alias("fetched_at"))
+
+
+def parse_documents(documents: DataFrame, schema: str, namespace: str | None = None) -> DataFrame:
+    """``documents`` with ``root`` (its start tag), ``problem`` (null: sound) and ``series`` (an array).
+
+    ``schema`` is that of one series; ``namespace`` defaults to the one of the document type.
+    """
+    namespace = namespace or NAMESPACES[schema]
+    rooted = documents.withColumn("root", root_tag(F.col("document")))
+    text = in_namespace(F.col("document"), F.col("root"), namespace)
+    known = rooted.withColumn("problem", root_problem(F.col("document"), F.col("root"), namespace))
+    parsed = known.withColumn("parsed", F.when(F.col("problem").isNull(), F.from_xml(
+        text, f"TimeSeries ARRAY<{_ddl(T.StructType.fromDDL(schema))}>, _corrupt STRING", CORRUPT)))
+    broken = F.col("problem").isNull() & (F.col("parsed").isNull() | F.col("parsed._corrupt").isNotNull())
+    return parsed.select(*rooted.columns, F.when(broken, MALFORMED).otherwise(F.col("problem")).alias("problem"),
+                         F.col("parsed.TimeSeries").alias("series"))
+
+
+def _ddl(kind: T.DataType) -> str:
+    """DDL of a type; field names may hold dots."""
+    if isinstance(kind, T.ArrayType):
+        return f"ARRAY<{_ddl(kind.elementType)}>"
+    if isinstance(kind, T.StructType):
+        return "STRUCT<" + ", ".join(f"`{f.name}`: {_ddl(f.dataType)}" for f in kind) + ">"
+    return kind.simpleString()
+
+
+FOREIGN, MALFORMED = "foreign namespace", "malformed record"
+
+
+def document_series(parsed: DataFrame) -> DataFrame:
+    """``series, document_problem, fetched_at``: one row per series, and one per bad document.
+
+    Documents of another namespace have no series of ours and give no row.
+    """
+    # No filter on the problem alone: it would be pushed below the parse and judge every document twice.
+    rows = parsed.select(F.when(F.col("problem") != FOREIGN, F.col("problem")).alias("document_problem"),
+                         "fetched_at", _explode_present(F.col("series"), "series"))
+    return rows.where(F.col("series").isNotNull() | F.col("document_problem").isNotNull())
+
+
+def quarantined_documents(parsed: DataFrame) -> DataFrame:
+    """``reason, root, document, fetched_at`` of the documents that give no series because of what they are."""
+    return parsed.where(F.col("problem").isNotNull()).select(
+        F.col("problem").alias("reason"), "root", "document", "fetched_at")
+
+
+def read_series_xml(spark: SparkSession, path: str, schema: str, fetched_at: Column | None = None,
+                    namespace: str | None = None) -> DataFrame:
+    """Series of the XML documents under ``path``: ``series, document_problem, fetched_at``."""
+    return document_series(parse_documents(read_documents(spark, path, fetched_at), schema, namespace))
 
 
 def parse_series_xml(xml_text: Column, schema: str) -> Column:
@@ -74,16 +136,42 @@ def parse_series_xml(xml_text: Column, schema: str) -> Column:
     return F.from_xml(xml_text, schema, CORRUPT)
 
 
-def series_problem(series: Column, value: str) -> Column:
+# What counts as a number in a document.
+FLOAT_PATTERN = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?(?i)(nan|inf|infinity)\s*$"
+INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
+
+
+def decoded_periods(series: Column, value: str) -> Column:
+    """The periods of a series that are decoded: a price series' first, a generation series' all."""
+    if value == PRICE_VALUE:
+        return F.slice(series["Period"], 1, 1)
+    return F.when(series["outBiddingZone_Domain.mRID"].isNull(), series["Period"])
+
+
+def series_problem(series: Column, value: str, document_problem: Column | None = None) -> Column:
     """Why a parsed series cannot be decoded (null: it can)."""
-    periods = series["Period"]
-    no_start = F.exists(periods, lambda p: p["timeInterval"]["start"].isNull())
-    bad = F.exists(periods, lambda p: F.exists(p["Point"], lambda x: (
-        x[value].isNotNull() & x[value].try_cast("double").isNull()) | (
-        x["position"].isNotNull() & x["position"].try_cast("int").isNull())))
-    return (F.when(series.isNull() | series["_corrupt"].isNotNull(), "malformed record")
-            .when(F.coalesce(no_start, F.lit(False)), "period without a start")
-            .when(F.coalesce(bad, F.lit(False)), "value is no number"))
+    periods = decoded_periods(series, value)
+
+    def some(check) -> Column:
+        return F.coalesce(F.exists(periods, check), F.lit(False))
+
+    def no_number(text: Column, pattern: str, kind: str) -> Column:
+        return ~F.coalesce(text.rlike(pattern) & F.trim(text).try_cast(kind).isNotNull(), F.lit(False))
+
+    start = lambda p: p["timeInterval"]["start"]
+    bad_point = lambda x: no_number(x[value], FLOAT_PATTERN, "double") | no_number(x["position"], INT_PATTERN, "int")
+    found = (F.when(series.isNull() | series["_corrupt"].isNotNull(), MALFORMED)
+             .when(some(lambda p: start(p).isNull()), "period without a start")
+             .when(some(lambda p: try_instant(start(p)).isNull()), "Unparseable instant")
+             .when(some(lambda p: ~F.coalesce(p["resolution"].rlike(RESOLUTION_PATTERN), F.lit(False))),
+                   "Unsupported resolution")
+             .when(some(lambda p: F.exists(p["Point"], bad_point)), "value is no number"))
+    return found if document_problem is None else F.coalesce(document_problem, found)
+
+
+def _problem(series: DataFrame, value: str) -> Column:
+    document = F.col("document_problem") if "document_problem" in series.columns else None
+    return series_problem(F.col("series"), value, document)
 
 
 def payload_problem(payload: DataFrame) -> Column:
@@ -106,7 +194,7 @@ PRICE_VALUE, GENERATION_VALUE = "price.amount", "quantity"
 
 def quarantined_series(series: DataFrame, value: str) -> DataFrame:
     """``reason, series, fetched_at`` of the records that ``on_bad="quarantine"`` leaves out."""
-    rows = series.select(series_problem(F.col("series"), value).alias("reason"), "series", "fetched_at")
+    rows = series.select(_problem(series, value).alias("reason"), "series", "fetched_at")
     return rows.where("reason IS NOT NULL")
 
 
@@ -135,9 +223,9 @@ def _points(periods: DataFrame, carried: list[str], value: str, alias: str) -> D
         F.col("period.Point").alias("points"))
     pts = parsed.select(*carried, "period_start", "step", _explode_present(F.col("points"), "pt")).filter(
         F.col("pt").isNotNull())
-    start = slot_start(F.col("period_start"), F.col("pt.position").cast("int"), F.col("step"))
+    start = slot_start(F.col("period_start"), F.trim("pt.position").cast("int"), F.col("step"))
     return pts.select(start.alias("delivery_start"), slot_end(start, F.col("step")).alias("delivery_end"),
-                      F.col(f"pt.`{value}`").cast("double").alias(alias), *carried)
+                      F.trim(F.col(f"pt.`{value}`")).cast("double").alias(alias), *carried)
 
 
 def decode_prices(series: DataFrame, on_bad: str = "fail") -> DataFrame:
@@ -145,8 +233,8 @@ def decode_prices(series: DataFrame, on_bad: str = "fail") -> DataFrame:
 
     Series without a period yield no rows; missing positions stay missing.
     """
-    first = _unless_bad(series_problem(F.col("series"), PRICE_VALUE),
-                        F.get(F.col("series.Period"), 0), on_bad)
+    first = _unless_bad(_problem(series, PRICE_VALUE),
+                        F.get(decoded_periods(F.col("series"), PRICE_VALUE), 0), on_bad)
     periods = series.select(F.col("series.`currency_Unit.name`").alias("currency"),
                             F.col("series.`in_Domain.mRID`").alias("bidding_zone"), "fetched_at",
                             first.alias("period"))
@@ -160,11 +248,11 @@ def decode_generation(series: DataFrame, on_bad: str = "fail") -> DataFrame:
     Consumption series (those carrying an out-domain) are skipped; every period
     of a series is decoded with its own start and resolution.
     """
-    periods = F.when(F.col("series.`outBiddingZone_Domain.mRID`").isNull(), F.col("series.Period"))
+    periods = decoded_periods(F.col("series"), GENERATION_VALUE)
     s = series.select(F.col("series.`inBiddingZone_Domain.mRID`").alias("bidding_zone"),
                       F.col("series.MktPSRType.psrType").alias("production_type_code"), "fetched_at",
-                      _explode_present(_unless_bad(series_problem(F.col("series"), GENERATION_VALUE),
-                                                   periods, on_bad), "period"))
+                      _explode_present(_unless_bad(_problem(series, GENERATION_VALUE), periods, on_bad),
+                                       "period"))
     rows = _points(s.filter(F.col("period").isNotNull()),
                    ["bidding_zone", "production_type_code", "fetched_at"], GENERATION_VALUE, "quantity_mw")
     return rows.withColumn("production_type", production_type(F.col("production_type_code"))).select(
@@ -188,14 +276,17 @@ def parse_weather_json(json_text: Column) -> Column:
 
 
 def decode_weather(payloads: DataFrame, location: str | Column = DEFAULT_LOCATION,
-                   on_bad: str = "fail") -> DataFrame:
+                   on_bad: str = "fail", as_text: bool = False) -> DataFrame:
     """Weather payloads -> one row per hour.
 
     ``hourly.time`` drives the rows; every other variable is read by index and
     is NULL when its array (or the element) is missing — a missing variable
-    never loses the hour. A payload without ``hourly`` yields no rows. A whole number
-    written as a float (80.0) is an integer; a value that does not fit its column's
-    type is NULL in its own hour only.
+    never loses the hour. A payload without ``hourly`` yields no rows.
+
+    ``as_text`` passes every number on as it stands in the payload, for landing: bronze
+    casts it and keeps what does not fit in ``_rescued_data``, counted. Without it numbers
+    are typed here: a whole number written as a float (80.0) is an integer, and a value
+    that does not fit its column's type is NULL in its own hour only.
     """
     loc = F.lit(location) if isinstance(location, str) else location
     h = (payloads.select("latitude", "longitude", "fetched_at", "hourly",
@@ -203,22 +294,29 @@ def decode_weather(payloads: DataFrame, location: str | Column = DEFAULT_LOCATIO
                                                         on_bad)).alias("i", "time"))
          .filter(F.col("i").isNotNull()))
 
-    def var(name: str) -> Column:
-        return F.get(F.col(f"hourly.{name}"), F.col("i")).try_cast("double")
+    def text(name: str) -> Column:
+        return F.get(F.col(f"hourly.{name}"), F.col("i"))
+
+    def number(value: Column) -> Column:
+        return value if as_text else value.try_cast("double")
 
     def whole(name: str) -> Column:
-        return F.when(var(name) == F.floor(var(name)), var(name).cast("int"))
+        value = text(name).try_cast("double")
+        return F.when(value == F.floor(value), value.try_cast("int"))
+
+    def count(name: str) -> Column:
+        return text(name) if as_text else whole(name)
 
     cond = weather_condition(whole("weather_code"))
     return h.select(
         parse_naive_utc(F.col("time")).alias("observation_time"),
         loc.alias("location"),
-        "latitude", "longitude",
-        var("temperature_2m").alias("temp_celsius"),
-        var("apparent_temperature").alias("feels_like_celsius"),
-        whole("relative_humidity_2m").alias("humidity_pct"),
-        whole("cloud_cover").alias("clouds_pct"),
-        var("wind_speed_10m").alias("wind_speed_ms"),
+        number(F.col("latitude")).alias("latitude"), number(F.col("longitude")).alias("longitude"),
+        number(text("temperature_2m")).alias("temp_celsius"),
+        number(text("apparent_temperature")).alias("feels_like_celsius"),
+        count("relative_humidity_2m").alias("humidity_pct"),
+        count("cloud_cover").alias("clouds_pct"),
+        number(text("wind_speed_10m")).alias("wind_speed_ms"),
         cond["main"].alias("weather_main"),
         cond["description"].alias("weather_description"),
         "fetched_at")

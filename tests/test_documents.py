@@ -148,3 +148,120 @@ def test_price_first_period_without_points_gives_no_rows(spark):
     df = spark.createDataFrame([(ts, FETCHED)], "x string, fetched_at timestamp")
     series = df.select(D.parse_series_xml(F.col("x"), D.PRICE_SERIES_SCHEMA).alias("series"), "fetched_at")
     assert D.decode_prices(series).count() == 0
+
+
+# ---------------------------------------------------------------- namespaces and what is judged
+
+def price_document(body: str, root='Publication_MarketDocument', attrs=f'xmlns="{NS_PRICE}"') -> str:
+    return f"<{root} {attrs}>{body}</{root}>"
+
+
+SERIES = ("<TimeSeries><currency_Unit.name>GBP</currency_Unit.name><in_Domain.mRID codingScheme='A01'>Z</in_Domain.mRID>"
+          "<Period><timeInterval><start>2020-01-01T00:00Z</start></timeInterval><resolution>PT60M</resolution>"
+          "<Point><position>1</position><price.amount>5.5</price.amount></Point></Period></TimeSeries>")
+
+
+def parsed_prices(spark, *documents):
+    df = spark.createDataFrame([(d, FETCHED) for d in documents], "document string, fetched_at timestamp")
+    return D.parse_documents(df, D.PRICE_SERIES_SCHEMA)
+
+
+def with_prefix(xml, prefix):
+    import re
+    return re.sub(r"<(/?)(?=[A-Za-z])", rf"<\1{prefix}:", xml)
+
+
+SPELLINGS = {
+    "default": price_document(SERIES),
+    "byte order mark": "﻿" + price_document(SERIES),
+    "declaration and comments": '<?xml version="1.0"?>\n<!-- a <b> -->\n<!DOCTYPE x>\n' + price_document(SERIES),
+    "single quotes": price_document(SERIES, attrs=f"xmlns = '{NS_PRICE}'"),
+    "prefix": with_prefix(price_document(SERIES, attrs=f'xmlns:a.b-c="{NS_PRICE}"'), "a.b-c"),
+    "several prefixes": price_document(with_prefix(SERIES, "q"), "p:Doc", f'xmlns:p="{NS_PRICE}" xmlns:q="{NS_PRICE}"'),
+    "more namespaces": price_document(SERIES + with_prefix(SERIES, "x"), attrs=f'xmlns:x="urn:x" xmlns="{NS_PRICE}"'),
+}
+
+
+@pytest.mark.parametrize("name", sorted(SPELLINGS))
+def test_documents_are_matched_by_namespace(spark, name):
+    rows = D.decode_prices(D.document_series(parsed_prices(spark, SPELLINGS[name]))).collect()
+    assert [(r.price_gbp_per_mwh, r.currency, r.bidding_zone) for r in rows] == [(5.5, "GBP", "Z")]
+
+
+def test_documents_that_hold_nothing_of_ours(spark):
+    parsed = parsed_prices(
+        spark, price_document(SERIES, attrs='xmlns="urn:foreign"'), price_document(SERIES, attrs=""),
+        price_document(SERIES, "p:Doc", f'xmlns:p="{NS_PRICE}"'), price_document("<x/>"))
+    assert D.decode_prices(D.document_series(parsed)).count() == 0
+    assert [r.reason for r in D.quarantined_documents(parsed).collect()] == [D.FOREIGN] * 2
+
+
+@pytest.mark.parametrize("document, reason", [
+    (None, "malformed record"), ("", "malformed record"), ("Service unavailable", "malformed record"),
+    (price_document(SERIES)[:-20], "malformed record"),
+    (price_document(SERIES.replace("<TimeSeries>", f'<TimeSeries xmlns="{NS_PRICE}">')), "namespace declared below the root")])
+def test_bad_documents_fail_or_are_set_aside(spark, document, reason):
+    parsed = parsed_prices(spark, document, price_document(SERIES))
+    with pytest.raises(Exception, match=f"Bad document: {reason}"):
+        D.decode_prices(D.document_series(parsed)).collect()
+    assert D.decode_prices(D.document_series(parsed), on_bad="quarantine").count() == 1
+    assert [(r.reason, r.document) for r in D.quarantined_documents(parsed).collect()] == [(reason, document)]
+
+
+def judged(spark, series, schema=D.PRICE_SERIES_SCHEMA):
+    df = spark.createDataFrame([(series, FETCHED)], "x string, fetched_at timestamp")
+    return df.select(D.parse_series_xml(F.col("x"), schema).alias("series"), "fetched_at")
+
+
+PERIOD = SERIES[SERIES.index("<Period>"):SERIES.index("</TimeSeries>")]
+
+
+@pytest.mark.parametrize("old, new, reason", [
+    ("<price.amount>5.5</price.amount>", "", "value is no number"), ("<position>1</position>", "", "value is no number"),
+    ("5.5", "5d", "value is no number"), ("5.5", "0x1p3", "value is no number"), (">1<", ">1.0<", "value is no number"),
+    (">1<", ">99999999999<", "value is no number"), ("<start>2020-01-01T00:00Z</start>", "", "period without a start"),
+    ("2020-01-01T00:00Z", "yesterday", "Unparseable instant"), ("PT60M", "PT1H", "Unsupported resolution"),
+    ("<resolution>PT60M</resolution>", "", "Unsupported resolution")])
+def test_bad_parts_of_a_decoded_period(spark, old, new, reason):
+    series = judged(spark, SERIES.replace(old, new))
+    with pytest.raises(Exception, match=reason):
+        D.decode_prices(series).collect()
+    assert D.decode_prices(series, on_bad="quarantine").count() == 0
+    assert [r.reason for r in D.quarantined_series(series, D.PRICE_VALUE).collect()] == [reason]
+
+
+@pytest.mark.parametrize("text, value", [(" 5.5 ", 5.5), ("+1e1", 10.0), (".5", 0.5), ("5.", 5.0), ("-0", 0.0)])
+def test_numbers_as_the_source_reads_them(spark, text, value):
+    assert [r.price_gbp_per_mwh for r in D.decode_prices(judged(spark, SERIES.replace("5.5", text))).collect()] == [value]
+
+
+def test_parts_that_are_not_decoded_are_not_judged(spark):
+    later = SERIES.replace("</TimeSeries>", PERIOD.replace("<start>2020-01-01T00:00Z</start>", "") + "</TimeSeries>")
+    assert D.decode_prices(judged(spark, later)).count() == 1
+    consumed = ("<TimeSeries><outBiddingZone_Domain.mRID>Z</outBiddingZone_Domain.mRID>"
+                + PERIOD.replace("price.amount", "quantity").replace("5.5", "n/a") + "</TimeSeries>")
+    assert D.decode_generation(judged(spark, consumed, D.GENERATION_SERIES_SCHEMA)).count() == 0
+    made = consumed.replace("outBidding", "inBidding")
+    with pytest.raises(Exception, match="value is no number"):
+        D.decode_generation(judged(spark, made, D.GENERATION_SERIES_SCHEMA)).collect()
+
+
+def test_weather_values_that_do_not_fit_reach_bronze_and_are_rescued(spark, workdir):
+    from lakeward.plans.domains import WEATHER as SPEC
+    from lakeward.plans.pipeline import LakePaths, land
+    from lakeward.streaming.bronze import read_bronze, run_bronze
+    payload = ('{"latitude": 51.5, "longitude": -0.13, "hourly": {"time": ["2020-01-01T00:00", "2020-01-01T01:00"],'
+               '"temperature_2m": ["warm", 4.0], "relative_humidity_2m": [80, 80.5], "weather_code": [1.5, 3]}}')
+    df = spark.createDataFrame([(payload, FETCHED)], "x string, fetched_at timestamp")
+    payloads = df.select(D.parse_weather_json(F.col("x")).alias("p"), "fetched_at").select("p.*", "fetched_at")
+    rows = D.decode_weather(payloads, as_text=True)
+    assert [(r.temp_celsius, r.humidity_pct, r.weather_main) for r in rows.orderBy("observation_time").collect()] == [
+        ("warm", "80", "Unknown"), ("4.0", "80.5", "Clouds")]
+    paths = LakePaths(workdir)
+    land(rows, SPEC, paths)
+    run = run_bronze(spark, SPEC, paths.landing(SPEC), paths.bronze(SPEC), paths.checkpoint(SPEC),
+                     paths.event_log(SPEC), "u1")
+    bronze = read_bronze(spark, SPEC, paths.bronze(SPEC)).orderBy("observation_time").collect()
+    assert [(r.temp_celsius, r.humidity_pct, r.latitude) for r in bronze] == [(None, 80, 51.5), (4.0, None, 51.5)]
+    assert all(r._rescued_data for r in bronze)
+    assert [c["failed_records"] for c in run.counters[0] if c["name"] == "no_rescued_data"] == [2]
