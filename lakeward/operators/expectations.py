@@ -76,3 +76,12 @@ def all_rules_hold(rules: Mapping[str, str]) -> Column:
 def drop_failing(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """Drop severity: keep only rows for which every rule is TRUE."""
     return df.filter(all_rules_hold(rules))
+
+
+FAILED_RULES = "_failed_rules"
+
+
+def failed_rules(rules: Mapping[str, str]) -> Column:
+    """Names of the rules that a row fails, in the order of the rules (an empty array: none)."""
+    names = [F.when(~F.coalesce(F.expr(pred), F.lit(False)), F.lit(name)) for name, pred in rules.items()]
+    return F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")

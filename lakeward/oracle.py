@@ -384,3 +384,50 @@ UNION ALL SELECT 'price', reason, o_orderdate + to_minutes(CAST((o_orderkey % 3
        o_totalprice / 800 - 100, bidding_zone, fetched_at FROM o WHERE reason = 'decoded'
 UNION ALL SELECT 'price', reason, NULL, NULL, bidding_zone, fetched_at FROM o WHERE reason <> 'decoded'
 UNION ALL SELECT 'generation', 'decoded', delivery_start, quantity_mw, bidding_zone, fetched_at FROM ({GENERATION_ROWS_SQL})"""
+
+SQL["bronze_by_header"] = """
+SELECT o_orderdate AS delivery_start, o_orderdate + INTERVAL 1 HOUR AS delivery_end,
+       CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice / 1000 END AS price_gbp_per_mwh,
+       CASE WHEN o_orderkey % 3 = 1 THEN NULL WHEN o_orderkey % 4 = 1 THEN 'G,"BP"' ELSE 'GBP' END AS currency,
+       '10Y' || substr(o_orderpriority, 1, 1) AS bidding_zone,
+       CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate END AS fetched_at,
+       CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' END AS rescued_price_gbp_per_mwh,
+       CASE WHEN o_orderkey % 11 = 0 THEN 'yesterday' END AS rescued_fetched_at,
+       CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS rescued_source,
+       CASE WHEN o_orderkey % 3 = 2 THEN CAST(o_orderkey AS VARCHAR) END AS rescued_order_no,
+       CAST(NULL AS VARCHAR) AS rescued__line
+FROM orders"""
+
+SQL["bronze_rescue_rows"] = """
+SELECT CASE WHEN o_orderkey % 13 <> 0 THEN o_orderdate END AS delivery_start,
+       o_orderdate + INTERVAL 1 HOUR AS delivery_end,
+       CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice / 1000 - 20 END AS price_gbp_per_mwh,
+       'GBP' AS currency,
+       CASE WHEN o_orderkey % 7 <> 0 THEN '10Y' || substr(o_orderpriority, 1, 1) END AS bidding_zone,
+       CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate + to_hours(CAST(o_custkey % 36 AS BIGINT)) END AS fetched_at,
+       CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' END AS bad_price,
+       CASE WHEN o_orderkey % 11 = 0 THEN 'yesterday' END AS bad_fetched_at,
+       CAST(o_orderkey % 10 = 0 AS INTEGER) + CAST(o_orderkey % 11 = 0 AS INTEGER) AS n_rescued
+FROM orders"""
+
+SQL["silver_quarantine"] = f"""
+WITH b AS (
+  SELECT CASE WHEN o_orderkey % 13 <> 0 THEN o_orderdate END AS delivery_start,
+         o_orderdate + INTERVAL 1 HOUR AS delivery_end,
+         CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice / 1000 - 20 END AS price_gbp_per_mwh,
+         'GBP' AS currency,
+         CASE WHEN o_orderkey % 7 <> 0 THEN '10Y' || substr(o_orderpriority, 1, 1) END AS bidding_zone,
+         CASE WHEN o_orderkey % 11 <> 0
+              THEN o_orderdate + to_hours(CAST(o_custkey % 36 AS BIGINT)) END AS fetched_at
+  FROM orders)
+SELECT *, concat_ws(',', {", ".join(f"CASE WHEN NOT coalesce({p}, false) THEN {_q(n)} END" for n, p in PRICES.silver_drop_rules.items())}) AS failed_rules
+FROM ({_silver_sql(PRICES, "SELECT * FROM b")})"""
+
+SQL["landed_documents"] = f"""
+WITH o AS (SELECT * FROM ({_PRICE_BASE}))
+SELECT 'landed' AS reason, o_orderdate AS delivery_start, o_totalprice / 1000 - 20 AS price_gbp_per_mwh,
+       bidding_zone, CAST(1 AS BIGINT) AS n FROM o WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT 'landed', o_orderdate + to_minutes(CAST((o_orderkey % 3 + 1) * 60 AS BIGINT)), o_totalprice / 800 - 100,
+       bidding_zone, 1 FROM o WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT 'value is no number', NULL, NULL, bidding_zone, count(*) FROM o WHERE o_orderkey % 3 = 0 GROUP BY bidding_zone
+UNION ALL SELECT unnest(['foreign namespace', 'malformed record']), NULL, NULL, NULL, 2"""

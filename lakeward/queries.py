@@ -31,13 +31,15 @@ from lakeward.plans import derived
 from lakeward.plans.domains import GENERATION, PRICES, WEATHER, DomainSpec
 from lakeward.plans.dq_job import read_history, run_consolidation
 from lakeward.plans.parallel import spread
-from lakeward.plans.pipeline import LakePaths, land, read_silver, run_domains, run_pipeline
+from lakeward.plans.pipeline import (LakePaths, land, read_quarantine, read_silver, run_domains,
+                                     run_pipeline)
 from lakeward.session import ensure_utc, scratch_path
 from lakeward.sources import documents as docs
 from lakeward.sources import event_logs as L
 from lakeward.sources import fs
 from lakeward.sources.landing import TIMESTAMP_FORMAT, write_landing
 from lakeward.streaming.bronze import read_bronze, run_bronze
+from lakeward.streaming.documents import land_documents, read_document_quarantine
 
 def utc_literal(text: str):
     """TIMESTAMP literal of a UTC wall-clock time, whatever zone the driver runs in."""
@@ -538,7 +540,89 @@ def silver_drop_invalid(spark, sf_dir):
     return as_ntz(read_silver(spark, PRICES, paths))
 
 
+def bronze_by_header(spark, sf_dir):
+    """Landings of one table under three headers: reordered, with a column missing, with columns too many."""
+    paths = _paths(spark, "bronze-header")
+    k = F.col("o_orderkey")
+    text = lambda c: F.date_format(c, TIMESTAMP_FORMAT)
+    start = F.col("o_orderdate").cast("timestamp")
+    rows = spread(table(spark, sf_dir, "orders")).select(
+        "o_orderkey", text(start).alias("delivery_start"), text(start + F.expr("INTERVAL 1 HOUR")).alias("delivery_end"),
+        F.when(k % 10 == 0, F.lit("n/a")).otherwise((F.col("o_totalprice") / 1000).cast("string")).alias("price_gbp_per_mwh"),
+        F.when(k % 4 == 1, F.lit('G,"BP"')).otherwise(F.lit("GBP")).alias("currency"),
+        F.concat(F.lit("10Y"), F.substring("o_orderpriority", 1, 1)).alias("bidding_zone"),
+        F.when(k % 11 == 0, F.lit("yesterday")).otherwise(text(start)).alias("fetched_at"),
+        F.col("o_orderpriority").alias("source"), k.cast("string").alias("order_no"))
+    names = list(PRICES.column_names)
+    for part, columns in enumerate((names[::-1], [n for n in names if n != "currency"], ["source", *names, "order_no"])):
+        (rows.where(k % 3 == part).select(*columns).write.option("header", True)
+         .csv(f"{paths.landing(PRICES)}/part-{part}"))
+    run_bronze(spark, PRICES, paths.landing(PRICES), paths.bronze(PRICES), paths.checkpoint(PRICES),
+               paths.event_log(PRICES), RUN_ID)
+    kept = lambda name: F.get_json_object("_rescued_data", f"$.{name}").alias(f"rescued_{name}")
+    return as_ntz(read_bronze(spark, PRICES, paths.bronze(PRICES)).select(
+        *names, *map(kept, ("price_gbp_per_mwh", "fetched_at", "source", "order_no", "_line"))))
+
+
+def bronze_rescue_rows(spark, sf_dir):
+    """The rows behind ``bronze_rescue``, with the values that did not fit under their names."""
+    paths = _paths(spark, "bronze-rescue-rows")
+    _corrupt_price_landing(spark, sf_dir, paths)
+    run_bronze(spark, PRICES, paths.landing(PRICES), paths.bronze(PRICES),
+               paths.checkpoint(PRICES), paths.event_log(PRICES), RUN_ID)
+    kept = F.from_json("_rescued_data", "map<string,string>")
+    return as_ntz(read_bronze(spark, PRICES, paths.bronze(PRICES)).select(
+        *PRICES.column_names, kept["price_gbp_per_mwh"].alias("bad_price"), kept["fetched_at"].alias("bad_fetched_at"),
+        F.coalesce(F.size(kept), F.lit(0)).alias("n_rescued")))
+
+
+def silver_quarantine(spark, sf_dir):
+    """Silver and its quarantine: together the latest row of every key, each with the rules it fails."""
+    paths = _paths(spark, "silver-quarantine")
+    _corrupt_price_landing(spark, sf_dir, paths)
+    run_pipeline(spark, PRICES, paths, update_id=RUN_ID, drop_invalid=True, bucket=BACKFILL)
+    silver = read_silver(spark, PRICES, paths).withColumn("failed_rules", F.lit(""))
+    aside = read_quarantine(spark, PRICES, paths)
+    aside = aside.select(*PRICES.silver_columns, F.array_join("_failed_rules", ",").alias("failed_rules"))
+    return as_ntz(silver.unionByName(aside))
+
+
+def landed_documents(spark, sf_dir):
+    """Documents through the file stream in two triggers: bronze rows, and what was set aside, by trigger.
+
+    The first trigger finds the documents of even orders, the second only the new ones; a third of the
+    documents' series cannot be decoded, and some documents are broken or of another namespace.
+    """
+    paths = _paths(spark, "landed-documents")
+    d = derived.price_documents(spread(table(spark, sf_dir, "orders")))
+    k = F.col("doc_id")
+    bad = F.when(k % 3 == 0, F.replace(F.col("xml"), F.lit("<position>"), F.lit("<position>no "))).otherwise(F.col("xml"))
+    series = d.select("doc_id", bad.alias("xml"))
+
+    def land_half(rest: int) -> None:
+        raw = f"{paths.raw(PRICES)}/fetch-{rest}"
+        derived.write_xml_documents(series.where(k % 2 == rest), "xml", f"{raw}/sound", *PRICE_DOCUMENT, prefix="md" * rest)
+        derived.write_xml_documents(series.where(k % 2 == rest).limit(1), "xml", f"{raw}/foreign", PRICE_DOCUMENT[0], OTHER_NAMESPACE)
+        spark.createDataFrame([("Service unavailable",)], "value string").write.mode("overwrite").text(f"{raw}/broken")
+
+    for rest in (0, 1):
+        land_half(rest)
+        land_documents(spark, PRICES, paths, f"{RUN_ID}-{rest}", fetched_at=_no_fetch())
+        run_bronze(spark, PRICES, paths.landing(PRICES), paths.bronze(PRICES), paths.checkpoint(PRICES),
+                   paths.event_log(PRICES), f"{RUN_ID}-{rest}")
+    rows = read_bronze(spark, PRICES, paths.bronze(PRICES)).select(
+        F.lit("landed").alias("reason"), "delivery_start", "price_gbp_per_mwh", "bidding_zone", F.lit(1).cast("long").alias("n"))
+    aside = read_document_quarantine(spark, PRICES, paths)
+    zone = F.get_json_object("document", "$['in_Domain.mRID']")
+    counted = aside.groupBy("reason", zone.alias("bidding_zone")).agg(F.count("*").alias("n"))
+    return as_ntz(rows.unionByName(counted, allowMissingColumns=True))
+
+
 QUERIES.update({
+    "silver_quarantine": silver_quarantine,
+    "landed_documents": landed_documents,
+    "bronze_by_header": bronze_by_header,
+    "bronze_rescue_rows": bronze_rescue_rows,
     "delivery_window": delivery_window,
     "calendar_window": calendar_window,
     "silver_drop_invalid": silver_drop_invalid,

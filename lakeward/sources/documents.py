@@ -89,11 +89,13 @@ def parse_documents(documents: DataFrame, schema: str, namespace: str | None = N
     rooted = documents.withColumn("root", root_tag(F.col("document")))
     text = in_namespace(F.col("document"), F.col("root"), namespace)
     known = rooted.withColumn("problem", root_problem(F.col("document"), F.col("root"), namespace))
-    parsed = known.withColumn("parsed", F.when(F.col("problem").isNull(), F.from_xml(
+    foreign = F.col("problem") == FOREIGN
+    # A broken document is malformed whatever its namespace.
+    parsed = known.withColumn("parsed", F.when(F.col("problem").isNull() | foreign, F.from_xml(
         text, f"TimeSeries ARRAY<{_ddl(T.StructType.fromDDL(schema))}>, _corrupt STRING", CORRUPT)))
-    broken = F.col("problem").isNull() & (F.col("parsed").isNull() | F.col("parsed._corrupt").isNotNull())
+    broken = (F.col("problem").isNull() | foreign) & (F.col("parsed").isNull() | F.col("parsed._corrupt").isNotNull())
     return parsed.select(*rooted.columns, F.when(broken, MALFORMED).otherwise(F.col("problem")).alias("problem"),
-                         F.col("parsed.TimeSeries").alias("series"))
+                         F.when(F.col("problem").isNull(), F.col("parsed.TimeSeries")).alias("series"))
 
 
 def _ddl(kind: T.DataType) -> str:

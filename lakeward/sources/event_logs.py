@@ -9,6 +9,7 @@ monitoring folder, or as tables/views in a catalog database.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -95,3 +96,21 @@ def event_update_id(spark: SparkSession, log_dir: str, event_key: str) -> str |
 def append_event(event: DataFrame, log_dir: str, event_key: str) -> None:
     """Write ``event`` to ``<log_dir>/<event_key>``; the same key replaces (idempotent replay)."""
     event.coalesce(1).write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/{event_key}")
+
+
+QUARANTINE = "quarantine_progress"
+
+
+def quarantine_event(spark: SparkSession, update_id: str, flow_name: str, counts: Mapping[str, int],
+                     at: dt.datetime | None = None) -> DataFrame:
+    """One event that says how many rows or documents a flow set aside, by reason.
+
+    ``counts`` is bounded by the number of rules or reasons of one flow. Consolidation reads
+    ``flow_progress`` events only, so these add nothing to the expectation history.
+    """
+    at = at or dt.datetime.now(dt.timezone.utc)
+    details = json.dumps({QUARANTINE: {"num_records": sum(counts.values()), "reasons": dict(counts)}})
+    df = spark.createDataFrame([(update_id, at, details, flow_name)],
+                               "update_id string, ts timestamp, details string, flow_name string")
+    return df.select(F.struct("update_id").alias("origin"), F.col("ts").alias("timestamp"),
+                     F.lit(QUARANTINE).alias("event_type"), "details", "flow_name")

@@ -1,6 +1,7 @@
 """Bronze ingest: the manual acceptance test (bad rows landed, re-triggered) automated."""
 
 import datetime as dt
+import json
 
 import pytest
 
@@ -55,12 +56,36 @@ def test_bad_rows_are_kept_flagged_and_counted(spark, workdir):
     assert got[("u2", "no_rescued_data")] == (1, 3) and got[("u1", "no_rescued_data")] == (2, 0)
 
 
-def test_permuted_header_fails_loudly(spark, workdir):
+def test_columns_are_bound_by_each_files_header(spark, workdir):
     paths = LakePaths(workdir)
-    write_file(f"{paths.landing(PRICES)}/ingest_date=2020-01-01/a.csv",
-               "currency,delivery_start,delivery_end,price_gbp_per_mwh,bidding_zone,fetched_at\n"
-               "GBP,2019-12-31 23:00:00+00:00,2020-01-01 00:00:00+00:00,1.0,Z,2020-01-02 00:00:00+00:00\n")
-    with pytest.raises(Exception):
+    land = paths.landing(PRICES)
+    t, f = "2019-12-31 23:00:00+00:00", "2020-01-02 00:00:00+00:00"
+    write_file(f"{land}/ingest_date=2020-01-01/a.csv", "currency,delivery_start,price_gbp_per_mwh,bidding_zone,fetched_at\n"
+               f"GBP,{t},1.0,Z,{f}\n\nGBP,{t},1.0d,Z,{f}\n")                             # permuted, one missing
+    write_file(f"{land}/ingest_date=2020-01-01/b.csv", "\ufeffdelivery_start,note,delivery_end,price_gbp_per_mwh,"
+               f'currency,bidding_zone,fetched_at,note\r\n{t},"a ""b"", c",soon,2.0,"G\\"BP",Z,{f},again\r\n{t},,{t},3.0,"",,{f},\r\n')
+    write_file(f"{land}/ingest_date=2020-01-02/c.csv", HEADER)                                # a header alone
+    write_file(f"{land}/ingest_date=2020-01-02/d.csv", "")
+    write_file(f"{land}/ingest_date=2020-01-03/e.csv", HEADER + GOOD + f"{t},{t},4.0\n{t},{t},5.0,GBP,Z,{f},x,\n")
+    run = _run(spark, paths, "u1")
+    rows = read_bronze(spark, PRICES, paths.bronze(PRICES)).collect()
+    got = {(r.price_gbp_per_mwh, r._rescued_data): r for r in rows}
+    assert len(rows) == len(got) == 8
+    assert {(p, r) for p, r in got if r is None} == {(1.0, None), (40.5, None), (-3.0, None), (3.0, None)}
+    rescued = {p: json.loads(r) for p, r in got if r}
+    assert rescued == {None: {"price_gbp_per_mwh": "1.0d"},
+                       2.0: {"note": 'a "b", c', "note#7": "again", "delivery_end": "soon"},
+                       4.0: {"_line": f"{t},{t},4.0"}, 5.0: {"_line": f"{t},{t},5.0,GBP,Z,{f},x,"}}
+    by_price = {r.price_gbp_per_mwh: r for r in rows}
+    assert (by_price[1.0].currency, by_price[1.0].delivery_end, by_price[1.0].bidding_zone) == ("GBP", None, "Z")
+    assert (by_price[2.0].currency, by_price[3.0].currency, by_price[3.0].bidding_zone) == ('G"BP', "", None)
+    assert {c["name"]: c["failed_records"] for c in run.counters[0]}["no_rescued_data"] == 4
+
+
+def test_a_file_without_a_header_fails_the_run(spark, workdir):
+    paths = LakePaths(workdir)
+    write_file(f"{paths.landing(PRICES)}/ingest_date=2020-01-01/a.csv", GOOD)
+    with pytest.raises(Exception, match="No column of the table"):
         _run(spark, paths, "u1")
 
 
