@@ -431,3 +431,27 @@ UNION ALL SELECT 'landed', o_orderdate + to_minutes(CAST((o_orderkey % 3 + 1) *
        bidding_zone, 1 FROM o WHERE o_orderkey % 3 <> 0
 UNION ALL SELECT 'value is no number', NULL, NULL, bidding_zone, count(*) FROM o WHERE o_orderkey % 3 = 0 GROUP BY bidding_zone
 UNION ALL SELECT unnest(['foreign namespace', 'malformed record']), NULL, NULL, NULL, 2"""
+
+_WAVE = "TIMESTAMP '1998-06-01 00:00:00'"
+
+
+def _state_sql(label: str, rows: str) -> str:
+    return f"""SELECT '{label}' AS state, 'silver' AS source, bidding_zone, delivery_start AS "at", price_gbp_per_mwh AS value
+FROM ({_silver_sql(PRICES, rows)})
+UNION ALL SELECT '{label}', 'bronze', bidding_zone, max(fetched_at), CAST(count(*) AS DOUBLE) FROM ({rows}) GROUP BY bidding_zone"""
+
+
+_RUNS = {"update-0001-0": f"fetched_at < {_WAVE}", "update-0001-1": f"NOT fetched_at < {_WAVE}"}
+_BY_RUN = {run: f"SELECT * FROM ({PRICE_ROWS_SQL}) WHERE {cond}" for run, cond in _RUNS.items()}
+
+
+def _history_sql(label: str, runs) -> str:
+    return "\nUNION ALL ".join(
+        f"""SELECT '{label}', '{run} {name}', NULL, NULL, CAST(count(*) FILTER (WHERE {rule}) AS DOUBLE)
+FROM (SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM ({_BY_RUN[run]}))"""
+        for run in runs for name, rule in PRICES.bronze_rules.items())
+
+
+SQL["tables_by_name"] = "\nUNION ALL ".join([
+    _state_sql("before", _BY_RUN["update-0001-0"]), _history_sql("before", ["update-0001-0"]),
+    _state_sql("after", PRICE_ROWS_SQL), _history_sql("after", list(_RUNS))])

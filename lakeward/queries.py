@@ -35,6 +35,7 @@ from lakeward.plans.pipeline import (LakePaths, land, read_quarantine, read_silv
                                      run_pipeline)
 from lakeward.session import ensure_utc, scratch_path
 from lakeward.sources import documents as docs
+from lakeward.sources.catalog import LakeCatalog
 from lakeward.sources import event_logs as L
 from lakeward.sources import fs
 from lakeward.sources.landing import TIMESTAMP_FORMAT, write_landing
@@ -652,6 +653,41 @@ def silver_incremental(spark, sf_dir):
 QUERIES["silver_incremental"] = silver_incremental
 
 
+def tables_by_name(spark, sf_dir):
+    """Bronze, silver and history by catalog name: a reader from before the second commit, and one after it."""
+    paths = _paths(spark, "by-name")
+    catalog = LakeCatalog(spark, f"lw_{uuid.uuid4().hex[:8]}", paths)
+    rows = price_rows(spark, sf_dir)
+    early = F.col("fetched_at") < utc_literal(SECOND_FETCH_WAVE)
+
+    def state(label: str) -> DataFrame:
+        at = F.lit(label).alias("state")
+        bronze, silver = (spark.table(catalog.name(t)) for t in (PRICES.bronze_table, PRICES.silver_table))
+        history = spark.table(catalog.name("dq_expectation_history"))
+        return (silver.select(at, F.lit("silver").alias("source"), "bidding_zone", F.col("delivery_start").alias("at"),
+                              F.col("price_gbp_per_mwh").alias("value"))
+                .unionByName(bronze.groupBy("bidding_zone").agg(F.max("fetched_at").alias("at"), F.count("*").cast("double").alias("value"))
+                             .select(at, F.lit("bronze").alias("source"), "bidding_zone", "at", "value"))
+                .unionByName(history.where(f"table_name = '{PRICES.bronze_table}'").select(
+                    at, F.concat_ws(" ", "update_id", "expectation").alias("source"), F.lit(None).cast("string").alias("bidding_zone"),
+                    F.lit(None).cast("timestamp").alias("at"), F.col("passed_records").cast("double").alias("value"))))
+
+    states = []
+    for k, part in enumerate((rows.where(early), rows.where(~early))):
+        # Months as landing folders: the derived rows span years.
+        write_landing(part, paths.landing(PRICES), PRICES.column_names, F.trunc("delivery_start", "month"))
+        run_pipeline(spark, PRICES, paths, update_id=f"{RUN_ID}-{k}", incremental=True, bucket=BACKFILL, catalog=catalog)
+        logs = L.logs_from_catalog(spark, L.discover_in_catalog(spark, catalog.database))
+        run_consolidation(spark, paths.monitoring, paths.history, logs=logs, catalog=catalog)
+        # The first state's plan is analysed before the second commit and executed after it. Bronze grows by
+        # batches, so its reader also keeps the files it found.
+        states.append(state(("before", "after")[k]))
+    return as_ntz(states[0].unionByName(states[1]))
+
+
+QUERIES["tables_by_name"] = tables_by_name
+
+
 # ---------------------------------------------------------------------------
 # Landed document files: the file-scan decode path (XML rowTag, JSON Lines)
 # ---------------------------------------------------------------------------
