@@ -37,11 +37,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage in storage that every executor can read, so a lost executor
     costs a re-read and never a recomputation of what came before.
     """
-    path = scratch_path(df.sparkSession, name)
-    schema = df.schema
+    spark, schema = df.sparkSession, df.schema
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    # The finished job's shuffle files go as soon as nothing refers to them, rather
-    # than when the driver next happens to collect its garbage.
+    # The finished job's shuffle files go as soon as nothing refers to them (so not to the
+    # frame either), rather than when the driver next happens to collect its garbage.
+    del df
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)

@@ -56,7 +56,7 @@ def line_dedup(rows):
         gone = []
         for k, line in enumerate((text or "").split("\n")):
             s = set(words(line))
-            if len(s) < 5:
+            if not s:
                 continue
             if any(18 * len(s & e) >= 8 * (len(s) + len(e)) for e in earlier):
                 gone.append(k)
