@@ -39,10 +39,15 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark, schema = df.sparkSession, df.schema
     path = scratch_path(spark, name)
+    # Before the write as well: right after a job its last events still hold its plan.
+    _release_shuffles(spark)
     df.write.parquet(path)
-    # The finished job's shuffle files go as soon as nothing refers to them (so not to the
-    # frame either), rather than when the driver next happens to collect its garbage.
     del df
+    _release_shuffles(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _release_shuffles(spark: SparkSession) -> None:
+    """Let shuffle files of finished jobs go now, not when the driver next collects its garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
