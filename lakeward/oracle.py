@@ -455,3 +455,9 @@ FROM (SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM ({_BY_RUN[run]}))"""
 SQL["tables_by_name"] = "\nUNION ALL ".join([
     _state_sql("before", _BY_RUN["update-0001-0"]), _history_sql("before", ["update-0001-0"]),
     _state_sql("after", PRICE_ROWS_SQL), _history_sql("after", list(_RUNS))])
+
+SQL["silver_window"] = f"""
+SELECT * FROM ({_silver_sql(PRICES, PRICE_ROWS_SQL)})
+WHERE CAST(delivery_start + INTERVAL 1 HOUR AS DATE) BETWEEN DATE '1995-03-30' AND DATE '1995-04-02'"""
+
+SQL["decode_lookup_table"] = SQL["decode_lookup"]

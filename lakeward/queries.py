@@ -22,17 +22,19 @@ from lakeward.functions.days import (calendar_date, delivery_date, in_calendar_d
                                      in_delivery_day, ingest_date)
 from lakeward.functions.durations import resolution_minutes, slot_end, slot_start
 from lakeward.functions.json_paths import expectations_array, expectations_details
-from lakeward.functions.lookups import production_type, weather_condition
+from lakeward.functions.lookups import (PRODUCTION_TYPES, UNKNOWN_PRODUCTION_TYPE, UNKNOWN_WEATHER,
+                                         WEATHER_CODES, production_type, weather_condition)
 from lakeward.operators import consolidate as C
 from lakeward.operators.dedup import dedup_latest, merge_latest
 from lakeward.operators.expectations import drop_failing, rule_metrics
+from lakeward.operators.lookup import codes_at, join_codes
 from lakeward.operators.merge import empty_history, merge_history
 from lakeward.plans import derived
 from lakeward.plans.domains import GENERATION, PRICES, WEATHER, DomainSpec
 from lakeward.plans.dq_job import read_history, run_consolidation
 from lakeward.plans.parallel import spread
-from lakeward.plans.pipeline import (LakePaths, land, read_quarantine, read_silver, run_domains,
-                                     run_pipeline)
+from lakeward.plans.pipeline import (LakePaths, land, read_quarantine, read_silver, read_silver_days,
+                                     run_domains, run_pipeline)
 from lakeward.session import ensure_utc, scratch_path
 from lakeward.sources import documents as docs
 from lakeward.sources.catalog import LakeCatalog
@@ -801,3 +803,44 @@ QUERIES.update({
     "decode_namespaces": decode_namespaces,
     "decode_judged_parts": decode_judged_parts,
 })
+
+
+# ---------------------------------------------------------------------------
+# Windows over silver folders, lookups from a table
+# ---------------------------------------------------------------------------
+
+WINDOW = (dt.date(1995, 3, 30), dt.date(1995, 4, 2))
+
+
+def silver_window(spark, sf_dir):
+    """Four delivery days of silver, across two month folders."""
+    paths = _paths(spark, "silver-window")
+    write_landing(price_rows(spark, sf_dir), paths.landing(PRICES), PRICES.column_names, F.trunc("delivery_start", "month"))
+    run_pipeline(spark, PRICES, paths, update_id=RUN_ID, bucket=BACKFILL)
+    return as_ntz(read_silver_days(spark, PRICES, paths, *WINDOW))
+
+
+def decode_lookup_table(spark, sf_dir):
+    """``decode_lookup`` with the code lists as versioned tables."""
+    li = table(spark, sf_dir, "lineitem")
+    rows = li.select("l_orderkey", "l_linenumber",
+                     F.concat(F.lit("B"), F.lpad((F.col("l_partkey") % 27).cast("string"), 2, "0")).alias("production_type_code"),
+                     F.when(F.col("l_suppkey") % 11 != 0, (F.col("l_partkey") % 100).cast("int")).alias("weather_code"))
+
+    def versions(listed: list[tuple], names: str) -> DataFrame:
+        path = scratch_path(spark, "codes")
+        old = [(code, dt.date(2000, 1, 1), *["replaced"] * len(rest)) for code, *rest in listed]
+        new = [(code, dt.date(2020, 1, 1), *rest) for code, *rest in listed]
+        later = [(code, dt.date(2090, 1, 1), *["not yet"] * len(rest)) for code, *rest in listed]
+        spark.createDataFrame(old + new + later, names).write.parquet(path)
+        return codes_at(spark.read.parquet(path), "code", F.lit(AS_OF))
+
+    types = versions(list(PRODUCTION_TYPES.items()), "code string, valid_from date, production_type string")
+    weather = versions([(c, *v) for c, v in WEATHER_CODES.items()],
+                       "code int, valid_from date, weather_main string, weather_description string")
+    named = join_codes(rows, "production_type_code", types, "code", {"production_type": UNKNOWN_PRODUCTION_TYPE})
+    return join_codes(named, "weather_code", weather, "code",
+                      dict(zip(("weather_main", "weather_description"), UNKNOWN_WEATHER)))
+
+
+QUERIES.update({"silver_window": silver_window, "decode_lookup_table": decode_lookup_table})

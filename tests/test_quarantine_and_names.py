@@ -1,13 +1,16 @@
 """Quarantine beside silver, documents decoded once, tables by name."""
 
+import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import write_file
+from lakeward.operators.lookup import codes_at, join_codes
 from lakeward.plans.domains import PRICES, WEATHER
 from lakeward.plans.dq_job import run_consolidation
-from lakeward.plans.pipeline import LakePaths, read_quarantine, read_silver, run_pipeline
+from lakeward.plans.pipeline import LakePaths, read_quarantine, read_silver, read_silver_days, run_pipeline
 from lakeward.sources.catalog import LakeCatalog
 from lakeward.sources.event_logs import discover_in_catalog, logs_from_catalog, read_event_log
 from lakeward.sources.tables import BucketTable
@@ -112,3 +115,35 @@ def test_a_name_points_at_many_folders_and_ignores_rows_set_aside(spark, workdir
     key = lambda df: sorted(map(tuple, df.collect()))
     assert key(spark.table(catalog.name(PRICES.silver_table))) == key(read_silver(spark, PRICES, paths))
     spark.sql("DROP DATABASE lw_many CASCADE")
+
+
+@pytest.mark.parametrize("bucket, folders", [("day", 2), ("month", 1)])
+def test_a_window_opens_its_folders_only(spark, workdir, bucket, folders):
+    paths = LakePaths(workdir)
+    days = [f"2020-0{m}-0{d}" for m in (1, 2) for d in (1, 2, 3)]
+    for d in days:
+        write_file(f"{paths.landing(PRICES)}/{d}/a.csv", HEADER + f"{d} 00:00:00+00:00,{d} 01:00:00+00:00,1.0,GBP,Z,{d} 13:00:00+00:00\n"
+                   f"{d} 23:00:00+00:00,{d} 23:30:00+00:00,2.0,GBP,Z,{d} 13:00:00+00:00\n")
+    run_pipeline(spark, PRICES, paths, update_id="u1", bucket=bucket)
+    assert read_silver_days(spark, PRICES, LakePaths(workdir + "/none"), dt.date(2020, 2, 2), dt.date(2020, 2, 3)) is None
+    rows = read_silver_days(spark, PRICES, paths, dt.date(2020, 2, 2), dt.date(2020, 2, 3))
+    # 23:00 belongs to the delivery day after.
+    assert sorted((r.delivery_start.day, r.delivery_start.hour) for r in rows.collect()) == [(1, 23), (2, 0), (2, 23), (3, 0)]
+    opened = {f.rpartition("/")[0] for f in rows.inputFiles()}
+    assert len(opened) == folders and all("2020-02" in f for f in opened)
+
+
+def test_versioned_codes_with_defaults(spark, workdir):
+    day = lambda y: dt.date(y, 1, 1)
+    spark.createDataFrame([("a", day(2000), "old"), ("a", day(2010), "new"), ("a", day(2030), "later"), ("b", None, "always"),
+                           ("c", day(2030), "later"), (None, day(2000), "nobody"), ("d", day(2000), None)],
+                          "code string, valid_from date, name string").write.parquet(workdir)
+    codes = codes_at(spark.read.parquet(workdir), "code", F.lit(day(2020)))
+    rows = spark.createDataFrame([(i, c) for i, c in enumerate(["a", "b", "c", "d", None, "x", "a"])], "i int, code string")
+    for threshold in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            got = join_codes(rows, "code", codes, "code", {"name": "Unknown"})
+            assert [r.name for r in sorted(got.collect())] == ["new", "always", "Unknown", None, "Unknown", "Unknown", "new"]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
