@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -73,3 +76,27 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/lakeward-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    Needed where the package is on the driver's path only: the zipped package goes to the
+    shared scratch folder, and Spark hands it to every worker.
+    """
+    from lakeward.sources import fs
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(f.relative_to(root.parent)))
+    path = f"{scratch_path(spark, 'package')}/{root.name}.zip"
+    fs.write_bytes(spark, path, held.getvalue())
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)

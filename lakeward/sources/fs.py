@@ -62,6 +62,15 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    fs, p = _fs_and_path(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def list_files(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs_and_path(spark, path)
     if not fs.exists(p):
