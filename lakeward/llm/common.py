@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.session import scratch_path
+from lakeward.sources import fs
 
 # White space of the word rule [^\x20\x09-\x0D]+ : space, tab, LF, VT, FF, CR.
 SPACE_CHARS = " \t\n\x0b\f\r"
@@ -44,7 +45,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     del df
     _release_shuffles(spark)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote, once what was made of them is itself written.
+
+    Nothing recomputes from them then, also when an executor is lost.
+    """
+    for table in tables:
+        fs.delete(table.sparkSession, table.cut_path)
 
 
 def _release_shuffles(spark: SparkSession) -> None:
