@@ -9,9 +9,13 @@ offset, and the document is contaminated when some stretch of ``SPAN`` item word
 masks lose no such overlap: any two substitutions in 16 words, or one in 9 to 15,
 leave some placement of a mask untouched (tested by enumeration).
 
+An item of one to eight words leaves no word to ignore: it is found where a document
+holds all its words in order, by a mask without holes for each length that occurs
+(two 64-bit hashes of the word sequence decide, so nothing is laid over).
+
 Word hashes are 64 bits; the comparison counts equal hashes position by position.
 
-Defined results: null or blank text, and items of fewer than nine words, match
+Defined results: null or blank text, and items without a word, match
 nothing; repeated rows get equal verdicts; a null id is kept as an id; no
 benchmark rows: nothing is contaminated; other columns, of any name, are kept by
 ``clean_documents``. The benchmark side is broadcast only while it has at most
@@ -28,7 +32,7 @@ from lakeward.llm.common import cut, read_table
 MASKS = ((0, 1, 2, 3, 4, 7), (0, 2, 4, 5, 6, 7))
 MASK_SPAN = 8
 SPAN = 16
-MIN_WORDS = 9
+MIN_WORDS = 9  # shorter items are compared whole
 BROADCAST_HASHES = 200_000
 NOT_WORD = "[^\\p{L}\\p{N}]+"
 
@@ -66,23 +70,62 @@ def _longest(same: Column, span: Column) -> Column:
         F.lit(0))
 
 
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select("item_id", word_hashes(F.col("text")).alias("item_wh")).distinct()
+
+
+def _runs(wh: Column, length: int) -> Column:
+    """``length`` and two hashes of every run of that many words."""
+    def run(at: Column) -> Column:
+        held = [F.get(wh, at + i) for i in range(length)]
+        return F.struct(F.lit(length).alias("length"), F.xxhash64(*held).alias("seed"),
+                        F.xxhash64(F.lit(length), *held).alias("check"))
+    starts = F.when(F.size(wh) >= length, F.sequence(F.lit(0), F.size(wh) - length)).otherwise(
+        F.array().cast("array<int>"))
+    return F.transform(starts, run)
+
+
+def short_overlaps(keyed: DataFrame, benchmark: DataFrame, broadcast_hashes: int) -> DataFrame:
+    """``doc_id, text_hash, item_id, longest``: documents that hold a short item word for word."""
+    short = cut(_items(benchmark).where(F.size("item_wh").between(1, MIN_WORDS - 1)), "decontam-short")
+    # At most MIN_WORDS - 1 numbers; no short item: documents give no row here.
+    lengths = sorted(r[0] for r in short.select(F.size("item_wh")).distinct().collect())
+    every = F.concat(F.array().cast("array<struct<length:int,seed:bigint,check:bigint>>"),
+                     *[_runs(F.col("wh"), n) for n in lengths])
+    runs = keyed.select("doc_id", "text_hash", F.explode_outer(every).alias("r")).where("r IS NOT NULL")
+    whole = F.get(F.concat(*[F.when(F.size("item_wh") == n, _runs(F.col("item_wh"), n)).otherwise(
+        F.array().cast("array<struct<length:int,seed:bigint,check:bigint>>")) for n in lengths]), F.lit(0)
+                  ) if lengths else F.lit(None).cast("struct<length:int,seed:bigint,check:bigint>")
+    wanted = short.select("item_id", whole.alias("i"))
+    if short.count() <= broadcast_hashes:
+        wanted = F.broadcast(wanted)
+    return (runs.join(wanted, (F.col("r.seed") == F.col("i.seed")) & (F.col("r.check") == F.col("i.check"))
+                      & (F.col("r.length") == F.col("i.length")))
+            .select("doc_id", "text_hash", "item_id", F.col("i.length").cast("long").alias("longest")).distinct())
+
+
 def item_words(benchmark: DataFrame) -> DataFrame:
     """``item_id, item_wh`` of the items long enough to count as evidence, once per text."""
-    return (benchmark.select("item_id", word_hashes(F.col("text")).alias("item_wh"))
-            .where(F.size("item_wh") >= MIN_WORDS).distinct())
+    return _items(benchmark).where(F.size("item_wh") >= MIN_WORDS)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame,
              broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
     """``doc_id, text_hash, item_id, longest``: contaminated documents and their items."""
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
+                        word_hashes(F.col("text")).alias("wh"))
+    return long_overlaps(keyed, benchmark, broadcast_hashes).unionByName(
+        short_overlaps(keyed, benchmark, broadcast_hashes))
+
+
+def long_overlaps(keyed: DataFrame, benchmark: DataFrame, broadcast_hashes: int) -> DataFrame:
+    """The same for the items of ``MIN_WORDS`` words or more, by spaced seeds."""
     items = cut(item_words(benchmark), "decontam-items")
     item_seeds = cut(_seeded(items.withColumnRenamed("item_wh", "wh")).select(
         F.col("seed").alias("i_seed"), "item_id", F.col("at").alias("i_at"),
         F.size("wh").alias("n_item")), "decontam-seeds")
     small = item_seeds.count() <= broadcast_hashes
     hint = F.broadcast if small else (lambda df: df)
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
-                        word_hashes(F.col("text")).alias("wh"))
     shift = F.col("at") - F.col("i_at")
     hits = (_seeded(keyed).join(hint(item_seeds), F.col("seed") == F.col("i_seed"))
             .select("doc_id", "text_hash", "item_id", shift.alias("shift"),
@@ -145,10 +188,15 @@ m AS (SELECT doc_id, item_id, span, list_concat(list_concat([0], list_filter(ran
       FROM c JOIN dw USING (doc_id) JOIN it USING (item_id)),
 o AS (SELECT doc_id, item_id, span, list_max(list_transform(range(1, len(ends)),
         lambda k: ends[least(k + span // 8 + 1, len(ends))] - ends[k] - 1)) AS longest FROM m),
+sw AS (SELECT * FROM iw WHERE len(w) BETWEEN 1 AND {MIN_WORDS - 1}),
+sg AS (SELECT doc_id, k, w[i:i + k - 1] AS w FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS i
+      FROM dw, (SELECT DISTINCT len(w) AS k FROM sw))),
+f AS (SELECT doc_id, item_id, longest FROM o WHERE longest >= span
+      UNION ALL SELECT DISTINCT doc_id, item_id, k AS longest FROM sg JOIN sw USING (w)),
 v AS (SELECT doc_id, count(DISTINCT item_id) AS n, max(longest) AS longest,
         list_aggregate(list_transform(list_sort(list_distinct(list(item_id))), lambda x: CAST(x AS VARCHAR)),
                        'string_agg', ',') AS ids
-      FROM o WHERE longest >= span GROUP BY doc_id)
+      FROM f GROUP BY doc_id)
 SELECT doc_id, v.n IS NOT NULL AS contaminated, CAST(coalesce(v.n, 0) AS BIGINT) AS n_items,
        coalesce(v.ids, '') AS item_ids, CAST(coalesce(v.longest, 0) AS BIGINT) AS longest_overlap
 FROM documents LEFT JOIN v USING (doc_id)"""

@@ -76,16 +76,20 @@ def norm(text):
 
 
 def contaminated(text, items):
-    """Items of which some stretch of 16 words lies in the text with at most two substitutions."""
+    """Items of which some stretch of 16 words lies in the text with at most two substitutions.
+
+    Items of fewer than nine words lie in it word for word.
+    """
     w, found = norm(text), set()
     for item_id, item_text in items:
         v = norm(item_text)
-        if len(v) < 9:
+        if not v:
             continue
         span = min(16, len(v))
+        allowed = span // 8 if span > 8 else 0
         for at in range(-len(v) + 1, len(w)):
             same = [0 <= at + p < len(w) and w[at + p] == x for p, x in enumerate(v)]
-            if any(same[p:p + span].count(False) <= span // 8 for p in range(len(v) - span + 1)):
+            if any(same[p:p + span].count(False) <= allowed for p in range(len(v) - span + 1)):
                 found.add(item_id)
                 break
     return found

@@ -423,9 +423,9 @@ def test_masks_lose_no_tolerated_overlap():
 
 def test_decontamination_against_brute_force(spark, rows):
     rng = random.Random(8)
-    items = [(k, sentence(rng, n)) for k, n in enumerate([5, 9, 12, 16, 17, 40, 40])] + [(50, None), (51, "")]
+    items = [(k, sentence(rng, n)) for k, n in enumerate([5, 9, 12, 16, 17, 40, 40, 8, 3])] + [(50, None), (51, "")]
     more = []
-    for k, (item_id, text) in enumerate(items[:7]):
+    for k, (item_id, text) in enumerate(items[:9]):
         w = text.split(" ")
         for edits in (0, 1, 2, 4):
             v = list(w)
@@ -444,3 +444,22 @@ def test_decontamination_against_brute_force(spark, rows):
     assert sorted(r.doc_id or -1 for r in clean.collect()) == sorted(i or -1 for i, _, _ in every if i not in want)
     assert decontam.clean_documents(docs, bench.limit(0)).count() == len(every)
     assert decontam.clean_documents(docs.limit(0), bench).count() == 0
+
+
+def test_short_benchmark_items_in_query_and_sql(spark, workdir):
+    """Items of one to eight words, found word for word only; the SQL agrees."""
+    texts = ["Alpha, beta gamma delta. Epsilon zeta eta theta iota", "alpha beta gamma delta epsilon zeta eta other",
+             "kappa; LAMBDA", "kappa mu lambda", "solo", "sol o", None, "", "kappa lambda", "beta gamma"]
+    items = [(1, "alpha beta gamma delta epsilon zeta eta theta"), (2, "Kappa lambda!"), (3, "solo"), (4, None),
+             (5, " "), (6, "beta gamma delta epsilon zeta"), (7, "kappa lambda")]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{workdir}/short/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{workdir}/short/benchmark.parquet")
+    got = {r.doc_id: (r.contaminated, r.item_ids, r.longest_overlap)
+           for r in decontam.op10_spaced_seeds(spark, f"{workdir}/short").collect()}
+    hits = {0: ("1,6", 8), 1: ("6", 5), 2: ("2,7", 2), 4: ("3", 1), 8: ("2,7", 2)}
+    assert got == {k: (k in hits, *hits.get(k, ("", 0))) for k in range(len(texts))}
+    con = brute.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{workdir}/short/{name}.parquet/*.parquet'")
+    assert {r[0]: (r[1], r[3], r[4]) for r in con.sql(decontam.SQL).fetchall()} == got
