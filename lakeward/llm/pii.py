@@ -1,23 +1,28 @@
 """Operator 7: information-theoretic sanitisation of personal data (DataFrame functions only).
 
 Base entities (e-mail, ip, card, phone) are found by pattern with their code point
-spans. A term, a run of two letters or more, that stands within ``CONTEXT`` code
-points of an entity may reveal it: with document frequencies over the whole corpus
-
-    PMI(term; entity) = ln(co * N / (df_term * df_entity)),  IC(entity) = ln(N / df_entity)
-
-a term discloses the entity when ``PMI >= DISCLOSE * IC`` and they stand together in
-at least ``MIN_TEXTS`` different texts (one text says nothing about association,
-however often it is copied). Disclosing terms near the entity become spans of kind
-``term``; ``sanitise`` replaces entities by their kind, removes terms that give the
-entity away (``PMI >= REMOVE * IC``) and generalises the others to ``[term]``.
+spans. A term, a whole run of two letters or more, that lies within ``CONTEXT`` code
+points before or after an entity may reveal it. Personal data mostly occur once, so what
+a term reveals is estimated at three levels of every entity: its exact value, its
+group (mail domain, network of two bytes, issuer digits, dialling prefix) and its kind.
+With document frequencies over the whole corpus, for each level ``e`` of an entity,
+
+    PMI(term; e) = ln(co * N / (df_term * df_e)),  IC(e) = ln(N / df_e)
+
+a term discloses the entity when ``PMI >= DISCLOSE * IC`` at any level. At the exact
+level one text is enough: a term that few other documents hold leads from the corpus to
+that value. At the levels of groups and kinds the two must stand together in at least
+``MIN_TEXTS`` different texts, as one text says nothing about an association, however
+often it is copied. Disclosing terms near the entity become spans of kind ``term``;
+``sanitise`` replaces entities by their kind, removes terms that give a level away
+(``PMI >= REMOVE * IC``) and generalises the others to ``[term]``.
 
 Copies are one row per text before anything is shuffled; a text's spans depend on
 the text and the corpus only.
 
 Defined results: null or empty text has no spans; repeated rows get equal spans; a
-term in the context of several entities is one span; a term that touches a base
-span or the cut end of a context window is no term; an entity in every document
+term in the context of several entities is one span; a run of letters that overlaps a
+base span or leaves the context is no term; a level that every document holds
 discloses nothing (IC 0); an empty table gives no rows; extra columns are ignored
 by the query and kept by ``sanitise``.
 
@@ -45,10 +50,16 @@ CONTEXT = 50
 DISCLOSE = 0.75
 REMOVE = 0.95
 MIN_TEXTS = 2
+EXACT = "="  # in the name of an exact level only
 BROADCAST_TERMS = 100_000  # beyond, term counts are made for the whole vocabulary and joined
+ISSUER_DIGITS = 6
+SUBSCRIBER_DIGITS = 7  # what follows a telephone number's prefix
 _SUM_CHUNK = 256
+_PIECE = 256  # code points; a window reaches into two pieces at most
+_WINDOW = CONTEXT + 2  # the context, one code point of the entity and one beyond the context
 
-_SPAN = "struct<start:int,kind:int,end:int,value:string,before:string,after:string>"
+_SPAN = "struct<start:int,kind:int,end:int,value:string>"
+_NEAR_SPAN = "struct<start:int,kind:int,end:int,value:string,before:string,after:string>"
 
 
 def sums_before(lengths: Column) -> Column:
@@ -69,7 +80,7 @@ def sums_before(lengths: Column) -> Column:
 
 
 def find_spans(text: Column, pattern: str, kind: int) -> Column:
-    """Leftmost non-overlapping matches with their code point spans and surroundings.
+    """Leftmost non-overlapping matches with their code point spans.
 
     The pieces between the matches (split by the same pattern) give the positions.
     """
@@ -82,9 +93,7 @@ def find_spans(text: Column, pattern: str, kind: int) -> Column:
                 (F.get(at, i) + F.length(F.get(gaps, i))).alias("start"),
                 F.lit(kind).alias("kind"),
                 (F.get(at, i) + F.length(F.get(gaps, i)) + F.length(m)).alias("end"),
-                m.alias("value"),
-                F.right(F.get(gaps, i), F.lit(CONTEXT)).alias("before"),
-                F.left(F.get(gaps, i + 1), F.lit(CONTEXT)).alias("after"))))
+                m.alias("value"))))
 
         return F.when(F.size(found) == 0, empty).otherwise(let(F.split(text, pattern), located))
 
@@ -117,30 +126,60 @@ def _valid(span: Column) -> Column:
 
 
 def base_spans(text: Column) -> Column:
-    """All valid base spans of a text by start and kind."""
+    """All valid base spans of a text by start and kind, with the text around them."""
     t = F.coalesce(text, F.lit(""))
     found = [find_spans(t, pattern, KINDS.index(kind)) for kind, pattern in PATTERNS.items()]
     found[0] = F.when(F.contains(t, F.lit("@")), found[0]).otherwise(F.array().cast(f"array<{_SPAN}>"))
-    return F.sort_array(F.filter(F.concat(*found), _valid))
 
+    def with_windows(spans: Column) -> Column:
+        # Pieces of equal length, cut in one pass: a window costs the same anywhere in a long text.
+        pieces = F.regexp_extract_all(t, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
+        return F.when(F.size(spans) == 0, F.array().cast(f"array<{_NEAR_SPAN}>")).otherwise(
+            let(pieces, lambda ps: F.transform(spans, lambda s: F.struct(
+                s.start.alias("start"), s.kind.alias("kind"), s.end.alias("end"), s.value.alias("value"),
+                _window(ps, F.greatest(s.start - CONTEXT - 1, F.lit(0)), s.start + 1).alias("before"),
+                _window(ps, s.end - 1, s.end + CONTEXT + 1).alias("after")))))
+
+    return let(F.sort_array(F.filter(F.concat(*found), _valid)), with_windows)
+
+
+def _window(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` (or the text's end) of a text cut into pieces."""
+    first = F.floor(start / _PIECE).cast("int")
+    both = F.concat(F.get(pieces, first), F.coalesce(F.get(pieces, first + 1), F.lit("")))
+    return F.substring(both, start - first * _PIECE + 1, end - start)
 
-def _entity(span: Column) -> Column:
-    value = F.when(span.kind == 0, F.lower(span.value)).when(
-        span.kind == 1, span.value).otherwise(_digits(span.value))
-    return F.concat(F.element_at(F.array(*[F.lit(k) for k in PATTERNS]), span.kind + 1), F.lit(":"), value)
+
+def _levels(span: Column) -> Column:
+    """An entity's exact value, its group and its kind."""
+    name = F.element_at(F.array(*[F.lit(k) for k in PATTERNS]), span.kind + 1)
+
+    def all_three(value: Column) -> Column:
+        group = F.when(span.kind == 0, F.substring_index(value, "@", -1)).when(
+            span.kind == 1, F.substring_index(value, ".", 2)).when(
+            span.kind == 2, F.left(value, F.lit(ISSUER_DIGITS))).otherwise(
+            F.left(value, F.length(value) - SUBSCRIBER_DIGITS))
+        return F.array(F.concat(name, F.lit(EXACT), value), F.concat(name, F.lit("~"), group), name)
+
+    return let(F.when(span.kind == 0, F.lower(span.value)).when(
+        span.kind == 1, span.value).otherwise(_digits(span.value)), all_three)
 
 
 def _context_terms(span: Column) -> Column:
-    """Whole terms in the two windows around an entity, with their spans in the text."""
-    def side(window: Column, offset: Column, cut_left: bool) -> Column:
-        full = F.length(window) == CONTEXT
+    """Whole runs of letters within the context of an entity, with their spans in the text.
+
+    A window holds one code point of the entity, so that a run that goes on into it is
+    seen to overlap it, and one beyond the context, so that a run that leaves it is seen too.
+    """
+    def side(window: Column, offset: Column, far_left: bool) -> Column:
+        full = F.length(window) == _WINDOW
         kept = F.filter(find_spans(window, TERM, KINDS.index("term")), lambda t: ~(
-            full & ((t.start == 0) if cut_left else (t.end == CONTEXT))))
+            full & ((t.start == 0) if far_left else (t.end == _WINDOW))))
         return F.transform(kept, lambda t: F.struct(
             (t.start + offset).alias("start"), (t.end + offset).alias("end"),
             F.lower(t.value).alias("term")))
-    return F.concat(side(span.before, span.start - F.length(span.before), True),
-                    side(span.after, span.end, False))
+    return F.concat(side(span.before, F.greatest(span.start - CONTEXT - 1, F.lit(0)), True),
+                    side(span.after, span.end - 1, False))
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
@@ -149,13 +188,13 @@ def _with_spans(docs: DataFrame) -> DataFrame:
 
 
 def _occurrences(spanned: DataFrame) -> DataFrame:
-    """``text_key, entity, term, start, end, copies``: terms near entities, once per text."""
+    """``text_key, entity, term, start, end, copies``: terms near levels of entities, once per text."""
     def near(span: Column) -> Column:
-        entity = _entity(span)
         clear = F.filter(_context_terms(span), lambda t: ~F.exists(
             "spans", lambda s: (s.start < t.end) & (t.start < s.end)))
-        return F.transform(clear, lambda t: F.struct(
-            entity.alias("entity"), t.term.alias("term"), t.start.alias("start"), t.end.alias("end")))
+        return let(_levels(span), lambda levels: F.flatten(F.transform(clear, lambda t: F.transform(
+            levels, lambda e: F.struct(e.alias("entity"), t.term.alias("term"), t.start.alias("start"),
+                                       t.end.alias("end"))))))
 
     rows = F.array_distinct(F.flatten(F.transform("spans", near)))
     return (spanned.where(F.size("spans") > 0).select("text_key", F.explode(rows).alias("t"))
@@ -164,16 +203,17 @@ def _occurrences(spanned: DataFrame) -> DataFrame:
 
 
 def _entity_counts(spanned: DataFrame) -> DataFrame:
-    """``e_entity, df_entity``: documents that hold each entity."""
-    entities = F.array_distinct(F.transform("spans", _entity))
+    """``e_entity, df_entity``: documents that hold each level of an entity."""
+    entities = F.array_distinct(F.flatten(F.transform("spans", _levels)))
     return spanned.where(F.size("spans") > 0).select(F.explode(entities).alias("e_entity")).groupBy(
         "e_entity").agg(F.count("*").alias("df_entity"))
 
 
 def _term_counts(docs: DataFrame, wanted: DataFrame, broadcast_terms: int) -> DataFrame:
     """``w_term, df_term``: documents that hold each wanted term, counted over all documents."""
-    terms = F.array_distinct(F.regexp_extract_all(
-        F.lower(F.coalesce("text", F.lit(""))), F.lit(TERM), F.lit(0)))
+    # Lower case after the cut into runs, as near entities: it can change what is a letter.
+    terms = F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all(
+        F.coalesce("text", F.lit("")), F.lit(TERM), F.lit(0))), F.lower))
     rows = docs.select(F.explode(terms).alias("w_term"))
     if wanted.count() <= broadcast_terms:
         rows = rows.join(F.broadcast(wanted), F.col("w_term") == F.col("term"), "left_semi")
@@ -186,7 +226,7 @@ def disclosing_spans(docs: DataFrame, spanned: DataFrame,
     occurrences = cut(_occurrences(spanned), "pii-near")
     pairs = cut(occurrences.groupBy("text_key", "entity", "term").agg(F.first("copies").alias("copies"))
                 .groupBy("entity", "term").agg(F.sum("copies").alias("co"), F.count("*").alias("texts"))
-                .where(F.col("texts") >= MIN_TEXTS), "pii-pairs")
+                .where(F.col("entity").contains(EXACT) | (F.col("texts") >= MIN_TEXTS)), "pii-pairs")
     n_docs = float(spanned.count())
     df_term = _term_counts(docs, pairs.select("term").distinct(), broadcast_terms)
     pmi = F.log(F.col("co") * n_docs / (F.col("df_term") * F.col("df_entity")))

@@ -135,38 +135,39 @@ def base_spans(text):
     return sorted(out)
 
 
+def entity_levels(kind, value):
+    """An entity's exact value, its group (domain, network, issuer, prefix) and its kind."""
+    if kind == 0:
+        exact = value.lower()
+        group = exact.split("@")[1]
+    elif kind == 1:
+        exact = value
+        group = ".".join(value.split(".")[:2])
+    else:
+        exact = re.sub("[^0-9]", "", value)
+        group = exact[:6] if kind == 2 else exact[:-7]
+    return {(kind, "exact", exact), (kind, "group", group), (kind, "kind", "")}
+
+
 def term_spans(texts, context=50):
     """Disclosing term spans of each text, from document counts over all of them."""
     n, copies = len(texts), Counter(t or "" for t in texts)
-    df_term = Counter(x for t in texts for x in set(regex.findall(r"\p{L}{2,}", (t or "").lower())))
-
-    def entity(s):
-        return s[1], s[3].lower() if s[1] == 0 else s[3] if s[1] == 1 else re.sub("[^0-9]", "", s[3])
-
-    df_entity, co, seen, near = Counter(), Counter(), Counter(), defaultdict(set)
+    df_term, df_entity, co, seen, near = Counter(), Counter(), Counter(), Counter(), {}
     for t, c in copies.items():
+        terms = [(m.start(), m.end(), m[0].lower()) for m in regex.finditer(r"\p{L}{2,}", t)]
+        for w in {w for _, _, w in terms}:
+            df_term[w] += c
         spans = base_spans(t)
-        for e in {entity(s) for s in spans}:
+        free = [(x, y, w) for x, y, w in terms if not any(a < y and x < b for a, _, b, _ in spans)]
+        near[t] = {(e, w, x, y) for a, kind, b, value in spans for x, y, w in free
+                   if a - context <= x < y <= a or b <= x < y <= b + context
+                   for e in entity_levels(kind, value)}
+        for e in {e for _, kind, _, value in spans for e in entity_levels(kind, value)}:
             df_entity[e] += c
-        for k, (_, p) in enumerate(BASE):
-            found = [(m.start(), m.end()) for m in re.finditer(p, t)]
-            for j, (a, b) in enumerate(found):
-                own = [s for s in spans if s[1] == k and s[0] == a]
-                if not own:
-                    continue
-                lo = max(found[j - 1][1] if j else 0, a - context)
-                hi = min(found[j + 1][0] if j + 1 < len(found) else len(t), b + context)
-                for part, offset, left in ((t[lo:a], lo, True), (t[b:hi], b, False)):
-                    for m in regex.finditer(r"\p{L}{2,}", part):
-                        if len(part) == context and (m.start() == 0 if left else m.end() == context):
-                            continue
-                        x, y = m.start() + offset, m.end() + offset
-                        if not any(s[0] < y and x < s[2] for s in spans):
-                            near[t].add((entity(own[0]), m[0].lower(), x, y))
         for pair in {(e, w) for e, w, _, _ in near[t]}:
             co[pair] += c
             seen[pair] += 1
-    told = {(e, w) for (e, w), k in co.items() if seen[e, w] >= 2 and df_entity[e] < n
+    told = {(e, w) for (e, w), k in co.items() if (e[1] == "exact" or seen[e, w] >= 2) and df_entity[e] < n
             and math.log(k * n / (df_term[w] * df_entity[e])) >= 0.75 * math.log(n / df_entity[e])}
     return [sorted({(a, b) for e, w, a, b in near[t or ""] if (e, w) in told}) for t in texts]
 

@@ -322,10 +322,52 @@ def test_personal_data_terms_against_brute_force(spark):
     clean = pii.sanitise(docs)
     assert clean.columns == docs.columns and clean.count() == len(texts)
     said = " ".join(r.text for r in clean.select("text").collect() if r.text)
-    assert "Quentin" not in said and "q@x.org" not in said and "Uniqueterm" in said
+    assert not any(x in said for x in ("Quentin", "q@x.org", "solo@y.org", "Uniqueterm"))
+    assert "next to" in said or "[term]" in said
     assert pii.find_personal_data(docs.limit(0)).count() == 0
 
 
+def test_terms_of_entities_that_occur_once(spark):
+    """Exact values count from one text on, groups and kinds by what many different ones share."""
+    rng = random.Random(8)
+    common = ["alpha", "beta", "gamma", "delta"]
+    filler = lambda n: " ".join(rng.choices(common, k=n))
+    texts = [filler(30) for _ in range(200)]
+    texts += [f"{filler(9)} hotline +1 (555) 555-{1000 + k} {filler(9)}" for k in range(40)]
+    texts += [f"{filler(9)} intranet 10.7.{k}.9 {filler(9)}" for k in range(30)]
+    texts += [f"{filler(9)} Zebulon u{k}@mail.example.com {filler(9)}" for k in range(25)]
+    texts += [f"{filler(9)} u{k}@other.example.com {filler(9)}" for k in range(60)]
+    once = len(texts)
+    texts += [f"{filler(9)} Perpetua writes from pp@z.org {filler(9)}", f"{filler(9)} Perpetua {filler(9)}"]
+    docs = make_docs(spark, [(k, t, "en") for k, t in enumerate(texts)])
+    got = {r.doc_id: [t[s.start:s.end] for s in r.terms or []]
+           for r in pii.find_personal_data(docs).collect() for t in [texts[r.doc_id]]}
+    want = [[t[a:b] for a, b in found] for t, found in zip(texts, brute.term_spans(texts))]
+    assert [got[k] for k in range(len(texts))] == want
+    assert got[200] == ["hotline"] and got[240] == ["intranet"] and got[270] == ["Zebulon"]
+    assert got[once] == ["Perpetua", "writes", "from"] and got[once + 1] == [] and got[0] == []
+
+
+def test_windows_are_cut_from_the_text(spark):
+    """Neighbouring and invalid matches, glued letters, piece borders and wide characters."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdeé𝓐", k=rng.randint(1, 9)))
+    entity = lambda: rng.choice([
+        "x@y.org", "éx@y.org", "10.0.0.1", "10.0.0.256", "1999", "+1 (555) 555-0000", "4111 1111 1111 1111",
+        "x@y.orgé", "a@b.co/c@d.co"])
+    texts = ["".join(rng.choice([word, word, word, entity])() + rng.choice([" ", " ", "", "\n", ", "])
+                     for _ in range(n)) for n in [3, 10, 40, 200, 800] * 6]
+    texts += ["a" * 49 + " bb x@y.org " + "c" * 49 + " dd", "a" * 50 + "x@y.org" + "c" * 50,
+              " " + "aé" * 24 + " x@y.org " + "c" * 50, "aé" * 25 + " x@y.org " + "cé" * 24]
+    docs = make_docs(spark, [(k, t, "en") for k, t in enumerate(texts)])
+    got = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    want = brute.term_spans(texts)
+    assert sum(map(len, want)) > 100
+    for k, t in enumerate(texts):
+        assert [(s.start, s.kind, s.end, s.value) for s in got[k].spans] == brute.base_spans(t)
+        assert [(s.start, s.end) for s in got[k].terms or []] == want[k], t
+
+
 def test_long_runs_of_matches(spark):
     text = " ".join(f"u{k}@h{k}.com 10.0.{k % 256}.1" for k in range(700)) + " " + "9" * 4000 + " 1 2" * 3000
     docs = make_docs(spark, [(1, text, "en")])
