@@ -47,7 +47,7 @@ from math import ceil, log2
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.llm.common import cut, read_table
@@ -109,6 +109,12 @@ def bucket(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+def row_name() -> Column:
+    """What a document's text is found again by: its id, or its text's digest where it has none."""
+    return F.when(F.col("doc_id").isNull(), F.concat(F.lit("t"), F.md5(F.coalesce("text", F.lit(""))))).otherwise(
+        F.concat(F.lit("i"), F.col("doc_id").cast("string")))
+
+
 def sets_and_sketch(docs: DataFrame) -> DataFrame:
     """Rows of documents (``part`` -1) and of the task's sketch (``part`` 0 and up)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -127,7 +133,7 @@ def sets_and_sketch(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"part": range(SKETCH_PARTS), "doc": None, "n": 0, "node": 0,
                                 "counts": [p.tobytes() for p in parts]})
 
-    return docs.select(F.col("doc_id").cast("string").alias("doc"), "text").mapInPandas(
+    return docs.select(row_name().alias("doc"), "text").mapInPandas(
         run, "part int, doc string, n bigint, node bigint, counts binary")
 
 
@@ -451,20 +457,27 @@ def block_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
                                    sides if (sides >= 0).any() else None)
         return pd.DataFrame({"node": nodes, "root": nodes[root], "n_links": links})
 
-    texts = docs.select(F.col("doc_id").alias("t_id"), "text")
-    joined = rows.join(texts, F.col("rep").eqNullSafe(F.col("t_id"))).select("key", "side", "node", "copies", "text")
+    named = docs.select("doc_id", row_name().alias("t_name"), "text")
+    texts = named.where(F.col("doc_id").isNotNull()).select("t_name", "text").unionByName(
+        named.where(F.col("doc_id").isNull()).groupBy("t_name").agg(F.first("text").alias("text")))
+    joined = rows.join(texts, F.col("rep") == F.col("t_name")).select("key", "side", "node", "copies", "text")
     return joined.groupBy("key").applyInPandas(run, "node bigint, root bigint, n_links bigint")
 
 
 def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links, node`` for every document."""
+    """``doc_id, n_shingles, component_id, n_links, node, is_first`` for every document.
+
+    ``is_first``: the set is the one of its component that ``one_per_component`` keeps, and the
+    id is the component's; true for documents with an empty set.
+    """
     id_type = docs.schema["doc_id"].dataType
     docs = docs.select("doc_id", "text")
     raw = cut(sets_and_sketch(docs), "ngram-sets")
     sketch = collect_sketch(raw)
-    members = raw.where("part = -1").select(F.col("doc").cast(id_type).alias("doc_id"), "n", "node")
+    own_id = F.when(F.col("doc").startswith("i"), F.expr("substring(doc, 2)").cast(id_type))
+    members = raw.where("part = -1").select(own_id.alias("doc_id"), "n", "node", "doc")
     nodes = cut(members.where("n > 0").groupBy("node", "n").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "ngram-nodes")
+        F.min("doc_id").alias("least_id"), F.min("doc").alias("rep"), F.count("*").alias("copies")), "ngram-nodes")
     cells = components(cell_edges(prefix_pairs(prefixes(docs, sketch))), "a", "b", "ngram-cells")
     celled = cut(nodes.join(cells.select(F.col("node").alias("c_node"), F.col("component").alias("cell")),
                             F.col("node") == F.col("c_node")).drop("c_node"), "ngram-celled")
@@ -476,35 +489,64 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
                 .join(links.select(F.col("node").alias("l_node"), "other_links"),
                       F.col("node") == F.col("l_node"), "left").drop("l_node")
                 .withColumn("component", F.coalesce("component", "node")))
-    smallest = per_node.groupBy("component").agg(F.min("rep").alias("component_id"))
-    info = per_node.join(smallest.withColumnRenamed("component", "s_component"),
-                         F.col("component") == F.col("s_component")).select(
-        F.col("node").alias("i_node"), "component_id",
+    first = F.min(F.struct(F.col("least_id").isNull(), "least_id", F.col("node").alias("first_node")))
+    smallest = per_node.groupBy(F.col("component").alias("s_component")).agg(first.alias("first"))
+    info = per_node.join(smallest, F.col("component") == F.col("s_component")).select(
+        F.col("node").alias("i_node"), F.col("first.least_id").alias("component_id"), "first.first_node",
         (F.coalesce("other_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return members.join(info, (F.col("node") == F.col("i_node")) & (F.col("n") > 0), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "node")
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "node",
+        ((F.col("n") == 0) | ((F.col("node") == F.col("first_node")) & F.col("doc_id").eqNullSafe(
+            F.col("component_id")))).alias("is_first"))
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
     """``docs`` with the document of the smallest id of every component, and no others.
 
     Documents with an empty set all stay. Rows with equal id and text are one
-    document, of which one row stays.
+    document, of which one row stays. Where a component has no id, or its smallest id
+    stands for several texts, the set of the smallest fingerprint stays, once, with the
+    text of the smallest digest.
     """
-    found = cut(jaccard_components(docs).select("doc_id", "component_id"), "ngram-found")
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("k_id")).distinct()
-    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["k_id"]), "left_semi")
+    found = cut(jaccard_components(docs).select("doc_id", "n_shingles", "node", "is_first"), "ngram-found")
+    first = found.where("is_first")
+    ids = first.select(F.col("doc_id").alias("k_id")).distinct()
+    kept = docs.join(ids, docs["doc_id"].eqNullSafe(ids["k_id"]), "left_semi")
     repeated = found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(
         F.col("doc_id").alias("r_id"))
     if repeated.isEmpty():
         return kept
     repeated = cut(repeated, "ngram-repeated")
     same = kept["doc_id"].eqNullSafe(repeated["r_id"])
-    return kept.join(repeated, same, "left_anti").unionByName(
-        kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    several = kept.join(repeated, same, "left_semi")
+    chosen = _first_texts(several.select("doc_id", "text"), first)
+    digest = F.md5(F.coalesce(several["text"], F.lit("")))
+    one = several.join(chosen, several["doc_id"].eqNullSafe(chosen["c_id"]) & (digest == chosen["c_digest"]),
+                       "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, same, "left_anti").unionByName(one)
+
+
+def _first_texts(docs: DataFrame, first: DataFrame) -> DataFrame:
+    """``c_id, c_digest``: which texts stay of ids (or of no id) that stand for several rows."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes()
+        for pdf in batches:
+            sets = [shingle_set(text, hashes) for text in pdf["text"]]
+            yield pd.DataFrame({"name": pdf["name"], "digest": pdf["digest"], "n": [len(s) for s in sets],
+                                "node": [fingerprint(s) for s in sets]})
+
+    id_type = docs.schema["doc_id"].dataType
+    prints = cut(docs.select(F.col("doc_id").cast("string").alias("name"), F.md5(
+        F.coalesce("text", F.lit(""))).alias("digest"), "text").mapInPandas(
+            run, "name string, digest string, n bigint, node bigint"), "ngram-prints")
+    texts = prints.select(F.col("name").cast(id_type).alias("c_id"), F.col("digest").alias("c_digest"), "n", "node")
+    wanted = first.where("n_shingles > 0").select(F.col("doc_id").alias("f_id"), F.col("node").alias("f_node")).distinct()
+    full = texts.where("n > 0").join(wanted, F.col("c_id").eqNullSafe(F.col("f_id")) & (
+        F.col("node") == F.col("f_node")), "left_semi").groupBy("c_id", "node").agg(F.min("c_digest").alias("c_digest"))
+    return full.select("c_id", "c_digest").unionByName(
+        texts.where("n = 0").select("c_id", "c_digest")).distinct()
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
