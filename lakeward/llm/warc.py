@@ -36,7 +36,8 @@ from lakeward.llm.common import cut, read_table
 from lakeward.session import scratch_path
 
 REVISIT_BYTES = 1000
-CHUNK = 1 << 20           # payload bytes per chunk row
+CHUNK = 1 << 20           # payload bytes per chunk row, at most
+QUERY_CHUNK = 1 << 14     # the query's chunk rows: a page of usual size is several of them
 RANGE_BYTES = 16 << 20    # compressed bytes per range of the manifest
 READ_TASKS = 20_000       # most tasks that read archives; each takes its share of the ranges
 WARC_DATE = "1970-01-01T00:00:00Z"  # the table has no capture time
@@ -185,8 +186,7 @@ _CHUNK_COLUMNS = ["file", "range_start", "record_no", "chunk_no", "uri", "target
                   "refers_uri", "data", "payload_bytes", "payload_sha1", "is_last"]
 
 
-def read_chunks(manifest: DataFrame, folder: str, chunk: int = CHUNK,
-                with_data: bool = True) -> DataFrame:
+def read_chunks(manifest: DataFrame, folder: str, chunk: int = CHUNK) -> DataFrame:
     """The chunk table: one row per record and chunk, with running length and digest."""
     def range_rows(stream, name, start, end, n_records) -> Iterator[tuple]:
         src = _Members(stream, start, end)
@@ -211,8 +211,7 @@ def read_chunks(manifest: DataFrame, folder: str, chunk: int = CHUNK,
                     last = done == left
                     if last and (digest.hexdigest() != said or done != full):
                         raise ValueError(f"{name}: payload of {base[0]} differs from its digest")
-                    yield (name, start, number, k, *base, data if with_data else None, done,
-                           digest.hexdigest(), last)
+                    yield (name, start, number, k, *base, data, done, digest.hexdigest(), last)
                     if last:
                         break
                     k += 1
@@ -249,16 +248,35 @@ def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
     return cut(write_archives(with_record_types(pages), folder), "warc-manifest")
 
 
+def records(chunks: DataFrame) -> DataFrame:
+    """One row per record of a chunk table: what its last chunk says, once its rows are all there.
+
+    The bytes of the chunk rows must add up to the running length of the last one, and
+    their numbers must be gapless; a table that lost or repeated a chunk fails the query.
+    """
+    last = F.max_by(F.struct("uri", "target", "record_type", "refers_uri", "payload_bytes", "payload_sha1"),
+                    "chunk_no")
+    held = chunks.groupBy("file", "range_start", "record_no").agg(
+        last.alias("last"), F.count("*").alias("rows"), F.max("chunk_no").alias("top"),
+        F.count_if("is_last").alias("ends"), F.sum(F.octet_length("data")).alias("bytes"))
+    whole = (F.col("rows") == F.col("top") + 1) & (F.col("ends") == 1) & (
+        (F.col("last.record_type") == "revisit") | (F.col("bytes") == F.col("last.payload_bytes")))
+    checked = F.when(whole, F.col("last")).otherwise(F.raise_error(F.concat(
+        F.lit("chunk rows of a record are missing or repeated: "), F.col("last.uri"))).cast(
+            "struct<uri:string,target:string,record_type:string,refers_uri:string,payload_bytes:bigint,payload_sha1:string>"))
+    return held.select(checked.alias("r")).select("r.*")
+
+
 def op4_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     folder = scratch_path(spark, "warc")
-    chunks = read_chunks(archive_pages(pages, folder), folder, with_data=False)
+    chunks = read_chunks(archive_pages(pages, folder), folder, QUERY_CHUNK)
     id_type = pages.schema["page_id"].dataType
 
     def page(uri):  # <urn:x-page:ID>
         return F.regexp_extract(uri, "^<urn:x-page:(.*)>$", 1).try_cast(id_type)
 
-    return chunks.where("is_last").select(
+    return records(chunks).select(
         page(F.col("uri")).alias("page_id"), "payload_bytes",
         F.col("payload_sha1").alias("payload_digest"), "record_type",
         page(F.col("refers_uri")).alias("refers_to"))

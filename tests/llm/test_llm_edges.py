@@ -64,6 +64,34 @@ def test_one_row_of_each_component_stays(spark, rows):
     assert sorted(i for i in ids if i is not None) == [1, 4, 5, 6, 7, 9, 10, 11, 12, 13]
 
 
+def test_texts_without_an_id_meet_like_others(spark):
+    """Near copies without an id, of documents with one and of each other, and repeated ids."""
+    rng = random.Random(15)
+
+    def family(k):
+        base = sentence(rng, 100).split(" ")
+        return [" ".join([*base[:50 + j], f"new{j}", *base[51 + j:]]) for j in range(k)]
+
+    a, b, c, d = family(4), family(4), family(3), family(2)
+    rows = [(5, a[0], "en"), (None, a[1], "en"), (None, a[2], "en"), (6, a[3], "en")]    # one: 5
+    rows += [(None, t, "en") for t in [*b, b[0], b[1].upper(), b[1].replace(" ", "  ")]]  # one of them
+    rows += [(7, c[0], "en"), (7, c[1], "en"), (7, c[1], "en"), (8, c[2], "en")]         # one of id 7
+    rows += [(9, d[0], "en"), (9, sentence(rng, 40), "en"), (4, d[1], "en")]             # 4 and the other 9
+    rows += [(None, None, "en"), (None, " ", "en"), (None, sentence(rng, 30), "en"), (10, "", "en")]
+    docs = make_docs(spark, rows)
+    got = ngram_join.jaccard_components(docs).collect()
+    want = brute.jaccard([(i, t) for i, t, _ in rows])
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0, r[3])
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got], key=key) == sorted(
+        [(rows[k][0], n, x if n else rows[k][0], links) for k, (n, x, links) in enumerate(want)], key=key)
+    kept = [(r.doc_id, r.text) for r in ngram_join.one_per_component(docs).collect()]
+    ids = [i for i, _ in kept if i is not None]
+    assert sorted(ids) == [4, 5, 7, 9, 10] and dict(kept)[9] == rows[-6][1]
+    without = [t for i, t in kept if i is None]
+    assert sum(t in {r[1] for r in rows[4:11]} for t in without) == 1
+    assert sum(t in set(a) for t in without) == 0 and len(without) == 4
+
+
 def test_blocks_and_long_runs_lose_no_link(spark):
     """Tiny blocks and pair runs drive cells through bands, block pairs and stars."""
     rng = random.Random(9)
@@ -211,6 +239,11 @@ def test_warc_round_trip_in_small_chunks(spark, workdir):
         ("4", "response", None, 0), ("5", "response", None, 999), ("6", "response", None, 999),
         ("7", "response", None, n), ("7", "response", None, n), (None, "revisit", "7", n)], key=str)
     assert warc.read_chunks(warc.archive_pages(pages.limit(0), workdir + "x"), workdir + "x").count() == 0
+    table = spark.createDataFrame(chunks, warc.read_chunks(manifest, workdir, chunk=700).schema)
+    assert warc.records(table).count() == sum(r.is_last for r in chunks)
+    for lost in ("chunk_no <> 1", "NOT is_last", "chunk_no <> 0 OR is_last"):
+        with pytest.raises(Exception, match="missing or repeated"):
+            warc.records(table.where(lost)).collect()
 
 
 @pytest.mark.parametrize("frame", [1, 16])
