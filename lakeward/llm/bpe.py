@@ -4,8 +4,8 @@ Spark deals the rows; each Arrow batch is split into pre-tokenizer words, the
 distinct words not met before in this task become one flat symbol array, and
 merge rounds run over all of them at once: the rank of every adjacent pair comes
 from one binary search over the sorted pair keys, each word merges its lowest
-ranked pair, finished words leave the array. Memory is bounded by the batch (by
-bytes, see ``BATCH_ROWS``) and by ``CACHE_WORDS``.
+ranked pair, finished words leave the array. Memory is bounded by one Arrow batch
+of texts and by ``CACHE_WORDS``.
 
 Defined results: null text is the empty text (no ids); empty text gives no ids;
 any text length is encoded whole; repeated rows give repeated results; extra

@@ -12,7 +12,7 @@ reject more bad than good holdout documents the one with the largest surplus is
 used (the loosest of equals); without one the rule is off in that stratum.
 
 Defined results: null or blank text has no words and fails the base rules; a null
-language is a stratum of its own; labels with a null id or quality are ignored, a
+and an empty language are one stratum; labels with a null id or quality are ignored, a
 document with several labels takes the worst; with no labels (or no labelled
 document of a stratum) only the base rules decide; repeated rows are judged alike,
 each on its own; other columns, of any name, are kept by ``kept_documents``.
