@@ -23,8 +23,9 @@ starts in a document with a smaller id.
 4. Occurrences owned by a smaller id mark their words; marks meet their document
    again, which is written without them.
 
-Hashes (64 bits of gram and window) only route and group; segments, patterns and
-matches are compared as words.
+Hashes of grams and windows (64 bits) only route and group; segments, patterns and
+matches are compared as words. Whole copies of a text are told by ``text_key``, a
+64-bit hash, alone.
 
 Defined results: null or blank text has no words; texts of fewer than ``WINDOW``
 words keep all; a window that recurs in its own document only is kept; rows with
