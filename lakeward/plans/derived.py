@@ -16,6 +16,8 @@ compute the expected decoded rows straight from the same tables.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -169,19 +171,52 @@ def write_xml_documents(series: DataFrame, column: str, path: str, root: str,
     Up to ``SERIES_PER_DOCUMENT`` series of a task are wrapped in a root element, as a
     fetched market document is; with ``prefix`` all elements carry it. Nothing is collected.
     """
-    import pandas as pd
+    write_spelled_documents(series.withColumn("spelling", F.lit("only")), column, path, root,
+                            {"only": (namespace, prefix)})
+
+
+def write_spelled_documents(series: DataFrame, column: str, path: str, root: str,
+                            spellings: Mapping[str, tuple[str | None, str]]) -> None:
+    """:func:`write_xml_documents` in several spellings (name -> namespace, prefix) by one pass.
+
+    ``series`` names each row's in its column ``spelling``; a document holds series of one
+    spelling, rows of none (NULL) are left out.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-    colon = f"{prefix}:" if prefix else ""
-    bind = f' xmlns{":" + prefix if prefix else ""}="{namespace}"' if namespace else ""
-    open_tag, close_tag = f"<{colon}{root}{bind}>", f"</{colon}{root}>"
+    tags = {}
+    for name, (namespace, prefix) in spellings.items():
+        colon = f"{prefix}:" if prefix else ""
+        bind = f' xmlns{":" + prefix if prefix else ""}="{namespace}"' if namespace else ""
+        tags[name] = f"<{colon}{root}{bind}>", f"</{colon}{root}>"
 
     def wrap(batches):
-        for batch in batches:
-            texts = batch[column].tolist()
-            yield pd.DataFrame({column: [
-                "\n".join([open_tag, *texts[i:i + SERIES_PER_DOCUMENT], close_tag])
-                for i in range(0, len(texts), SERIES_PER_DOCUMENT)]})
+        held = {name: pa.array([], pa.string()) for name in tags}
 
-    text = prefixed(F.col(column), prefix) if prefix else F.col(column)
-    (series.select(text.alias(column)).mapInPandas(wrap, f"{column} string")
+        def document(name: str, texts) -> pa.RecordBatch:
+            if texts.null_count:
+                raise ValueError("a series without text cannot be landed")
+            body = pa.array(tags[name], pa.string())
+            whole = pa.concat_arrays([body[:1], texts, body[1:]])
+            return pa.RecordBatch.from_arrays([pc.binary_join(pa.ListArray.from_arrays(
+                pa.array([0, len(whole)], pa.int32()), whole), "\n")], [column])
+
+        for batch in batches:
+            texts = batch.column(column).cast(pa.string())
+            for name in tags:
+                mine = pa.concat_arrays([held[name], texts.filter(pc.equal(batch.column("spelling"), name))])
+                full = len(mine) // SERIES_PER_DOCUMENT * SERIES_PER_DOCUMENT
+                for i in range(0, full, SERIES_PER_DOCUMENT):
+                    yield document(name, mine[i:i + SERIES_PER_DOCUMENT])
+                held[name] = mine[full:]
+        for name, rest in held.items():
+            if len(rest):
+                yield document(name, rest)
+
+    text = F.col(column)
+    for name, (_, prefix) in spellings.items():
+        if prefix:
+            text = F.when(F.col("spelling") == name, prefixed(F.col(column), prefix)).otherwise(text)
+    (series.select(text.alias(column), "spelling").mapInArrow(wrap, f"{column} string")
      .write.mode("overwrite").option("maxRecordsPerFile", 1).text(path))

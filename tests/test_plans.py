@@ -54,3 +54,54 @@ def test_landing_write_rebalances_on_day(spark):
     out = df.select("delivery_start", landing_day("delivery_start", "delivery").alias("ingest_date")) \
         .hint("rebalance", "ingest_date")
     assert "REBALANCE_PARTITIONS_BY_COL" in _plan(out)
+
+
+def _initial_plan(df) -> str:
+    """The plan before execution; after a run the plan text holds that of the run too."""
+    return _plan(df).split("== Initial Plan ==")[-1]
+
+
+def _below_spread(df) -> str:
+    """The part of a plan that runs in the tasks that scan the table."""
+    plan = _initial_plan(df)
+    assert "REBALANCE_PARTITIONS" in plan
+    return plan.split("REBALANCE_PARTITIONS", 1)[1]
+
+
+def _price_texts(spark, workdir):
+    """Orders with their texts made behind a spread, as the decode queries have them."""
+    from pyspark.sql import functions as F
+    from lakeward.plans.derived import price_documents
+    from lakeward.plans.parallel import spread
+    path = f"{workdir}/orders"
+    spark.range(40).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("P").alias("o_orderstatus"),
+        (F.col("id") * 1000.0).alias("o_totalprice"), F.lit(dt.datetime(2024, 1, 1)).alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority")).write.parquet(path)
+    return price_documents(spread(spark.read.parquet(path)))
+
+
+def test_spelled_documents_are_made_once_behind_the_spread(spark, workdir, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    from pyspark.sql import functions as F
+    from lakeward import queries as Q
+    from lakeward.sources import documents as D
+    texts = _price_texts(spark, workdir)
+    path = Q._land_spellings(texts, f"{workdir}/raw", *Q.PRICE_DOCUMENT)
+    parsed = D.parse_documents(D.read_documents(spark, path), D.PRICE_SERIES_SCHEMA)
+    code = F.crc32("xml")
+    expected = texts.agg(F.count_if(code % 2 == 0), F.count_if(code % 2 == 1), F.count_if(code % 10 == 0)).first()
+    held = {(r.problem, r.root): r.document.count("</TimeSeries>") + r.document.count("</md:TimeSeries>")
+            for r in parsed.collect()}
+    assert sorted(held.values()) == sorted(n for n in expected if n) and sum(expected[:2]) == 40
+    written = []
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, path, **_: written.append(self._df))
+    Q._land_spellings(texts, f"{workdir}/again", *Q.PRICE_DOCUMENT)
+    assert len(written) == 1 and "crc32" not in _below_spread(written[0])
+
+
+def test_a_series_without_text_is_not_landed_silently(spark, workdir):
+    import pytest
+    from lakeward.plans.derived import write_xml_documents
+    with pytest.raises(Exception, match="without text"):
+        write_xml_documents(spark.createDataFrame([("<TimeSeries/>",), (None,)], "xml string"), "xml", f"{workdir}/x", "R")
