@@ -196,14 +196,14 @@ PRICE_VALUE, GENERATION_VALUE = "price.amount", "quantity"
 
 def quarantined_series(series: DataFrame, value: str) -> DataFrame:
     """``reason, series, fetched_at`` of the records that ``on_bad="quarantine"`` leaves out."""
-    rows = series.select(_problem(series, value).alias("reason"), "series", "fetched_at")
-    return rows.where("reason IS NOT NULL")
+    return series.select(_explode_present(F.array(_problem(series, value)), "reason"), "series", "fetched_at").where(
+        "reason IS NOT NULL")
 
 
 def quarantined_payloads(payloads: DataFrame) -> DataFrame:
     """``reason, raw, fetched_at`` of the weather records that cannot be decoded."""
-    return payloads.select(payload_problem(payloads).alias("reason"), F.col("_corrupt").alias("raw"),
-                           "fetched_at").where("reason IS NOT NULL")
+    return payloads.select(_explode_present(F.array(payload_problem(payloads)), "reason"),
+                           F.col("_corrupt").alias("raw"), "fetched_at").where("reason IS NOT NULL")
 
 
 def _explode_present(arr: Column, alias: str) -> Column:
@@ -212,7 +212,9 @@ def _explode_present(arr: Column, alias: str) -> Column:
     Plain ``explode`` makes Catalyst infer ``size(arr) > 0`` and push it below
     the projection, which evaluates the document parser a second time (and,
     behind a repartition, in the scan stage). ``explode_outer`` + a filter on the
-    generated column keeps one parse per document; the rows are the same.
+    generated column keeps one parse per document; the rows are the same. The
+    quarantines explode the array of their one reason for that: a filter on the reason
+    itself would parse all documents in the few tasks that scan the table.
     """
     return F.explode_outer(arr).alias(alias)
 

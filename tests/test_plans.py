@@ -81,6 +81,16 @@ def _price_texts(spark, workdir):
     return price_documents(spread(spark.read.parquet(path)))
 
 
+def test_quarantined_series_parse_behind_the_spread(spark, workdir):
+    from pyspark.sql import functions as F
+    from lakeward.sources import documents as D
+    xml = F.when(F.col("doc_id") % 4 == 0, F.lit("Service unavailable")).otherwise(F.col("xml"))
+    series = _price_texts(spark, workdir).select(D.parse_series_xml(xml, D.PRICE_SERIES_SCHEMA).alias("series"), "fetched_at")
+    aside = D.quarantined_series(series, D.PRICE_VALUE)
+    assert [r.reason for r in aside.collect()] == [D.MALFORMED] * 10
+    assert "from_xml" in _initial_plan(aside) and "from_xml" not in _below_spread(aside)
+
+
 def test_spelled_documents_are_made_once_behind_the_spread(spark, workdir, monkeypatch):
     from pyspark.sql import DataFrameWriter
     from pyspark.sql import functions as F
