@@ -123,8 +123,8 @@ def document_series(parsed: DataFrame) -> DataFrame:
 
 def quarantined_documents(parsed: DataFrame) -> DataFrame:
     """``reason, root, document, fetched_at`` of the documents that give no series because of what they are."""
-    return parsed.where(F.col("problem").isNotNull()).select(
-        F.col("problem").alias("reason"), "root", "document", "fetched_at")
+    return parsed.select(_explode_present(F.array("problem"), "reason"), "root", "document", "fetched_at").where(
+        "reason IS NOT NULL")
 
 
 def read_series_xml(spark: SparkSession, path: str, schema: str, fetched_at: Column | None = None,

@@ -91,6 +91,18 @@ def test_quarantined_series_parse_behind_the_spread(spark, workdir):
     assert "from_xml" in _initial_plan(aside) and "from_xml" not in _below_spread(aside)
 
 
+def test_quarantined_documents_parse_behind_the_spread(spark, workdir):
+    from pyspark.sql import functions as F
+    from lakeward.sources import documents as D
+    texts = _price_texts(spark, workdir)
+    whole = F.concat(F.lit("<R"), F.when(F.col("doc_id") % 4 != 0, F.lit(f' xmlns="{D.PRICE_NAMESPACE}"')).otherwise(""),
+                     F.lit(">"), "xml", F.lit("</R>"))
+    parsed = D.parse_documents(texts.select(whole.alias("document"), "fetched_at"), D.PRICE_SERIES_SCHEMA)
+    aside = D.quarantined_documents(parsed)
+    assert [r.reason for r in aside.collect()] == [D.FOREIGN] * 10
+    assert "from_xml" in _initial_plan(aside) and "from_xml" not in _below_spread(aside)
+
+
 def test_spelled_documents_are_made_once_behind_the_spread(spark, workdir, monkeypatch):
     from pyspark.sql import DataFrameWriter
     from pyspark.sql import functions as F
