@@ -28,20 +28,23 @@ QUARANTINE_SCHEMA = "reason STRING, document STRING, path STRING, fetched_at TIM
 def _market(schema: str, value: str, decode: Callable) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
     def split(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         parsed = D.parse_documents(documents, schema)
-        series = D.document_series(parsed)
-        whole = parsed.where(F.col("problem").isNotNull()).select(F.col("problem").alias("reason"), "document", "path", "fetched_at")
-        # A series of a sound document is set aside alone, as JSON; its neighbours land.
-        parts = (parsed.where(F.col("problem").isNull()).select("path", "fetched_at", F.explode_outer("series").alias("series"))
-                 .select(D.series_problem(F.col("series"), value).alias("reason"), F.to_json("series").alias("document"),
-                         "path", "fetched_at", F.col("series").isNotNull().alias("held")))
-        return decode(series, on_bad="quarantine"), whole.unionByName(parts.where("held AND reason IS NOT NULL").drop("held"))
+        # A series of a sound document is set aside alone, as JSON; its neighbours land. One pass, and the filters only on
+        # what comes out of it: those on the problem would parse every document again.
+        parts = parsed.select("path", "fetched_at", F.col("problem").alias("whole"), F.when(F.col("problem").isNotNull(), F.col(
+            "document")).alias("document"), F.explode_outer("series").alias("series"))
+        found = F.when(F.col("whole").isNotNull() | F.col("series").isNotNull(), F.coalesce(
+            "whole", D.series_problem(F.col("series"), value)))
+        bad = parts.select(F.explode_outer(F.array(found)).alias("reason"), F.coalesce(
+            "document", F.to_json("series")).alias("document"), "path", "fetched_at").where("reason IS NOT NULL")
+        return decode(D.document_series(parsed), on_bad="quarantine"), bad
     return split
 
 
 def _weather(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     p = documents.select(D.parse_weather_json(F.col("document")).alias("p"), "document", "path", "fetched_at")
     payloads = p.select("p.*", "document", "path", "fetched_at")
-    bad = payloads.select(D.payload_problem(payloads).alias("reason"), "document", "path", "fetched_at").where("reason IS NOT NULL")
+    bad = payloads.select(F.explode_outer(F.array(D.payload_problem(payloads))).alias("reason"), "document", "path",
+                          "fetched_at").where("reason IS NOT NULL")
     return D.decode_weather(payloads, on_bad="quarantine", as_text=True), bad
 
 

@@ -127,3 +127,22 @@ def test_a_series_without_text_is_not_landed_silently(spark, workdir):
     from lakeward.plans.derived import write_xml_documents
     with pytest.raises(Exception, match="without text"):
         write_xml_documents(spark.createDataFrame([("<TimeSeries/>",), (None,)], "xml string"), "xml", f"{workdir}/x", "R")
+
+
+def test_landing_documents_parses_once_for_what_is_set_aside(spark, workdir):
+    from lakeward.sources import documents as D
+    from lakeward.streaming.documents import SPLITS
+    series = ("<TimeSeries><Period><timeInterval><start>2024-01-01T00:00Z</start></timeInterval><resolution>PT60M</resolution>"
+              "<Point><position>{}</position><price.amount>1</price.amount></Point></Period></TimeSeries>")
+    sound = f'<R xmlns="{D.PRICE_NAMESPACE}">{series.format(1)}{series.format("no")}</R>'
+    empty, foreign = f'<R xmlns="{D.PRICE_NAMESPACE}"/>', "<R><TimeSeries/></R>"
+    rows = [(text, f"f{i}", None) for i, text in enumerate((sound, empty, foreign, "Service unavailable", None))]
+    schema = "document string, path string, fetched_at timestamp"
+    spark.createDataFrame(rows, schema).write.parquet(f"{workdir}/docs")
+    decoded, bad = SPLITS["entsoe"](spark.read.parquet(f"{workdir}/docs"))
+    assert decoded.count() == 1
+    got = {r.path: (r.reason, r.document) for r in bad.collect()}
+    assert got["f0"][0] == "value is no number" and '"position":"no"' in got["f0"][1]
+    assert {p: v for p, v in got.items() if p != "f0"} == {
+        "f2": (D.FOREIGN, foreign), "f3": (D.MALFORMED, "Service unavailable"), "f4": (D.MALFORMED, None)}
+    assert _initial_plan(bad).count("from_xml(") == 1
