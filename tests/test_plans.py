@@ -146,3 +146,15 @@ def test_landing_documents_parses_once_for_what_is_set_aside(spark, workdir):
     assert {p: v for p, v in got.items() if p != "f0"} == {
         "f2": (D.FOREIGN, foreign), "f3": (D.MALFORMED, "Service unavailable"), "f4": (D.MALFORMED, None)}
     assert _initial_plan(bad).count("from_xml(") == 1
+
+
+def test_bind_makes_arrays_only_for_lines_that_need_them(spark, workdir):
+    from lakeward.sources.csv_lines import bind
+    lines = ["a,b,c", "1,2.5,x", '2,bad,"q,""x"""', "3,,", '4,1.5,""', "5,1,x,more"]
+    spark.createDataFrame([(v, "f", 0) for v in lines], "value string, file string, block long").coalesce(1).write.parquet(
+        f"{workdir}/lines")
+    bound = bind(spark.read.parquet(f"{workdir}/lines"), (("a", "INT"), ("b", "DOUBLE"), ("c", "STRING")), "_r")
+    assert {tuple(r) for r in bound.collect()} == {
+        (1, 2.5, "x", None), (2, None, 'q,"x"', '{"b":"bad"}'), (3, None, None, None), (4, 1.5, "", None),
+        (5, 1.0, "x", '{"_line":"5,1,x,more"}')}
+    assert "transform(split(value" not in _initial_plan(bound)
