@@ -266,6 +266,40 @@ def test_line_dedup_against_brute_force(spark, frame):
     assert dict(got) == {i: g for (i, _), g in zip(docs, brute.line_dedup(docs))}
 
 
+def test_similar_sets_share_a_token_pair(spark):
+    """The prefix of token pairs misses no similar sets, whatever their sizes."""
+    rng = random.Random(11)
+    pairs = []
+    for _ in range(600):
+        n = rng.randint(4, 40)
+        x = set(rng.sample(range(200), n))
+        y = set(x)
+        for _ in range(rng.randint(0, 1 + n // 5)):
+            if rng.random() < 0.6 and len(y) > 4:
+                y.remove(rng.choice(sorted(y)))
+            if rng.random() < 0.6:
+                y.add(rng.randrange(200))
+        if 10 * len(x & y) >= 8 * len(x | y):
+            pairs.append((sorted(x), sorted(y)))
+    assert len(pairs) > 150
+    frame = spark.createDataFrame(pairs, "x array<long>, y array<long>")
+    shared = F.arrays_overlap(line_dedup.pair_prefix(F.col("x")), line_dedup.pair_prefix(F.col("y")))
+    assert frame.where(~shared).count() == 0
+
+
+def test_line_dedup_pairs_do_not_grow_with_common_words(spark):
+    """Lines of the same few words are in each other's token groups only where they resemble each other."""
+    rng = random.Random(12)
+    names = ["".join(rng.choices("abcdefgh", k=7)) for _ in range(120)]
+    docs = spark.createDataFrame([(k, " ".join(rng.sample(names, 30))) for k in range(400)], "doc_id long, text string")
+    ranks = line_dedup.bucket_ranks(docs)
+    lines = line_dedup.line_table(docs, ranks)
+    tokens = lines.select("key", F.explode("prefix").alias("token"))
+    met = tokens.alias("a").join(tokens.alias("b"), "token").where("a.key < b.key").select("a.key", "b.key").distinct()
+    assert met.count() < 400 * 399 // 2 // 2  # by single rare words nearly all of the pairs met
+    assert line_dedup.removed_lines(docs).count() == 0
+
+
 def test_line_dedup_edges(spark, rows):
     docs = make_docs(spark, rows)
     kept = line_dedup.drop_later_lines(docs)
