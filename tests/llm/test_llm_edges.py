@@ -300,6 +300,52 @@ def test_line_dedup_pairs_do_not_grow_with_common_words(spark):
     assert line_dedup.removed_lines(docs).count() == 0
 
 
+def test_bitmaps_lose_no_similar_sets(spark):
+    """Sets on both sides of ``SHORT`` words: similar ones stay plausible, others seldom are; short sets hold one long."""
+    rng = random.Random(13)
+    alike, apart = [], []
+    for _ in range(500):
+        n = rng.choice([rng.randint(4, 30), rng.randint(60, 120)])
+        x = [rng.getrandbits(63) for _ in range(n)]
+        y = x[rng.randint(0, n // 10):] + [rng.getrandbits(63) for _ in range(rng.randint(0, n // 10))]
+        assert 10 * len(set(x) & set(y)) >= 8 * len(set(x) | set(y)) and y
+        alike.append((x, y))
+        apart.append((x, [rng.getrandbits(63) for _ in range(n)]))
+
+    def judged(pairs):
+        frame = spark.createDataFrame(pairs, "x array<long>, y array<long>")
+        sides = [{"n": F.size(c), **dict(zip(line_dedup._BITS, line_dedup._parity(F.col(c))))} for c in ("x", "y")]
+        held = F.size(F.filter(F.array(*[sides[0][b] for b in line_dedup._BITS]), lambda b: b.isNotNull()))
+        return frame.select(F.size("x").alias("n"), held.alias("held"),
+                            line_dedup._plausible(*sides).alias("ok")).collect()
+
+    similar, other = judged(alike), judged(apart)
+    assert all(r.ok for r in similar)
+    assert sum(r.ok for r in other if r.n > 12) <= 2
+    assert all(r.held == (1 if r.n <= line_dedup.SHORT else 4) for r in similar)
+
+
+def test_rank_order_by_one_xor(spark):
+    """A set's keys are its words' hashes with rarer buckets first, and the ranks are whole."""
+    docs = spark.createDataFrame([(k, "the of " + f"w{k} w{k % 7}") for k in range(300)], "doc_id long, text string")
+    ranks = line_dedup.bucket_ranks(docs)
+    held = spark.range(1).select(ranks.alias("ranks"))
+    size, kept = held.select(F.size("ranks"), F.size(F.array_distinct(F.transform("ranks", lambda t, i: (
+        F.shiftrightunsigned(t, 64 - line_dedup.BUCKET_BITS).bitwiseXOR(i.cast("long"))))))).first()
+    assert size == kept == line_dedup.BUCKETS
+    row = held.select(line_dedup.line_set(F.lit("the w250 of"), F.col("ranks")).alias("s"),
+                      line_dedup.line_set(F.lit("w250"), F.col("ranks")).alias("rare")).first()
+    assert len(row.s) == 3 and row.s[0] == row.rare[0]
+
+
+def test_bitmaps_in_plans_are_small(spark):
+    """Bitmaps pass the driver inside plans: 2 MB at most, and no key is missed."""
+    keys = spark.range(3000).select(F.concat(F.lit("k"), F.col("id")).alias("k"))
+    bits = line_dedup._bits_held(F.col("id"), line_dedup.SHARED_BITS, spark.range(3000))
+    assert spark.range(1).select(F.size(bits)).first()[0] * 8 <= 2 << 20
+    assert keys.where(~line_dedup._maybe_held(F.col("k"), keys, F.col("k"))).count() == 0
+
+
 def test_line_dedup_edges(spark, rows):
     docs = make_docs(spark, rows)
     kept = line_dedup.drop_later_lines(docs)
