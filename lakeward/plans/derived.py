@@ -180,7 +180,8 @@ def write_spelled_documents(series: DataFrame, column: str, path: str, root: str
     """:func:`write_xml_documents` in several spellings (name -> namespace, prefix) by one pass.
 
     ``series`` names each row's in its column ``spelling``; a document holds series of one
-    spelling, rows of none (NULL) are left out.
+    spelling, rows of none (NULL) are left out. Files are gzipped: a document is read whole,
+    so nothing is lost by a form that cannot be split, and markup is most of its bytes.
     """
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -219,4 +220,4 @@ def write_spelled_documents(series: DataFrame, column: str, path: str, root: str
         if prefix:
             text = F.when(F.col("spelling") == name, prefixed(F.col(column), prefix)).otherwise(text)
     (series.select(text.alias(column), "spelling").mapInArrow(wrap, f"{column} string")
-     .write.mode("overwrite").option("maxRecordsPerFile", 1).text(path))
+     .write.mode("overwrite").option("maxRecordsPerFile", 1).option("compression", "gzip").text(path))
