@@ -158,3 +158,52 @@ def test_bind_makes_arrays_only_for_lines_that_need_them(spark, workdir):
         (1, 2.5, "x", None), (2, None, 'q,"x"', '{"b":"bad"}'), (3, None, None, None), (4, 1.5, "", None),
         (5, 1.0, "x", '{"_line":"5,1,x,more"}')}
     assert "transform(split(value" not in _initial_plan(bound)
+
+
+def test_landed_documents_are_compressed(spark, workdir):
+    from lakeward import queries as Q
+    from lakeward.sources import documents as D, fs
+    texts = _price_texts(spark, workdir)
+    path = Q._land_spellings(texts, f"{workdir}/raw", *Q.PRICE_DOCUMENT)
+    names = [n for n in fs.list_files(spark, path) if n.startswith("part-")]
+    assert names and all(n.endswith(".txt.gz") for n in names)
+    assert D.read_documents(spark, path).where("document LIKE '%</md:Publication_MarketDocument>%'").count() > 0
+
+
+def test_landing_is_compressed_and_read_with_plain_files(spark, workdir):
+    from conftest import write_file
+    from lakeward.plans.domains import PRICES
+    from lakeward.plans.pipeline import LakePaths, land
+    from lakeward.streaming.bronze import read_bronze, run_bronze
+    paths = LakePaths(workdir)
+    t = "2024-01-01 00:00:00+00:00"
+    land(spark.sql("SELECT timestamp'2024-01-01' AS delivery_start, timestamp'2024-01-01 01:00:00' AS delivery_end, 2.5D AS "
+                   "price_gbp_per_mwh, 'a,\"b' AS currency, 'Z' AS bidding_zone, timestamp'2024-01-02' AS fetched_at"), PRICES, paths)
+    from lakeward.sources import fs
+    day = f"{paths.landing(PRICES)}/ingest_date=2024-01-01"
+    assert all(n.endswith(".csv.gz") for n in fs.list_files(spark, day) if n.startswith("part-"))
+    write_file(f"{paths.landing(PRICES)}/x/plain.csv", f"{','.join(PRICES.column_names)}\n{t},{t},3.5,EUR,Z,{t}\n")
+    run_bronze(spark, PRICES, paths.landing(PRICES), paths.bronze(PRICES), paths.checkpoint(PRICES), paths.event_log(PRICES), "u")
+    got = read_bronze(spark, PRICES, paths.bronze(PRICES)).select("price_gbp_per_mwh", "currency", "_rescued_data").collect()
+    assert sorted(map(tuple, got)) == [(2.5, 'a,"b', None), (3.5, "EUR", None)]
+
+
+def test_lines_stay_where_they_are_read(spark, workdir, monkeypatch):
+    """Headers are broadcast, so bronze does not shuffle its lines; many files fall back to a shuffle, with the same rows."""
+    from lakeward.sources import csv_lines
+    rows = [(v, f, 0) for f in ("f", "g") for v in (("a,b", "1,x", "2,y") if f == "f" else ("b,a", "z,3"))]
+    spark.createDataFrame(rows, "value string, file string, block long").coalesce(1).write.parquet(f"{workdir}/lines")
+    lines, columns = spark.read.parquet(f"{workdir}/lines"), (("a", "INT"), ("b", "STRING"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bound = csv_lines.bind(lines, columns, "_r")
+        plan = _initial_plan(bound)
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        expected = [(1, "x", None), (2, "y", None), (3, "z", None)]
+        assert sorted(map(tuple, bound.collect())) == expected
+        monkeypatch.setattr(csv_lines, "BROADCAST_FILES", 1)
+        many = csv_lines.bind(lines, columns, "_r")
+        assert "SortMergeJoin" in _initial_plan(many) and sorted(map(tuple, many.collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
