@@ -618,3 +618,15 @@ def test_short_benchmark_items_in_query_and_sql(spark, workdir):
     for name in ("documents", "benchmark"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{workdir}/short/{name}.parquet/*.parquet'")
     assert {r[0]: (r[1], r[3], r[4]) for r in con.sql(decontam.SQL).fetchall()} == got
+
+
+def test_every_document_counts_for_the_order_of_words(spark):
+    """A word of more documents stands later in the sets, whichever documents hold it."""
+    names = [f"w{k}" for k in range(1, 21)]
+    texts = [f"{w}\n\talone" if j % 2 else f"{w} " for k, w in enumerate(names, 1) for j in range(k)]
+    docs = spark.createDataFrame(list(enumerate([*texts, None, ""])), "doc_id long, text string")
+    ranks = line_dedup.bucket_ranks(docs)
+    lines = spark.createDataFrame([(w,) for w in [" ".join(names), *names]], "raw string")
+    sets = {r.raw: list(r.s) for r in lines.select("*", ranks.alias("ranks")).select(
+        "raw", line_dedup.line_set(F.col("raw"), F.col("ranks")).alias("s")).collect()}
+    assert sets[" ".join(names)] == [sets[w][0] for w in names]
